@@ -378,7 +378,7 @@ def _both_splits(read: Callable[[str], DataFrame]) -> DataFrame:
 def tokenized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = holdout_split(_documents(spark, sf_dir), FRACTION, SEED)
     stored = write_tokenized(encode(held_out, BYTES), scratch_path(spark, "tokenized"))
-    return stored.where("split = 'validation'").select("split", "doc_id", "char_len", "token_len", _digest("ids").alias("ids"))
+    return stored.select("split", "doc_id", "char_len", "token_len", _digest("ids").alias("ids"))
 
 
 def _live_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -736,7 +736,7 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
         "token_bin_manifest": f"{_STREAM} SELECT split, sum(token_len)::BIGINT AS n_tokens FROM placed GROUP BY split",
         "token_bin_windows": f"""{_windows_sql(BLOCK, BLOCK, "split = 'validation'")} SELECT * FROM digests""",
         "tokenized_table": f"""WITH {_ENCODED} SELECT split, doc_id, char_len::INT AS char_len, token_len::INT AS token_len, {digest}
-            FROM encoded WHERE split = 'validation'""",
+            FROM encoded""",
         "stream_encode": f"""{plain} SELECT doc_id, char_len::INT AS char_len, token_len::INT AS token_len, {digest}
             FROM encoded WHERE char_len >= 10""",
         "stream_stats": f"""WITH encoded AS (SELECT source AS split, length(text) AS char_len, octet_length(encode(text)) + 2 AS token_len

@@ -61,14 +61,17 @@ def discover(config: CorpusConfig) -> dict[str, list[str]]:
     return found or {config.splits["train"]: [full for full, _ in files]}
 
 
-def _with_row_ids(df: DataFrame, files: list[str]) -> DataFrame:
+def _with_row_ids(df: DataFrame) -> DataFrame:
     """Ids from file order and row position: stable however often a task is run, increasing as stored."""
-    spark = df.sparkSession
-    numbered = spark.createDataFrame([(path.rsplit("/", 1)[-1], path, n) for n, path in enumerate(files)], "base STRING, path STRING, file_no BIGINT")
-    place = df.withColumn("file_path", F.col("_metadata.file_path")).withColumn("row_index", F.col("_metadata.row_index"))
-    place = place.withColumn("base", F.element_at(F.split("file_path", "/"), -1))
-    matched = place.join(numbered, (place.base == numbered.base) & F.endswith(place.file_path, numbered.path))
-    return matched.withColumn("doc_id", F.shiftleft("file_no", ROWS_PER_FILE_BITS) + F.col("row_index"))
+
+    def plain(path):
+        return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+    files = [(path, n) for n, path in enumerate(sorted(df.inputFiles()))]
+    numbered = df.sparkSession.createDataFrame(files, "path STRING, file_no BIGINT")
+    place = df.withColumn("file", plain(F.col("_metadata.file_path"))).withColumn("row", F.col("_metadata.row_index"))
+    matched = place.join(numbered.select(plain(F.col("path")).alias("file"), "file_no"), "file")
+    return matched.withColumn("doc_id", F.shiftleft("file_no", ROWS_PER_FILE_BITS) + F.col("row"))
 
 
 def _read_split(spark: SparkSession, config: CorpusConfig, split: str, files: list[str]) -> DataFrame:
@@ -83,11 +86,10 @@ def _read_split(spark: SparkSession, config: CorpusConfig, split: str, files: li
     if config.id_field:
         df = df.withColumn("doc_id", F.col(config.id_field).cast("bigint"))
     elif kind == "parquet":
-        df = _with_row_ids(df, files)
+        df = _with_row_ids(df)
     else:
         # only parquet rows have a position; write the texts once and number what was written
-        df = materialize(df.select(F.col(field)), f"ingest-{split}")
-        df = _with_row_ids(df, sorted(df.inputFiles()))
+        df = _with_row_ids(materialize(df.select(F.col(field)), f"ingest-{split}"))
     return df.select(F.lit(split).alias("split"), "doc_id", F.col(field).cast("string").alias("text"))
 
 

@@ -128,7 +128,9 @@ class TokenBinReader(DataSourceReader):
             ranges.append(TokenRange(first, stop, shards[at:through]))
         return ranges
 
-    def read(self, partition: TokenRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: TokenRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # an empty stream has no ranges
+            return
         disk, _, arrow = _element(self.dtype)
         width = np.dtype(disk).itemsize
         store, _ = fs.FileSystem.from_uri(self.path)

@@ -1,0 +1,77 @@
+import json
+
+import pytest
+
+from corpusflow.operators.filters import filter_report, length_filter
+from corpusflow.sources.config import CorpusConfig
+from corpusflow.sources.corpus import read_corpus, resolve_splits
+
+
+def config(path, **change):
+    base = dict(name="c", source="local", text_field="text", splits={"train": "train", "validation": "val"}, path=str(path))
+    return CorpusConfig(**{**base, **change})
+
+
+def texts(df):
+    return sorted((row["split"], row["text"]) for row in df.collect())
+
+
+def test_single_file_is_train(spark, tmp_path):
+    spark.createDataFrame([(7, "a"), (9, "b")], "n BIGINT, text STRING").coalesce(1).write.parquet(str(tmp_path / "x"))
+    corpus = read_corpus(spark, config(tmp_path / "x", id_field="n"))
+    assert sorted(map(tuple, corpus.collect())) == [("train", 7, "a"), ("train", 9, "b")]
+    _, existing = resolve_splits(corpus, config(tmp_path / "x"))
+    assert existing is False
+
+
+def test_splits_by_file_name_and_folder(spark, tmp_path):
+    for name, text in (("train-00000", "a"), ("train-00001", "b"), ("val", "c"), ("test", "d")):
+        (tmp_path / f"{name}.jsonl").write_text(json.dumps({"text": text}) + "\n")
+    corpus = read_corpus(spark, config(tmp_path))
+    assert texts(corpus) == [("test", "d"), ("train", "a"), ("train", "b"), ("val", "c")]
+    resolved, existing = resolve_splits(corpus, config(tmp_path))
+    assert existing and texts(resolved) == [("train", "a"), ("train", "b"), ("validation", "c")]
+    folders = tmp_path / "folders"
+    spark.createDataFrame([("a",), ("b",)], "text STRING").write.parquet(str(folders / "train"))
+    spark.createDataFrame([("c",)], "text STRING").write.parquet(str(folders / "val"))
+    assert texts(read_corpus(spark, config(folders))) == [("train", "a"), ("train", "b"), ("val", "c")]
+
+
+def test_row_ids_are_unique_stable_and_ordered(spark, tmp_path):
+    (tmp_path / "train.txt").write_text("".join(f"line {i}\n" for i in range(100)))
+    ids = [{row.text: row.doc_id for row in read_corpus(spark, config(tmp_path)).collect()} for _ in range(2)]
+    assert len(set(ids[0].values())) == 100
+    assert sorted(ids[0], key=ids[0].get) == [f"line {i}" for i in range(100)]
+
+
+def test_csv_with_quotes(spark, tmp_path):
+    (tmp_path / "train.csv").write_text('id,text\n1,"a ""b"" c"\n2,"two\nlines"\n')
+    rows = read_corpus(spark, config(tmp_path, id_field="id")).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [(1, 'a "b" c'), (2, "two\nlines")]
+
+
+def test_errors(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown source"):
+        read_corpus(spark, config(tmp_path, source="ftp"))
+    with pytest.raises(ValueError, match="hub"):
+        read_corpus(spark, CorpusConfig("c", "huggingface", "text", {"train": "train"}))
+    with pytest.raises(FileNotFoundError):
+        read_corpus(spark, config(tmp_path / "none"))
+    (tmp_path / "train.jsonl").write_text('{"body": "x"}\n')
+    with pytest.raises(ValueError, match="no column"):
+        read_corpus(spark, config(tmp_path))
+
+
+@pytest.mark.parametrize(
+    "bounds, kept",
+    [((None, None), 5), ((0, 0), 5), ((1, None), 4), ((2, 2), 1), ((None, 2), 4), ((3, None), 1)],
+)
+def test_length_bounds_are_inclusive_and_zero_is_open(spark, bounds, kept):
+    df = spark.createDataFrame([("",), ("a",), ("👨",), ("ab",), ("abc",)], "text STRING")
+    assert length_filter(df, *bounds).count() == kept
+
+
+def test_filter_report_counts_each_split(spark):
+    rows = [("s", "long enough text"), ("s", "short"), ("s", ""), ("s", None), ("t", "another long text")]
+    report = filter_report(spark.createDataFrame(rows, "split STRING, text STRING"), 10)
+    assert {tuple(r) for r in report.collect()} == {("s", 4, 1, 3, 1, 1), ("t", 1, 1, 0, 0, 0)}
