@@ -40,7 +40,7 @@ from corpusflow.plans.steps import order_manifest, step_documents, step_plan, to
 from corpusflow.sources.config import CorpusConfig, StepConfig
 from corpusflow.sources.corpus import read_corpus, resolve_splits, write_tokenized
 from corpusflow.sources.token_bin import read_manifest, read_tokens, read_windows, write_stream
-from corpusflow.storage import materialize, scratch_path
+from corpusflow.storage import materialize, scratch_path, spread_small
 from corpusflow.streaming.append_pack import AppendPacker
 from corpusflow.streaming.live import append_encoded, encode_stream, read_documents, running_stats, throughput_by_window
 
@@ -72,7 +72,7 @@ def _corpus_config(sf_dir: str) -> CorpusConfig:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source as split, in id order, encoded."""
     rows = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("split"))
-    return materialize(encode(with_id_order(rows), BYTES), "encoded")
+    return materialize(encode(with_id_order(spread_small(rows)), BYTES), "encoded")
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> TokenStream:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.sources.config import READERS, CorpusConfig
-from corpusflow.storage import materialize
+from corpusflow.storage import materialize, spread_small
 
 ROWS_PER_FILE_BITS = 36
 
@@ -103,7 +103,7 @@ def read_corpus(spark: SparkSession, config: CorpusConfig) -> DataFrame:
     corpus = frames[0]
     for frame in frames[1:]:
         corpus = corpus.unionByName(frame)
-    return corpus
+    return spread_small(corpus)
 
 
 def resolve_splits(corpus: DataFrame, config: CorpusConfig) -> tuple[DataFrame, bool]:

@@ -94,6 +94,7 @@ class TokenBinReader(DataSourceReader):
         self.stride = int(options.get("stride", 0))
         self.row_tokens = int(options.get("row_tokens", ROW_TOKENS))
         self.range_tokens = int(options.get("range_tokens", RANGE_TOKENS))
+        self.min_tasks = int(options.get("min_tasks", 1))
         shards = list_shards(self.path, self.dtype)
         self.total = sum(shard.count for shard in shards)
         if self.block_size:
@@ -115,7 +116,8 @@ class TokenBinReader(DataSourceReader):
     def partitions(self) -> list[TokenRange]:
         shards = list_shards(self.path, self.dtype)
         step = self.row_windows * self.stride if self.block_size else self.row_tokens
-        rows, per_task = self.row_count(), max(1, self.range_tokens // step)
+        rows = self.row_count()
+        per_task = max(1, min(self.range_tokens // step, -(-rows // self.min_tasks)))
         ranges, at = [], 0
         for first in range(0, rows, per_task):
             stop = min(first + per_task, rows)
@@ -254,6 +256,7 @@ def register(spark: SparkSession) -> None:
 def read_tokens(spark: SparkSession, path: str, dtype: str = "uint16", **options: object) -> DataFrame:
     """``(pos, tokens)``: consecutive stretches of the stream."""
     register(spark)
+    options = {"min_tasks": spark.sparkContext.defaultParallelism, **options}
     return spark.read.format("token_bin").options(dtype=dtype, **options).load(path)
 
 

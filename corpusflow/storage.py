@@ -49,3 +49,15 @@ def drop_table(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def spread_small(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFrame:
+    """Spread a small input over all cores.
+
+    Tokenizing costs far more than moving the text, and a small file is often a single row group, hence
+    a single task.  Inputs above ``bytes_per_core`` for each core have splits enough and stay where
+    they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * bytes_per_core else df
