@@ -2,7 +2,7 @@
 
 A DataFrame has no order, so every ordered operator sorts by ``(order_pos, order_key, doc_id)``.
 ``order_pos`` is a 64-bit number that never decreases along the order.  It is mapped to one of
-``CELLS`` cells by its value alone, so the cell of a row is the same in every job, whatever the
+65,536 cells by its value alone, so the cell of a row is the same in every job, whatever the
 physical partitions are and however often a task is run again.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELLS = 1 << 16
+CELL_BITS = 16
 ORDER_COLUMNS = ("order_pos", "order_key", "doc_id")
 
 
@@ -41,7 +41,7 @@ def with_id_order(df: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 @dataclass(frozen=True)
 class Cells:
-    """Monotone map from ``order_pos`` to ``0 .. CELLS-1``.
+    """Monotone map from ``order_pos`` to ``0 .. 65535``.
 
     Hash positions are uniform, so equal widths do.  Other positions may be clustered: they are cut at
     256 quantiles first, and each stretch into 256 equal widths.
@@ -61,7 +61,7 @@ class Cells:
 
     def cell(self, pos: Column) -> Column:
         if self.cuts is None:
-            return F.shiftright(pos, 44).cast("int")
+            return F.shiftright(pos, 60 - CELL_BITS).cast("int")
         if len(self.cuts) == 1:
             return F.lit(0)
         cuts = F.expr(f"array({','.join(f'{cut}L' for cut in self.cuts)})")

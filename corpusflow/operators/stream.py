@@ -14,8 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.ordering import CELLS, ORDER_COLUMNS, Cells
+from corpusflow.functions.ordering import CELL_BITS, ORDER_COLUMNS, Cells
 
+#: Rows of the cell table, over all splits, that the driver adds up and broadcasts.
+MAX_CELL_ROWS_BITS = 20
+MAX_SPLITS = 4096
 #: Tokens a bucket should hold: enough that few windows cross buckets, little enough for one task.
 TOKENS_PER_BUCKET = 16 << 20
 
@@ -39,17 +42,22 @@ def token_offsets(encoded: DataFrame, hashed: bool = True, tokens_per_bucket: in
     are kept.  It is read several times, so it should be a written table; the first reads touch only
     the order and length columns.
     """
+    n_splits = encoded.select("split").distinct().limit(MAX_SPLITS + 1).count()
+    if n_splits > MAX_SPLITS:
+        raise ValueError(f"more than {MAX_SPLITS} splits; is the split column right?")
+    # more splits mean coarser cells, so the table stays within its bound
+    bits = min(CELL_BITS, MAX_CELL_ROWS_BITS - n_splits.bit_length())
     cells = Cells.hashed() if hashed else Cells.sampled(encoded)
-    cell = cells.cell(F.col("order_pos"))
+    cell = F.shiftright(cells.cell(F.col("order_pos")), CELL_BITS - bits)
     sums = encoded.groupBy("split", cell.alias("cell")).agg(F.sum("token_len").cast("bigint").alias("n")).collect()
     per_split: dict[str, list] = defaultdict(list)
-    for row in sums:  # at most CELLS rows per split
+    for row in sums:
         per_split[row["split"]].append(row)
     totals = {split: sum(row.n for row in rows) for split, rows in per_split.items()}
 
     spark = encoded.sparkSession
     wanted = max(4 * spark.sparkContext.defaultParallelism, sum(totals.values()) // tokens_per_bucket)
-    shift = CELLS.bit_length() - 1 - min(CELLS.bit_length() - 1, (wanted - 1).bit_length())
+    shift = bits - min(bits, (wanted - 1).bit_length())
     bases = []
     for split, rows in per_split.items():
         at, size = 0, defaultdict(int)
@@ -67,7 +75,7 @@ def token_offsets(encoded: DataFrame, hashed: bool = True, tokens_per_bucket: in
     segments = (
         encoded.withColumn("bucket", F.shiftright(cell, shift))
         .withColumn("local_offset", F.coalesce(F.sum("token_len").over(before), F.lit(0)))
-        .join(F.broadcast(bases_df), ["split", "bucket"])  # at most CELLS rows per split
+        .join(F.broadcast(bases_df), ["split", "bucket"])  # at most 2^20 short rows, see above
         .withColumn("offset", F.col("bucket_start") + F.col("local_offset"))
         .drop("local_offset")
     )

@@ -30,6 +30,7 @@ MANIFEST = "manifest.json"
 #: Element types on disk and the Spark and Arrow types that hold them (Spark has no unsigned).
 TYPES = {"uint16": ("<u2", "INT", pa.int32()), "uint32": ("<u4", "BIGINT", pa.int64())}
 RANGE_TOKENS = 32 << 20
+MAX_RANGES = 100_000
 ROW_TOKENS = 1 << 16
 
 
@@ -117,7 +118,7 @@ class TokenBinReader(DataSourceReader):
         shards = list_shards(self.path, self.dtype)
         step = self.row_windows * self.stride if self.block_size else self.row_tokens
         rows = self.row_count()
-        per_task = max(1, min(self.range_tokens // step, -(-rows // self.min_tasks)))
+        per_task = max(1, min(self.range_tokens // step, -(-rows // self.min_tasks)), -(-rows // MAX_RANGES))
         ranges, at = [], 0
         for first in range(0, rows, per_task):
             stop = min(first + per_task, rows)

@@ -7,7 +7,7 @@ before it, so a batch that is run again writes the same windows again in the sam
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +18,7 @@ from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.operators.windows import pack_windows
 from corpusflow.storage import drop_table, write_table
 
-STATE = "n_tokens BIGINT, tail ARRAY<INT>, batch_id BIGINT"
+STATE = "n_tokens BIGINT, tail ARRAY<INT>"
 
 
 class AppendPacker:
@@ -31,16 +31,15 @@ class AppendPacker:
     def windows_of(self, n_tokens: int) -> int:
         return max(0, n_tokens - self.block_size - 1 + self.stride) // self.stride
 
-    def _state_before(self, df: DataFrame, batch_id: int) -> tuple[int, list[int]]:
+    def _state_before(self, spark: SparkSession, batch_id: int) -> tuple[int, list[int]]:
         if batch_id == 0:
             return 0, []
-        states = df.sparkSession.read.schema(STATE).parquet(f"{self.target}/state")
-        rows = states.where(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).limit(1).collect()
-        return (rows[0].n_tokens, rows[0].tail) if rows else (0, [])
+        state = spark.read.schema(STATE).parquet(f"{self.target}/state/batch_id={batch_id - 1}").first()
+        return state.n_tokens, state.tail
 
     def __call__(self, documents: DataFrame, batch_id: int) -> None:
         spark = documents.sparkSession
-        n_before, tail = self._state_before(documents, batch_id)
+        n_before, tail = self._state_before(spark, batch_id)
         rows = encode(documents.select("doc_id", "text"), self.vocab).withColumn("split", F.lit(self.split))
         encoded, path = write_table(with_id_order(rows), "append")
         arrived = token_offsets(encoded, hashed=False)
@@ -70,7 +69,7 @@ class AppendPacker:
             "offset", F.slice("ids", (F.greatest(start - F.col("offset"), F.lit(0)) + 1).cast("int"), F.col("token_len")).alias("ids")
         )
         tail = [token for row in left.orderBy("offset").collect() for token in row.ids]  # at most block_size tokens
-        state = spark.createDataFrame([(n_after, tail)], "n_tokens BIGINT, tail ARRAY<INT>")
+        state = spark.createDataFrame([(n_after, tail)], STATE)
         state.write.mode("overwrite").parquet(f"{self.target}/state/batch_id={batch_id}")
         drop_table(spark, path)
 
@@ -82,5 +81,5 @@ class AppendPacker:
             .start()
         )
 
-    def read(self, spark) -> DataFrame:
+    def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.target}/windows").drop("batch_id")

@@ -98,7 +98,7 @@ def test_mask_edges(spark, tokens):
     assert got == plain_windows(tokens, 4, 4, EOS)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 2**31), st.integers(1, 12), st.data())
 def test_windows_equal_the_plain_loop(spark, seed, block, data):
     stride = data.draw(st.integers(1, block))
