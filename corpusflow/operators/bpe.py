@@ -30,7 +30,7 @@ from corpusflow.functions.pretokenize import (
 )
 from corpusflow.operators.vocabulary import Merge, Vocabulary
 from corpusflow.sources.config import SPECIAL_TOKENS
-from corpusflow.storage import drop_table, write_table
+from corpusflow.storage import drop_table, small_shuffles, write_table
 
 CANDIDATES = 400
 MERGES_PER_BASE = 24
@@ -123,10 +123,10 @@ class _Base:
     def __init__(self, states: DataFrame) -> None:
         self.spark = states.sparkSession
         # rewriting strings costs far more than reading them, so spread the rows over all cores
-        spread = states.repartition(self.spark.sparkContext.defaultParallelism, "symbols")
-        states, self.path = write_table(spread, "bpe-states")
+        cores = self.spark.sparkContext.defaultParallelism
+        states, self.path = write_table(states.repartition(cores, "symbols"), "bpe-states")
         self.states = states.persist(StorageLevel.MEMORY_AND_DISK)
-        self.pairs = count_pairs(self.states).persist(StorageLevel.MEMORY_AND_DISK)
+        self.pairs = count_pairs(self.states).coalesce(cores).persist(StorageLevel.MEMORY_AND_DISK)
 
     def states_after(self, merges: list[tuple[int, Merge]]) -> DataFrame:
         merged = apply_merges(F.col("symbols"), merges).alias("symbols")
@@ -169,21 +169,21 @@ def learn_merges(freq: DataFrame, vocab_size: int, special_names: dict[str, str]
         raise ValueError(f"vocab_size must be at least {256 + len(SPECIAL_TOKENS)}, got {vocab_size}")
     began = time.perf_counter()
     merges: list[Merge] = []
-    base: _Base | None = None
     in_base = rounds = 0
-    while 256 + len(merges) < room:
-        since = list(enumerate(merges[in_base:], 256 + in_base))
-        if base is None:
-            base = _Base(chunk_states(freq))
-        elif len(since) >= MERGES_PER_BASE:
-            old, base = base, _Base(base.states_after(since))
-            old.drop()
-            since, in_base = [], len(merges)
-        batch = independent_prefix(base.top_pairs(since), room - 256 - len(merges))
-        if not batch:
-            break
-        merges += batch
-        rounds += 1
+    base = _Base(chunk_states(freq)) if room > 256 else None
+    # the states are laid out; what the rounds shuffle are pair counts, a small table
+    with small_shuffles(freq.sparkSession):
+        while 256 + len(merges) < room:
+            since = list(enumerate(merges[in_base:], 256 + in_base))
+            if len(since) >= MERGES_PER_BASE:
+                old, base = base, _Base(base.states_after(since))
+                old.drop()
+                since, in_base = [], len(merges)
+            batch = independent_prefix(base.top_pairs(since), room - 256 - len(merges))
+            if not batch:
+                break
+            merges += batch
+            rounds += 1
     if base is not None:
         base.drop()
     vocab = Vocabulary(merges, dict(special_names or SPECIAL_TOKENS))

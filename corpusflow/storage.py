@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +63,15 @@ def spread_small(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores) if size < cores * bytes_per_core else df
+
+
+@contextmanager
+def small_shuffles(spark: SparkSession) -> Iterator[None]:
+    """At most one shuffle partition per core, for loops of many jobs over small tables."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
