@@ -40,7 +40,7 @@ from corpusflow.plans.steps import order_manifest, step_documents, step_plan, to
 from corpusflow.sources.config import CorpusConfig, StepConfig
 from corpusflow.sources.corpus import read_corpus, resolve_splits, write_tokenized
 from corpusflow.sources.token_bin import read_manifest, read_tokens, read_windows, write_stream
-from corpusflow.storage import materialize, scratch_path, spread_small
+from corpusflow.storage import materialize, scratch_path, small_shuffles, spread_small
 from corpusflow.streaming.append_pack import AppendPacker
 from corpusflow.streaming.live import append_encoded, encode_stream, read_documents, running_stats, throughput_by_window
 
@@ -428,14 +428,15 @@ def _finished(spark: SparkSession, streaming: DataFrame, mode: str) -> DataFrame
         name = "all" if mode == "complete" else f"batch-{batch_id}"
         rows.write.mode("overwrite").parquet(f"{path}/{name}")
 
-    query = (
-        streaming.writeStream.foreachBatch(store)
-        .outputMode(mode)
-        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with small_shuffles(spark):  # state is a few rows per split or run
+        query = (
+            streaming.writeStream.foreachBatch(store)
+            .outputMode(mode)
+            .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.option("recursiveFileLookup", True).parquet(path)
 
 

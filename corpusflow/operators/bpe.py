@@ -33,7 +33,9 @@ from corpusflow.sources.config import SPECIAL_TOKENS
 from corpusflow.storage import drop_table, small_shuffles, write_table
 
 CANDIDATES = 400
-MERGES_PER_BASE = 24
+#: Merges applied on top of a base before it is written anew; late merges change few chunks, so the
+#: limit grows with the vocabulary, up to the second number.
+MERGES_PER_BASE = (24, 96)
 
 
 def chunk_freq(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -175,7 +177,7 @@ def learn_merges(freq: DataFrame, vocab_size: int, special_names: dict[str, str]
     with small_shuffles(freq.sparkSession):
         while 256 + len(merges) < room:
             since = list(enumerate(merges[in_base:], 256 + in_base))
-            if len(since) >= MERGES_PER_BASE:
+            if len(since) >= min(MERGES_PER_BASE[0] + len(merges) // 64, MERGES_PER_BASE[1]):
                 old, base = base, _Base(base.states_after(since))
                 old.drop()
                 since, in_base = [], len(merges)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -106,13 +107,16 @@ def read_corpus(spark: SparkSession, config: CorpusConfig) -> DataFrame:
     return spread_small(corpus)
 
 
-def resolve_splits(corpus: DataFrame, config: CorpusConfig) -> tuple[DataFrame, bool]:
+def resolve_splits(
+    corpus: DataFrame, config: CorpusConfig, present: Iterable[str] | None = None
+) -> tuple[DataFrame, bool]:
     """Map physical split names to ``train`` and ``validation``; other splits are left out.
 
-    The flag says whether a validation split is both named and there.
+    The flag says whether a validation split is both named and there.  ``present`` are the physical
+    splits there are; by default they come from the file names, without a look at the rows.
     """
     train, validation = config.splits["train"], config.splits.get("validation")
-    present = {row["split"] for row in corpus.select("split").distinct().collect()}  # a handful of names
+    present = set(discover(config) if present is None else present)
     if train not in present:
         raise ValueError(f"{config.name}: no split {train!r}, found {sorted(present)}")
     existing = validation is not None and validation in present
