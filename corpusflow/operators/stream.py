@@ -28,11 +28,26 @@ class TokenStream:
     """Token arrays with their global offsets.
 
     ``segments``: ``split, bucket, bucket_start, bucket_end, split_tokens, offset, token_len, ids, ...``
-    ``totals``: tokens per split.
+    ``totals``: tokens per split.  ``buckets``: ``(split, bucket, start, end)`` in stream order.
     """
 
     segments: DataFrame
     totals: dict[str, int]
+    buckets: list[tuple[str, int, int, int]] | None = None
+
+    def between(self, ranges: dict[str, tuple[int, int]]) -> DataFrame:
+        """Segments of the buckets that overlap the token range ``[low, high)`` of each named split.
+
+        Whole buckets are left out by their key, which happens before token arrays are shuffled.
+        """
+        wanted: Column = F.lit(False)
+        for split, (low, high) in ranges.items():
+            here = F.col("split") == split
+            if self.buckets is not None:
+                hit = [b for s, b, start, end in self.buckets if s == split and start < high and end > low]
+                here = here & F.col("bucket").between(min(hit), max(hit)) if hit else F.lit(False)
+            wanted = wanted | here
+        return self.segments.where(wanted)
 
 
 def token_offsets(encoded: DataFrame, hashed: bool = True, tokens_per_bucket: int = TOKENS_PER_BUCKET) -> TokenStream:
@@ -79,7 +94,7 @@ def token_offsets(encoded: DataFrame, hashed: bool = True, tokens_per_bucket: in
         .withColumn("offset", F.col("bucket_start") + F.col("local_offset"))
         .drop("local_offset")
     )
-    return TokenStream(segments, totals)
+    return TokenStream(segments, totals, [base[:4] for base in bases])
 
 
 def token_prefix(stream: TokenStream, limits: dict[str, int] | int) -> DataFrame:
@@ -96,7 +111,8 @@ def token_prefix(stream: TokenStream, limits: dict[str, int] | int) -> DataFrame
         limit = F.when(F.col("split") == split, F.lit(count).cast("bigint")).otherwise(limit)
     keep = F.least(F.col("token_len").cast("bigint"), F.col("limit") - F.col("offset")).cast("int")
     return (
-        stream.segments.withColumn("limit", limit)
+        stream.between({split: (0, count) for split, count in limits.items()})
+        .withColumn("limit", limit)
         .where(F.col("offset") < F.col("limit"))
         .withColumn("token_len", keep)
         .withColumn("ids", F.slice("ids", F.lit(1), F.col("token_len")))

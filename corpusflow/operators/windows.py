@@ -91,7 +91,7 @@ def pack_windows(
         for split, count in counts.items():
             if low < 0 or high < low or high >= count:
                 raise IndexError(f"windows {low}..{high} are not within 0..{count - 1} of {split!r}")
-        segments = segments.where(
+        segments = stream.between(dict.fromkeys(counts, (low * stride, high * stride + span))).where(
             (F.col("offset") < high * stride + span) & (F.col("offset") + F.col("token_len") > low * stride)
         )
     inside = (F.col("window_id") * stride >= F.col("bucket_start")) & (

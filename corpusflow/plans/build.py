@@ -12,9 +12,10 @@ from corpusflow.operators.split import holdout_split
 from corpusflow.operators.stats import corpus_metadata
 from corpusflow.operators.stream import TokenStream, token_offsets
 from corpusflow.operators.vocabulary import Vocabulary
-from corpusflow.sources.config import CorpusConfig, TokenizerConfig, load_mapping
+from corpusflow.operators.windows import batch, window_count
+from corpusflow.sources.config import CorpusConfig, TokenizerConfig, WindowConfig, load_mapping
 from corpusflow.sources.corpus import read_corpus, resolve_splits, save_vocabulary, write_metadata, write_tokenized
-from corpusflow.sources.token_bin import copy_prefix, write_stream
+from corpusflow.sources.token_bin import copy_prefix, read_windows, token_count, write_stream
 
 
 def corpus_report(spark: SparkSession, config: CorpusConfig, min_length: int = 10) -> DataFrame:
@@ -56,3 +57,25 @@ def create_subset(spark: SparkSession, source: str, target: str, limits: dict[st
     """The first tokens of each named split of ``source`` as token files under ``target``."""
     for split, n_tokens in limits.items():
         copy_prefix(spark, f"{source}/{split}", f"{target}/{split}", n_tokens, dtype)
+
+
+def training_batches(
+    spark: SparkSession, config: WindowConfig, context_length: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Batches of train and validation windows, in reading order by ``(batch_id, row_in_batch)``.
+
+    Train windows are not masked; ``drop_last`` concerns train only.  Validation windows are masked
+    from their first EOS on.
+    """
+    if context_length is not None and config.block_size > context_length:
+        raise ValueError(f"block_size {config.block_size} exceeds the context length {context_length}")
+    views = []
+    for split, path in (("train", config.train_path), ("validation", config.val_path)):
+        held_out = split == "validation"
+        windows = read_windows(
+            spark, path, config.block_size, config.stride, config.dtype, split, config.eos_token_id, held_out
+        )
+        count = window_count(token_count(path, config.dtype), config.block_size, config.stride)
+        dropped = [split] if config.drop_last and not held_out else []
+        views.append(batch(windows, config.batch_size, {split: count}, dropped))
+    return views[0], views[1]

@@ -14,6 +14,7 @@ from corpusflow.sources.config import READERS, CorpusConfig
 from corpusflow.storage import materialize, spread_small
 
 ROWS_PER_FILE_BITS = 36
+MAX_NUMBERED_FILES = 1_000_000
 
 
 def _files(path: str) -> list[tuple[str, str]]:
@@ -69,9 +70,12 @@ def _with_row_ids(df: DataFrame) -> DataFrame:
         return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
     files = [(path, n) for n, path in enumerate(sorted(df.inputFiles()))]
+    if len(files) > MAX_NUMBERED_FILES:
+        raise ValueError(f"{len(files)} files are too many to number; name an id_field")
     numbered = df.sparkSession.createDataFrame(files, "path STRING, file_no BIGINT")
     place = df.withColumn("file", plain(F.col("_metadata.file_path"))).withColumn("row", F.col("_metadata.row_index"))
-    matched = place.join(numbered.select(plain(F.col("path")).alias("file"), "file_no"), "file")
+    numbered = numbered.select(plain(F.col("path")).alias("file"), "file_no")
+    matched = place.join(F.broadcast(numbered), "file")  # at most MAX_NUMBERED_FILES short rows
     return matched.withColumn("doc_id", F.shiftleft("file_no", ROWS_PER_FILE_BITS) + F.col("row"))
 
 

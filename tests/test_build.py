@@ -3,8 +3,11 @@
 import json
 
 from corpusflow.operators.vocabulary import Vocabulary
-from corpusflow.plans.build import corpus_report, create_subset, tokenize_corpus, train_tokenizer
-from corpusflow.sources.config import CorpusConfig, TokenizerConfig, load_mapping
+import pytest
+
+from corpusflow.__main__ import main
+from corpusflow.plans.build import corpus_report, create_subset, tokenize_corpus, train_tokenizer, training_batches
+from corpusflow.sources.config import CorpusConfig, TokenizerConfig, WindowConfig, load_mapping
 from corpusflow.sources.token_bin import read_windows, token_count
 
 
@@ -46,6 +49,15 @@ def test_with_held_out_validation(spark, documents, tmp_path):
     first = read_windows(spark, f"{tokens}/train", 64, 64).where("window_id < 3").collect()
     sub = read_windows(spark, f"{tmp_path}/sub/train", 64, 64).where("window_id < 3").collect()
     assert sorted(first) == sorted(sub)
+    data = WindowConfig(
+        f"{tokens}/train", f"{tokens}/validation", 64, 64, meta["dtype"], vocab.eos_id, batch_size=10, drop_last=True
+    )
+    train, held_out = training_batches(spark, data, context_length=64)
+    windows = {name: (meta[f"{name}_tokens"] - 65) // 64 + 1 for name in ("train", "val")}
+    assert train.count() == windows["train"] // 10 * 10 and held_out.count() == windows["val"]
+    assert train.where("array_contains(y, -100)").count() == 0 < held_out.where("array_contains(y, -100)").count()
+    with pytest.raises(ValueError, match="context"):
+        training_batches(spark, data, context_length=63)
 
 
 def test_with_existing_validation(spark, documents, tmp_path):
@@ -60,3 +72,15 @@ def test_with_existing_validation(spark, documents, tmp_path):
     assert window.x[0] == vocab.bos_id and text.encode().startswith(spelled)
     report = corpus_report(spark, CorpusConfig(**load_mapping(config.dataset_config)))
     assert {(r["split"], r.original) for r in report.collect()} == {("train", 180), ("validation", 20)}
+
+
+def test_command_line(spark, documents, tmp_path, capsys):
+    config = make(tmp_path, documents, False)
+    (tmp_path / "t.json").write_text(json.dumps({k: v for k, v in vars(config).items()}))
+    main(["report", "--config", str(tmp_path / "corpus.json")])
+    main(["train-tokenizer", "--config", str(tmp_path / "t.json")])
+    main(["tokenize", "--config", str(tmp_path / "t.json")])
+    assert "train:" in capsys.readouterr().out
+    tokens = f"{config.tokenized_output_dir}/tokens"
+    main(["subset", "--source", tokens, "--target", f"{tmp_path}/s", "--train-tokens", "50", "--val-tokens", "7"])
+    assert token_count(f"{tmp_path}/s/validation", "uint16") == 7
