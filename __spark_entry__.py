@@ -72,13 +72,21 @@ def _corpus_config(sf_dir: str) -> CorpusConfig:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents about to be tokenized."""
+    return spread_small(_documents(spark, sf_dir))
+
+
+def _held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(holdout_split(_documents(spark, sf_dir), FRACTION, SEED))
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents held out, ordered by seed and encoded, as a written table."""
-    held_out = holdout_split(_documents(spark, sf_dir), FRACTION, SEED)
-    return materialize(encode(held_out, BYTES), "encoded")
+    return materialize(encode(_held_out(spark, sf_dir), BYTES), "encoded")
 
 
 def _by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,49 +137,48 @@ def q_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pretokenize_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_freq(_documents(spark, sf_dir))
+    return chunk_freq(_texts(spark, sf_dir))
 
 
 def byte_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pair_table(chunk_freq(_documents(spark, sf_dir)))
+    return pair_table(chunk_freq(_texts(spark, sf_dir)))
 
 
 def bpe_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = learn_merges(chunk_freq(_documents(spark, sf_dir)), 300)
+    run = learn_merges(chunk_freq(_texts(spark, sf_dir)), 300)
     path = scratch_path(spark, "vocabulary")
     run.vocab.save(spark, path)
     return Vocabulary.load(spark, path).to_df(spark).withColumn("bytes", F.hex("bytes"))
 
 
 def bpe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = learn_merges(chunk_freq(_documents(spark, sf_dir)), 264)
+    run = learn_merges(chunk_freq(_texts(spark, sf_dir)), 264)
     return run.report(spark).select("vocab_size", "merges", F.array_join("special_tokens", " ").alias("special_tokens"))
 
 
 def encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode(_documents(spark, sf_dir), BYTES)
+    encoded = encode(_texts(spark, sf_dir), BYTES)
     return encoded.select("doc_id", "char_len", "token_len", _digest("ids").alias("ids"))
 
 
 def encode_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _documents(spark, sf_dir)
+    documents = _texts(spark, sf_dir)
     encoded = encode(documents, learn_merges(chunk_freq(documents), 280).vocab)
     return encoded.select("doc_id", "char_len", "token_len", _digest("ids").alias("ids"))
 
 
 def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode(_documents(spark, sf_dir), BYTES).withColumn("ids", strip_special("ids"))
+    encoded = encode(_texts(spark, sf_dir), BYTES).withColumn("ids", strip_special("ids"))
     return decode(encoded, BYTES).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def q_roundtrip_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _documents(spark, sf_dir).select("text").unionByName(_table(spark, sf_dir, "benchmark").select("text"))
-    return roundtrip_report(texts, BYTES)
+    return roundtrip_report(spread_small(texts), BYTES)
 
 
 def q_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = holdout_split(_documents(spark, sf_dir), FRACTION, SEED)
-    return corpus_stats(encode(held_out, BYTES)).withColumns(
+    return corpus_stats(encode(_held_out(spark, sf_dir), BYTES)).withColumns(
         {f"{unit}_mean": F.round(f"{unit}_mean", 6) for unit in ("char", "token")}
     )
 
@@ -312,7 +319,7 @@ def validation_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bigram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One score vector per token: the log count of each token that follows it."""
-    counts = scores.bigram_counts(encode(_documents(spark, sf_dir), BYTES))
+    counts = scores.bigram_counts(encode(_texts(spark, sf_dir), BYTES))
     return counts.select(
         F.col("left_id").alias("group_id"), F.col("right_id").alias("item_id"), F.log("n").alias("score")
     )
@@ -376,8 +383,7 @@ def _both_splits(read: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def tokenized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = holdout_split(_documents(spark, sf_dir), FRACTION, SEED)
-    stored = write_tokenized(encode(held_out, BYTES), scratch_path(spark, "tokenized"))
+    stored = write_tokenized(encode(_held_out(spark, sf_dir), BYTES), scratch_path(spark, "tokenized"))
     return stored.select("split", "doc_id", "char_len", "token_len", _digest("ids").alias("ids"))
 
 

@@ -59,7 +59,7 @@ def run(spark: SparkSession, sf_dir: str, repeats: int) -> tuple[dict[str, list[
     freq = materialize(chunk_freq(documents), "bench-freq")
     training = timed("learn_merges", lambda: learn_merges(freq, VOCAB_SIZE), 1)
     vocab = training.vocab
-    split = timed("holdout_split", lambda: holdout_split(documents, 0.05))
+    split = spread_small(timed("holdout_split", lambda: holdout_split(table.select("doc_id", "text"), 0.05)))
     timed("encode", lambda: consume(encode(split, vocab)))
     encoded = timed("encode_and_store", lambda: materialize(encode(split, vocab), "bench-encoded"), 1)
     timed("corpus_stats", lambda: consume(corpus_stats(encoded)))

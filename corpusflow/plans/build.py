@@ -16,6 +16,7 @@ from corpusflow.operators.windows import batch, window_count
 from corpusflow.sources.config import CorpusConfig, TokenizerConfig, WindowConfig, load_mapping
 from corpusflow.sources.corpus import read_corpus, resolve_splits, save_vocabulary, write_metadata, write_tokenized
 from corpusflow.sources.token_bin import copy_prefix, read_windows, token_count, write_stream
+from corpusflow.storage import spread_small
 
 
 def corpus_report(spark: SparkSession, config: CorpusConfig, min_length: int = 10) -> DataFrame:
@@ -26,7 +27,8 @@ def corpus_report(spark: SparkSession, config: CorpusConfig, min_length: int = 1
 def train_tokenizer(spark: SparkSession, config: TokenizerConfig) -> TrainingRun:
     """Learn merges on the physical split called ``train`` and store vocabulary and report."""
     corpus = read_corpus(spark, CorpusConfig(**load_mapping(config.dataset_config)))
-    run = learn_merges(chunk_freq(corpus.where("split = 'train'")), config.vocab_size, config.special_tokens)
+    texts = spread_small(corpus.where("split = 'train'").select("text"))
+    run = learn_merges(chunk_freq(texts), config.vocab_size, config.special_tokens)
     save_vocabulary(run.vocab, run.report(spark), config.output_dir)
     return run
 
@@ -37,7 +39,7 @@ def split_and_encode(
     """Encoded documents with their split and their place in it: stored order for splits that exist,
     seeded order when validation is held out of train."""
     ordered = with_id_order(corpus) if existing else holdout_split(corpus, val_split, seed)
-    return encode(ordered, vocab)
+    return encode(spread_small(ordered), vocab)
 
 
 def tokenize_corpus(spark: SparkSession, config: TokenizerConfig, seed: int = 42) -> TokenStream:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.sources.config import READERS, CorpusConfig
-from corpusflow.storage import materialize, spread_small
+from corpusflow.storage import materialize
 
 ROWS_PER_FILE_BITS = 36
 MAX_NUMBERED_FILES = 1_000_000
@@ -108,7 +108,7 @@ def read_corpus(spark: SparkSession, config: CorpusConfig) -> DataFrame:
     corpus = frames[0]
     for frame in frames[1:]:
         corpus = corpus.unionByName(frame)
-    return spread_small(corpus)
+    return corpus
 
 
 def resolve_splits(
