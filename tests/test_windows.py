@@ -55,7 +55,7 @@ def test_window_count_and_shift(spark, tmp_path):
     assert collected(pack_windows(stream_of(spark, {0: tokens}), 4, 2)) == from_file
 
 
-def test_mask_after_eos(spark, tmp_path):
+def test_targets_from_the_first_eos_on_are_ignored(spark, tmp_path):
     tokens = [1, 3, 5, 6, 7, 8]
     np.array(tokens, np.uint16).tofile(tmp_path / "val.bin")
     masked = read_windows(spark, str(tmp_path / "val.bin"), 4, 4, eos_id=3, mask_after_eos=True)
