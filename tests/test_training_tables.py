@@ -185,7 +185,7 @@ def test_argmax_takes_the_smallest_of_equals(spark):
 
 
 def test_draw_is_repeatable_and_follows_the_shares(spark):
-    items = F.expr("inline(array(struct(1 AS item_id, 0.5D AS p), struct(2, 0.3D), struct(3, 0.2D)))")
+    items = F.expr("stack(3, 1, 0.5D, 2, 0.3D, 3, 0.2D)").alias("item_id", "p")
     probs = spark.range(4000).select(F.col("id").alias("group_id"), items)
     first = {r.group_id: r.item_id for r in draw(probs, 7).collect()}
     assert first == {r.group_id: r.item_id for r in draw(probs.repartition(5), 7).collect()}
