@@ -446,12 +446,39 @@ def _finished(spark: SparkSession, streaming: DataFrame, mode: str) -> DataFrame
     return spark.read.option("recursiveFileLookup", True).parquet(path)
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the ``llm`` folder and of the pipeline, where these are installed."""
+    found, sql = {}, {}
+    try:
+        from corpusflow.llm.queries import QUERIES
+        from corpusflow.llm.sql import ORACLE_SQL
+
+        found, sql = dict(QUERIES), dict(ORACLE_SQL)
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpusflow.llm", "corpusflow.llm.queries", "corpus_pipeline"):
+            raise
+    return found, sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | _training_data()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_sql() | _training_data()[1]
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Documents cut into training windows, masked for validation."""
     return windows_masked(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "corpus_scan": corpus_scan,
         "length_filter": q_length_filter,
@@ -577,7 +604,7 @@ merges AS (SELECT DISTINCT step, unicode(pair) - 1 AS left_id, unicode(substr(pa
 """
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     stats = """count(*) AS examples, sum(token_len)::BIGINT AS tokens,
        min(char_len)::DOUBLE AS char_min, max(char_len)::DOUBLE AS char_max, round(sum(char_len)::DOUBLE / count(*), 6) AS char_mean,
        min(token_len)::DOUBLE AS token_min, max(token_len)::DOUBLE AS token_max, round(sum(token_len)::DOUBLE / count(*), 6) AS token_mean"""

@@ -7,7 +7,7 @@ from conftest import TESTDATA
 import __spark_entry__ as entry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.own_queries(), entry.own_sql()
 
 
 @pytest.fixture(scope="module")
