@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.llm.decontaminate import contaminated_words
 from corpusflow.llm.sharding import histogram_sort
 
 SHARDS = 40
@@ -27,6 +28,19 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        "doc_id",
+        F.col("n_words").cast("bigint").alias("n_words"),
+        F.col("n_hit").cast("bigint").alias("n_hit"),
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op8_winnowing": op8_winnowing,
 }

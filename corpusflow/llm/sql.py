@@ -23,6 +23,36 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
 FROM dealt
 """
 
+OP8 = """
+WITH cut AS (
+    SELECT doc_id, NULL::BIGINT AS item_id, text FROM documents
+    UNION ALL SELECT NULL, item_id, text FROM benchmark),
+worded AS (
+    SELECT *, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS words
+    FROM cut),
+items AS (SELECT item_id, words, least(len(words), 10) AS n FROM worded WHERE item_id IS NOT NULL AND len(words) > 0),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(words[i : i + n - 1], ' ') AS span
+    FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM items)),
+docs AS (SELECT doc_id, words FROM worded WHERE doc_id IS NOT NULL),
+spans AS (
+    SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS span
+    FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+          FROM docs, (SELECT DISTINCT n FROM items))),
+hits AS (SELECT doc_id, i, n, item_id FROM spans JOIN windows USING (n, span)),
+hit_words AS (
+    SELECT doc_id, count(DISTINCT word_no) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word_no FROM hits) GROUP BY doc_id),
+hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS item_list
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(item_list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_histogram_sort": OP1,
+    "op8_winnowing": OP8,
 }
