@@ -6,11 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm.decontaminate import contaminated_words
+from corpusflow.llm.packing import pack
 from corpusflow.llm.sharding import histogram_sort
 
 SHARDS = 40
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file; the operator takes any."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,7 +48,14 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op8_winnowing": op8_winnowing,
+    "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
 }
