@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.decontaminate import contaminated_words
 from corpusflow.llm.packing import pack
+from corpusflow.llm.quality import fit_quality, score_quality
 from corpusflow.llm.sharding import histogram_sort
+from corpusflow.llm.simhash import near_duplicate_groups
+from corpusflow.llm.toxicity import fit_toxicity, score_toxicity
 
 SHARDS = 40
+#: Scores from which a text counts as good, and as toxic.
+GOOD, TOXIC = 0.7, 0.3
 
 
 def tokenizer_path() -> str:
@@ -36,6 +41,24 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = score_quality(documents, fit_quality(documents, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
+def op5_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = score_toxicity(documents, fit_toxicity(documents, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -56,6 +79,9 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op2_vantage_point_simhash": op2_vantage_point_simhash,
+    "op3_compression_quality": op3_compression_quality,
+    "op5_weak_supervision_toxicity": op5_weak_supervision_toxicity,
     "op8_winnowing": op8_winnowing,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
 }
