@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +48,10 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept out of training; a null id is never trained on."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == HELD_OUT_REMAINDER, F.lit(True))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, where null equals null."""
+    other = right.withColumnsRenamed({key: f"other_{key}" for key in keys})
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"other_{key}")) for key in keys])
+    return left.join(other, same, how).drop(*[f"other_{key}" for key in keys])

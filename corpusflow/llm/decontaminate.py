@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import pick, staged
+from corpusflow.llm.common import null_safe_join, pick, staged
 
 #: Words of a window.
 SPAN = 10
@@ -149,7 +149,7 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, span: int = S
     candidates = found.where(F.size("places") > 0).select("doc_id", "text_key", "places")
     same = ["doc_id", "text_key"]
     occurrences = (
-        _null_safe_join(base, candidates, same, "inner")
+        null_safe_join(base, candidates, same, "inner")
         .withColumn("words", words(F.col("text")))
         .select(
             *same,
@@ -168,7 +168,7 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, span: int = S
         .withColumn("n_hit", _covered(F.col("places")))
         .drop("places")
     )
-    result = _null_safe_join(found.drop("places"), hits, same, "left")
+    result = null_safe_join(found.drop("places"), hits, same, "left")
     return result.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(
         "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
@@ -185,10 +185,3 @@ def _covered(places: Column) -> Column:
         return F.struct(end.alias("end"), (so_far["n"] + fresh).alias("n"))
 
     return F.aggregate(places, zero, add, lambda total: total["n"])
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on equal keys, where null equals null."""
-    other = right.withColumnsRenamed({key: f"other_{key}" for key in keys})
-    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"other_{key}")) for key in keys])
-    return left.join(other, same, how).drop(*[f"other_{key}" for key in keys])

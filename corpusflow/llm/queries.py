@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.decontaminate import contaminated_words
 from corpusflow.llm.packing import pack
+from corpusflow.llm.pii import KINDS, personal_spans, span_list
 from corpusflow.llm.quality import fit_quality, score_quality
 from corpusflow.llm.sharding import histogram_sort
 from corpusflow.llm.simhash import near_duplicate_groups
@@ -77,6 +78,18 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda span: span["base"])
+
+    def number(kind: str):
+        return F.size(F.filter(base, lambda span: span["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[number(kind) for kind in KINDS], F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans")
+    )
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_vantage_point_simhash": op2_vantage_point_simhash,
@@ -84,4 +97,5 @@ QUERIES = {
     "op5_weak_supervision_toxicity": op5_weak_supervision_toxicity,
     "op8_winnowing": op8_winnowing,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
+    "op10_candidate_boosting": op10_candidate_boosting,
 }
