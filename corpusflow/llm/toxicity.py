@@ -250,7 +250,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic")
     weight = np.select([known == 0, known == 1], [share[0], share[1]], (counts[0] + counts[1]) / max(1, seen.get(None, 0)))
     weight = weight * len(weight) / weight.sum()
     x = np.hstack([np.ones((len(rows), 1), np.float32), fired, shouting]).astype(float)
-    fitted = fit_logistic(x, posterior, weight, ridge=0.3)
+    fitted = fit_logistic(x, posterior, weight, ridge=0.03)
     inner = fitted[1 : 1 + len(names)]
     outer = np.where(np.isfinite(cuts), fitted[1 + len(names) :], 0.0)
     return ToxicityModel.of(float(fitted[0]), dict(zip(names, inner.tolist(), strict=True)), cuts.tolist(), outer.tolist())
