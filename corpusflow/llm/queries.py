@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm.decontaminate import contaminated_words
+from corpusflow.llm.linedup import without_repeated_passages
 from corpusflow.llm.packing import pack
 from corpusflow.llm.pii import KINDS, personal_spans, span_list
 from corpusflow.llm.quality import fit_quality, score_quality
@@ -60,6 +61,12 @@ def op5_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
+def op7_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as they are after the deletions, as digests of their texts."""
+    left = without_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", F.char_length("text").cast("bigint").alias("chars_left"), F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select(
@@ -95,6 +102,7 @@ QUERIES = {
     "op2_vantage_point_simhash": op2_vantage_point_simhash,
     "op3_compression_quality": op3_compression_quality,
     "op5_weak_supervision_toxicity": op5_weak_supervision_toxicity,
+    "op7_patience_line_dedup": op7_patience_line_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_candidate_boosting": op10_candidate_boosting,

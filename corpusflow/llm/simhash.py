@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.llm.common import pick, staged
 from corpusflow.llm.components import components
@@ -63,7 +64,7 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def simhash(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(text) for text in texts], np.uint64).view(np.int64))
 
