@@ -1,8 +1,8 @@
 """Passages that repeat across documents, found by shared lines and aligned pairwise.
 
-A text is cut into lines: at line breaks, after sentence marks, and inside long sentences after words whose
-hash says so.  A cut depends on the words next to it alone, so a copied passage has the same lines wherever
-it stands.  For every line that is long enough to be rare the first document that has it is found, and
+A text is cut into lines at line breaks and, inside them, after words whose hash says so, on average one in
+``CUT``.  A cut depends on the word before it alone, so a copied passage has the same lines wherever it stands.
+For every line that is long enough to be rare the first document that has it is found, and
 each later document is aligned with the first holders of its lines: lines that are unique in both are matched
 in the order they have in both (patience diff: a longest increasing run), and neighbouring matches grow
 into a block if all that lies between them is equal too, which running hashes of the documents tell without
@@ -33,8 +33,8 @@ from corpusflow.llm.common import null_safe_join, pick, staged
 
 #: Lines of fewer words match nothing by themselves.
 LINE_WORDS = 3
-#: Sentences of more words are cut on, after one word in ``CUT`` by its hash.
-LONG_SENTENCE, CUT = 12, 8
+#: One word in so many ends a line.
+CUT = 7
 #: Words of the shortest block that is deleted.
 BLOCK_WORDS = 25
 
@@ -43,27 +43,20 @@ MULTIPLIER, MASK = 0x9E3779B1, 0xFFFFFFFF
 #: Lines that a task gathers before it passes them on.
 LINES_AT_ONCE = 100_000
 
-_SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+\s+|\n\s*|\Z)")
 _WORD = re.compile(r"\S+\s*")
 
 
 def lines(text: str) -> list[str]:
     """The lines of a text; end to end they are the text."""
-    found = []
-    for match in _SENTENCE.finditer(text):
-        sentence = match.group()
-        if not sentence:
-            continue
-        if sentence.count(" ") < LONG_SENTENCE:
-            found.append(sentence)
-            continue
-        start = 0
-        for word in _WORD.finditer(sentence):
-            if zlib.crc32(word.group().rstrip().encode()) % CUT == 0:
-                found.append(sentence[start : word.end()])
-                start = word.end()
-        if start < len(sentence):
-            found.append(sentence[start:])
+    found, start = [], 0
+    for word in _WORD.finditer(text):
+        value = word.group()
+        bare = value.rstrip()
+        if "\n" in value or zlib.crc32(bare.encode()) % CUT == 0:
+            found.append(text[start : word.end()])
+            start = word.end()
+    if start < len(text):
+        found.append(text[start:])
     return found
 
 
@@ -188,15 +181,9 @@ def repeated_blocks(documents: DataFrame) -> DataFrame:
     ids are one document.  A null id is later than all others.  Null and empty texts have no lines.
     """
     rows = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("doc_id"), "text")
-    found = staged(rows.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, place BIGINT, until BIGINT"), "lines")
-    # copies that are one document count once
+    found = rows.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, place BIGINT, until BIGINT")
     holder = F.struct("doc_id", F.col("until").bitwiseAND(MASK).alias("crc"), "place")
-    first = (
-        found.groupBy("line")
-        .agg(F.min(holder).alias("first"), F.max(holder).alias("last"))
-        .where("first.doc_id <> last.doc_id OR first.crc <> last.crc")
-        .select("line", "first")
-    )
+    first = found.groupBy("line").agg(F.min(holder).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first")
     crc = F.col("until").bitwiseAND(MASK)
     matches = (
         found.join(first, "line")
