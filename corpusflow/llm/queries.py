@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm.decontaminate import contaminated_words
+from corpusflow.llm.embeddings import near_duplicate_vectors
 from corpusflow.llm.linedup import without_repeated_passages
 from corpusflow.llm.packing import pack
 from corpusflow.llm.pii import KINDS, personal_spans, span_list
@@ -55,6 +56,10 @@ def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
+def op4_hyperplane_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scored = score_toxicity(documents, fit_toxicity(documents, table(spark, sf_dir, "labels")))
@@ -101,6 +106,7 @@ QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_vantage_point_simhash": op2_vantage_point_simhash,
     "op3_compression_quality": op3_compression_quality,
+    "op4_hyperplane_near_duplicates": op4_hyperplane_near_duplicates,
     "op5_weak_supervision_toxicity": op5_weak_supervision_toxicity,
     "op7_patience_line_dedup": op7_patience_line_dedup,
     "op8_winnowing": op8_winnowing,
