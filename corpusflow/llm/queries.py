@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.decontaminate import contaminated_words
 from corpusflow.llm.embeddings import near_duplicate_vectors
+from corpusflow.llm.licenses import scan_licenses
 from corpusflow.llm.linedup import without_repeated_passages
 from corpusflow.llm.packing import pack
 from corpusflow.llm.pii import KINDS, personal_spans, span_list
@@ -66,6 +67,14 @@ def op5_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a repository, its languages are directories."""
+    documents = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", "doc_id")
+    found = scan_licenses(documents.select(path.alias("path"), "doc_id", "text"))
+    return found.select("doc_id", "path", "own_license", F.round("cosine", 6).alias("cosine"), "license_file", "license", "inherited_from")
+
+
 def op7_patience_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as they are after the deletions, as digests of their texts."""
     left = without_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -108,6 +117,7 @@ QUERIES = {
     "op3_compression_quality": op3_compression_quality,
     "op4_hyperplane_near_duplicates": op4_hyperplane_near_duplicates,
     "op5_weak_supervision_toxicity": op5_weak_supervision_toxicity,
+    "op6_license_scan": op6_license_scan,
     "op7_patience_line_dedup": op7_patience_line_dedup,
     "op8_winnowing": op8_winnowing,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
