@@ -55,3 +55,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     other = right.withColumnsRenamed({key: f"other_{key}" for key in keys})
     same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"other_{key}")) for key in keys])
     return left.join(other, same, how).drop(*[f"other_{key}" for key in keys])
+
+
+def with_key(documents: DataFrame) -> DataFrame:
+    """Columns by place (``c0``, ``c1``, ...) with ``doc_id`` and ``text_key``, which tell documents apart."""
+    names = documents.columns
+    plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.withColumns({"doc_id": F.col(f"c{names.index('doc_id')}"), "text_key": F.xxhash64(f"c{names.index('text')}")})
+
+
+def without_documents(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """``documents``, all columns and names as they are, less those with the given ``doc_id, text_key``."""
+    left = null_safe_join(with_key(documents), keys.select("doc_id", "text_key"), ["doc_id", "text_key"], "left_anti")
+    return left.select(*[f"c{i}" for i in range(len(documents.columns))]).toDF(*documents.columns)
+
+
+def one_of_each(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row of ``documents`` for each of the given ``doc_id, text_key``."""
+    some = null_safe_join(with_key(documents), keys.select("doc_id", "text_key"), ["doc_id", "text_key"], "left_semi")
+    some = some.dropDuplicates(["doc_id", "text_key"])
+    return some.select(*[f"c{i}" for i in range(len(documents.columns))]).toDF(*documents.columns)

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import null_safe_join, pick, staged
+from corpusflow.llm.common import null_safe_join, pick, staged, without_documents
 
 #: Words of a window.
 SPAN = 10
@@ -175,6 +175,12 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, span: int = S
     )
 
 
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``documents`` without a hit, all columns and names as they are."""
+    hits = contaminated_words(documents, benchmark).where("n_hit > 0").select("doc_id", "text_key").distinct()
+    return without_documents(documents, hits)
+
+
 def _covered(places: Column) -> Column:
     """Words inside any of the sorted ``(start, length)`` places."""
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import pick, staged
+from corpusflow.llm.common import one_of_each, pick, staged, without_documents
 from corpusflow.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -133,6 +133,21 @@ def near_links(fingerprints: DataFrame) -> DataFrame:
     return looking.join(home, ["tree", "path"]).where(near).select("a", "b")
 
 
+def _grouped(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written tables: rows as ``doc_id, text_key, fingerprint``, and ``fingerprint, root, component_id`` of each fingerprint."""
+    rows = pick(documents, "doc_id", "text").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), simhash("text").alias("fingerprint")
+    )
+    rows = staged(rows, "fingerprints")
+    nodes = staged(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    roots = components(near_links(nodes))
+    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows, staged(rooted.join(smallest, "root").select("fingerprint", "root", "component_id"), "groups")
+
+
 def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     """``doc_id, fingerprint`` (BIGINT) ``, component_id`` for each row of ``documents`` (``doc_id, text``).
 
@@ -141,21 +156,24 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     own; a null id counts for no smallest id, and a group of null ids alone has none.  No rows give
     no rows.  Further columns are not looked at.
     """
-    rows = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), simhash("text").alias("fingerprint"))
-    rows = staged(rows, "fingerprints")
-    nodes = staged(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(near_links(nodes))
-    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = staged(rooted.join(smallest, "root").select("fingerprint", "component_id"), "groups")
+    rows, named = _grouped(documents)
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each group: the one with the smallest id, all columns as they are.
+    """One document of each group of near-duplicates, all columns and names as they are.
 
-    Rows that share that id and text are copies, and one of them stays.  A group without ids keeps one row.
+    It is the one with the smallest id; null ids come last, and of equal ids the smallest ``xxhash64`` of the
+    text decides.  Of rows with that id and that text one stays.  No rows give no rows.
     """
-    raise NotImplementedError
+    rows, named = _grouped(documents)
+    rank = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_key")
+    members = rows.join(named.select("fingerprint", "root"), "fingerprint").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    members = staged(members, "group-members")
+    best = members.groupBy("root").agg(F.min(rank).alias("best"), F.count("*").alias("different"))
+    judged = members.join(best, "root").withColumn("stays", rank == F.col("best"))
+    gone = judged.where("NOT stays").select("doc_id", "text_key")
+    repeated = staged(judged.where("stays AND n > 1").select("doc_id", "text_key"), "repeated-documents")
+    if repeated.isEmpty():
+        return without_documents(documents, gone)
+    return without_documents(documents, gone.unionByName(repeated)).unionByName(one_of_each(documents, repeated))

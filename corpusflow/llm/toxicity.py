@@ -274,3 +274,11 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     """
     rows = pick(documents, "doc_id", "text")
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity_score(F.col("text"), model).alias("score"))
+
+
+def drop_toxic(documents: DataFrame, model: ToxicityModel, threshold: float) -> DataFrame:
+    """``documents`` that score below ``threshold``, all columns and names as they are."""
+    names = documents.columns
+    plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
+    scored = plain.withColumn("score", toxicity_score(F.col(f"c{names.index('text')}"), model))
+    return scored.where(F.col("score") < threshold).drop("score").toDF(*names)
