@@ -28,13 +28,15 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{place}").alias(name) for place, name in zip(places, names, strict=True)])
 
 
-def rest(df: DataFrame, *taken: str) -> list[str]:
-    """Exact names of the columns that do not clash with ``taken``, whatever their case, first of each."""
-    seen, names = {name.lower() for name in taken}, []
+def rest(df: DataFrame, *taken: str, need: tuple[str, ...] = ()) -> list[str]:
+    """Exact names of the columns that clash with none of ``taken``, whatever their case, first of each; ``need`` stays."""
+    seen, names = {name.lower() for name in taken} - {name.lower() for name in need}, []
     for name in df.columns:
-        if name.lower() not in seen:
-            seen.add(name.lower())
+        if name in need and name not in names:
             names.append(name)
+        elif name.lower() not in seen | {n.lower() for n in need}:
+            names.append(name)
+        seen.add(name.lower())
     return names
 
 

@@ -150,7 +150,7 @@ def histogram_sort(
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
-    kept = rest(documents, "size", "shard", "slot")
+    kept = rest(documents, "size", "shard", "slot", need=(key, text))
     carried = [f"c{i}" for i in range(len(kept))]
     rows = staged(
         pick(documents, *kept)

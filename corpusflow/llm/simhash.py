@@ -176,4 +176,4 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     repeated = staged(judged.where("stays AND n > 1").select("doc_id", "text_key"), "repeated-documents")
     if repeated.isEmpty():
         return without_documents(documents, gone)
-    return without_documents(documents, gone.unionByName(repeated)).unionByName(one_of_each(documents, repeated))
+    return without_documents(documents, gone.unionByName(repeated)).union(one_of_each(documents, repeated))
