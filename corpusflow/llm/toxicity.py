@@ -33,7 +33,11 @@ SHARES = (200, 100, 50)
 VOTERS, FEATURES = 200, 600
 #: Labelled toxic texts that a feature has to be in, and how many times as often as in others.
 SUPPORT, RATIO = 3, 8.0
+#: Likelihood ratio (G) that tells a feature from chance; one word in a million reaches it without a reason.
+SIGNIFICANT = 24.0
 EM_ROUNDS = 25
+#: How much more often a pattern has to hold on one kind of text than on the other.
+PATTERN_GAIN = 0.2
 #: Share of the labels that may be wrong.
 LABEL_NOISE = 0.01
 #: Counts that a task gathers before it passes them on.
@@ -143,11 +147,25 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
     return partial.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
+def _likelihood_ratio(n_clean: int, n_toxic: int) -> Column:
+    """How much better two rates explain the counts of a feature than one does."""
+    clean, toxic = F.col("clean"), F.col("toxic")
+    share = (clean + toxic) / (n_clean + n_toxic)
+
+    def part(hits: Column, n: int, rate: Column) -> Column:
+        return F.when(hits > 0, hits * F.log(hits / (n * rate))).otherwise(0.0)
+
+    return 2 * (
+        part(clean, n_clean, share) + part(toxic, n_toxic, share)
+        + part(n_clean - clean, n_clean, 1 - share) + part(n_toxic - toxic, n_toxic, 1 - share)
+    )
+
+
 @dataclass
 class LabelModel:
     """How voters vote: rates of firing on clean and toxic texts, and the weight that their correlations leave them.
 
-    A voter that does not fire abstains.  The last voter fires where no other does.
+    A voter that does not fire abstains.  The last voter fires where no word does.
     """
 
     prior: float
@@ -199,7 +217,7 @@ def _best_cut(values: np.ndarray, labels: np.ndarray) -> float:
     """Where a pattern tells toxic from clean texts best; infinity where it tells nothing."""
     cuts = np.unique(np.quantile(values, np.linspace(0.02, 0.98, 33)))
     gains = [abs((values[labels == 1] > cut).mean() - (values[labels == 0] > cut).mean()) for cut in cuts]
-    return float(cuts[int(np.argmax(gains))]) if max(gains) > 0.1 else float("inf")
+    return float(cuts[int(np.argmax(gains))]) if max(gains) > PATTERN_GAIN else float("inf")
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
@@ -213,7 +231,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic")
     toxic, clean = F.col("toxic") / seen[1], (F.col("clean") + 0.5) / seen[0]
     telling = (
         _feature_counts(sample)
-        .where((F.col("toxic") >= SUPPORT) & (toxic >= RATIO * clean))
+        .where((F.col("toxic") >= SUPPORT) & (toxic >= RATIO * clean) & (_likelihood_ratio(seen[0], seen[1]) >= SIGNIFICANT))
         .orderBy((F.col("toxic") * F.log(toxic / clean)).desc(), "feature")
         .limit(FEATURES)
     )
@@ -242,8 +260,8 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic")
     measures = np.array([row["measures"] for row in rows])
     cuts = np.array([_best_cut(column[known >= 0], known[known >= 0]) for column in measures.T])
     shouting = (measures > cuts).astype(np.float32)
-    votes = np.hstack([fired[:, :VOTERS], shouting])
-    votes = np.hstack([votes, ~votes.any(axis=1, keepdims=True)])
+    lexicon = fired[:, :VOTERS]
+    votes = np.hstack([lexicon, shouting, ~lexicon.any(axis=1, keepdims=True)])
     posterior = fit_label_model(votes, known, base).posterior(votes)
     # the sample has as many labelled texts of both kinds; weigh them as often as they are there
     share = {value: counts[value] / seen[value] for value in (0, 1)}

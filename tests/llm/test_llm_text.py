@@ -126,9 +126,44 @@ def test_contaminated_documents_go(spark):
 # --- repeated passages ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("text", ["", " ", "a", " a\n", "\n\na b. c d!\n e", "x " * 100, "é b c"])
-def test_lines_are_the_text(text):
-    assert "".join(linedup.lines(text)) == text
+def plain_lines(data):
+    """Lines word by word, from the hashes of the words alone."""
+    words = [(m.start(), m.end(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    found, first = [], 0
+    for i, (_, end, word) in enumerate(words):
+        value = sum((c + 1) * pow(linedup.BYTE_BASE, k, 2**64) for k, c in enumerate(word)) % 2**64
+        following = words[i + 1][0] if i + 1 < len(words) else len(data)
+        if int(linedup._mixed(np.array([value], np.uint64))[0]) % linedup.CUT == 0 or b"\n" in data[end:following] or i + 1 == len(words):
+            found.append((first, i + 1))
+            first = i + 1
+    return found
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", " a\n", "\n\na b. c d!\n e", "x " * 100, "é b c\r\n d", "q" * 3000 + " r", "a b c d e f g h i j\n" * 20])
+def test_lines(monkeypatch, text):
+    data = text.encode()
+    first, until, hashes, running = linedup.line_table(data)
+    assert list(zip(first.tolist(), until.tolist())) == plain_lines(data)
+    assert len(set(hashes.tolist())) == len(hashes)
+    monkeypatch.setattr(linedup, "BYTES_AT_ONCE", 7)
+    assert all((a == b).all() for a, b in zip(linedup.line_table(data), (first, until, hashes, running)))
+
+
+def test_equal_stretches_have_equal_hashes():
+    rng = random.Random(3)
+    shared = prose(rng, 60)
+    tables = [linedup.line_table(f"{prose(rng, n)}\n{shared}\n{prose(rng, 9)}".encode()) for n in (5, 31)]
+    common = set(tables[0][2].tolist()) & set(tables[1][2].tolist())
+    covered = [sum(u - f for f, u, h in zip(t[0], t[1], t[2].tolist()) if h in common) for t in tables]
+    assert min(covered) >= 60
+    packed = []
+    for first, until, hashes, running in tables:
+        rows = [(int(f) << 32 | int(r), int(u) << 32, int(h)) for f, u, h, r in zip(first, until, hashes.tolist(), running)]
+        packed.append([row for row in rows if row[2] in common])
+    place, ends, other = [r[0] for r in packed[0]], [r[1] for r in packed[0]], [r[0] for r in packed[1]]
+    assert all(linedup._joined(place, ends, other, i, i + 1) for i in range(len(place) - 1))
+    wrong = [*other[:-1], other[-1] ^ 1]
+    assert not linedup._joined(place, ends, wrong, 0, len(place) - 1)
 
 
 def test_longest_increasing_run():
