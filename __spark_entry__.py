@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -39,7 +40,7 @@ from corpusflow.operators.windows import batch, pack_windows, window_counts
 from corpusflow.plans.steps import order_manifest, step_documents, step_plan, token_budget
 from corpusflow.sources.config import CorpusConfig, StepConfig
 from corpusflow.sources.corpus import read_corpus, resolve_splits, write_tokenized
-from corpusflow.sources.token_bin import read_manifest, read_tokens, read_windows, write_stream
+from corpusflow.sources.token_bin import copy_prefix, read_manifest, read_tokens, read_windows, write_stream
 from corpusflow.storage import materialize, scratch_path, small_shuffles, spread_small
 from corpusflow.streaming.append_pack import AppendPacker
 from corpusflow.streaming.live import append_encoded, encode_stream, read_documents, running_stats, throughput_by_window
@@ -124,8 +125,8 @@ def q_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_drop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tails = _documents(spark, sf_dir).withColumn("text", F.substr("text", F.lit(11)))
-    return drop_empty(tails).select("doc_id", F.char_length("text").alias("char_len"))
+    digits = _documents(spark, sf_dir).withColumn("text", F.regexp_replace("text", "[^0-9]", ""))
+    return drop_empty(digits).select("doc_id", F.char_length("text").alias("char_len"))
 
 
 def q_filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +244,7 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = token_offsets(_encoded(spark, sf_dir).drop("ids"))
-    return token_budget(spark, stream.totals, BLOCK, STRIDE, BATCH, STEPS.accumulate_grad_batches, True)
+    return token_budget(spark, stream.totals, BLOCK, STRIDE, BATCH, STEPS.accumulate_grad_batches, ["train"])
 
 
 def _plan(spark: SparkSession, stream: TokenStream) -> DataFrame:
@@ -303,7 +304,10 @@ def _losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = pack_windows(held_out, BLOCK, BLOCK, BYTES.eos_id, ["validation"])
     rows = batch(windows, BATCH, window_counts(held_out.totals, BLOCK, BLOCK))
     counts = scores.bigram_counts(encoded.where("split = 'train'"))
-    return scores.masked_loss(scores.score_tokens(rows, counts, BYTES.n_vocab))
+    losses = scores.masked_loss(scores.score_tokens(rows, counts, BYTES.n_vocab))
+    # the last batch may be incomplete
+    windows_left = F.lit(window_counts(held_out.totals, BLOCK, BLOCK)["validation"]) - F.col("batch_id") * BATCH
+    return losses.withColumn("n_rows", F.least(F.lit(BATCH), windows_left))
 
 
 def q_masked_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +317,7 @@ def q_masked_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validation_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = scores.validation_summary(_losses(spark, sf_dir))
+    summary = scores.validation_summary(_losses(spark, sf_dir), F.col("n_rows"))
     return summary.select("batches", F.round("val_loss", 6).alias("val_loss"), F.round("val_ppl", 5).alias("val_ppl"))
 
 
@@ -378,6 +382,35 @@ def token_bin_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_bin_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, target = f"{_token_files(spark, sf_dir)}/train", scratch_path(spark, "prefix")
+    copy_prefix(spark, source, target, 100_000, BYTES.dtype)
+    tokens = read_tokens(spark, target, BYTES.dtype).select("pos", F.posexplode("tokens").alias("i", "token"))
+    return tokens.agg(
+        F.count("*").alias("n_tokens"),
+        F.sum("token").alias("token_sum"),
+        F.sum(F.expr("(pos + i + 1) * token")).cast("bigint").alias("weighted_sum"),
+    )
+
+
+def token_bin_window_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _token_files(spark, sf_dir)
+    return _window_rows(read_windows(spark, f"{path}/train", BLOCK, STRIDE, BYTES.dtype, "train", window_range=(3, 40)))
+
+
+def corpus_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents stored as named splits, the validation split among them, and read back."""
+    path = scratch_path(spark, "named-splits")
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    for split, mine in (("train", F.col("lang") != "en"), ("validation", F.col("lang") == "en")):
+        documents.where(mine).write.parquet(f"{path}/{split}")
+    config = replace(_corpus_config(sf_dir), path=path)
+    corpus, existing = resolve_splits(read_corpus(spark, config), config)
+    return corpus.select(
+        "split", "doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.lit(existing).alias("existing_validation")
+    )
+
+
 def _both_splits(read: Callable[[str], DataFrame]) -> DataFrame:
     return read("train").unionByName(read("validation"))
 
@@ -519,6 +552,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_bin_roundtrip": token_bin_roundtrip,
         "token_bin_manifest": token_bin_manifest,
         "token_bin_windows": token_bin_windows,
+        "token_bin_prefix": token_bin_prefix,
+        "token_bin_window_lookup": token_bin_window_lookup,
+        "corpus_scan_splits": corpus_scan_splits,
         "tokenized_table": tokenized_table,
         "stream_encode": stream_encode,
         "stream_stats": stream_stats,
@@ -648,7 +684,8 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
     return {
         "corpus_scan": "SELECT 'train' AS split, doc_id, md5(text) AS text_md5, false AS existing_validation FROM documents",
         "length_filter": "SELECT doc_id, length(text)::INT AS char_len FROM documents WHERE length(text) BETWEEN 10 AND 20000",
-        "drop_empty": "SELECT doc_id, length(substr(text, 11))::INT AS char_len FROM documents WHERE substr(text, 11) <> ''",
+        "drop_empty": """SELECT doc_id, length(digits)::INT AS char_len
+            FROM (SELECT doc_id, regexp_replace(text, '[^0-9]', '', 'g') AS digits FROM documents) WHERE digits <> ''""",
         "filter_report": """SELECT source AS split, count(*) AS original, count(*) FILTER (length(text) >= 10) AS kept,
             count(*) FILTER (length(text) < 10) AS removed, count(*) FILTER (text IS NULL) AS null_texts,
             count(*) FILTER (text = '') AS empty_texts FROM documents GROUP BY source""",
@@ -725,9 +762,10 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
             SELECT split, window_id // {BATCH} AS batch_id, (window_id % {BATCH})::INT AS row_in_batch, window_id, x, y FROM counted
             WHERE split <> 'train' OR window_id // {BATCH} < n // {BATCH}""",
         "token_budget": f"""{_STREAM}, sizes AS (SELECT DISTINCT split, total, (total - {BLOCK + 1}) // {STRIDE} + 1 AS windows FROM placed)
-            SELECT split, total AS n_tokens, windows, windows // {BATCH} AS batches,
-                   (windows // {BATCH} + {accumulate - 1}) // {accumulate} AS steps_per_pass, {BATCH * accumulate}::BIGINT AS effective_batch_size,
-                   {BATCH * BLOCK}::BIGINT AS tokens_per_batch, {BATCH * BLOCK * accumulate}::BIGINT AS tokens_per_step FROM sizes""",
+            , counted AS (SELECT *, (windows + CASE WHEN split = 'train' THEN 0 ELSE {BATCH - 1} END) // {BATCH} AS batches FROM sizes)
+            SELECT split, total AS n_tokens, windows, batches,
+                   (batches + {accumulate - 1}) // {accumulate} AS steps_per_pass, {BATCH * accumulate}::BIGINT AS effective_batch_size,
+                   {BATCH * BLOCK}::BIGINT AS tokens_per_batch, {BATCH * BLOCK * accumulate}::BIGINT AS tokens_per_step FROM counted""",
         "step_plan": f"""{_STREAM}, {plan}
             SELECT step, epoch, first_batch, last_batch, (last_batch - first_batch + 1) * {BATCH} AS n_windows,
                    (last_batch - first_batch + 1) * {BATCH * BLOCK} AS n_tokens,
@@ -757,7 +795,11 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
         "throughput_sampled": f"""{log} SELECT run_id, step, round(n_tokens::DOUBLE / elapsed, 9) AS tokens_per_sec,
             (sum(n_tokens) OVER (PARTITION BY run_id ORDER BY step ROWS UNBOUNDED PRECEDING))::BIGINT AS tokens_processed FROM emitted""",
         "masked_loss": f"{losses} SELECT batch_id, n_targets, round(loss, 6) AS loss, round(exp(loss), 5) AS perplexity FROM losses",
-        "validation_loss": f"""{losses} SELECT count(loss) AS batches, round(avg(loss), 6) AS val_loss, round(avg(exp(loss)), 5) AS val_ppl FROM losses""",
+        "validation_loss": f"""{losses}, sizes AS (SELECT window_id // {BATCH} AS batch_id, count(*) AS n_rows FROM windows
+            WHERE split = 'validation' GROUP BY ALL)
+            SELECT count(loss) AS batches, round(sum(loss * n_rows) / sum(n_rows), 6) AS val_loss,
+                   round(sum(exp(loss) * n_rows) / sum(n_rows), 5) AS val_ppl
+            FROM losses JOIN sizes USING (batch_id) WHERE loss IS NOT NULL""",
         "softmax": f"""{plain}, {bigrams}
             SELECT a AS group_id, b AS item_id, round((n::DOUBLE * n) / sum(n::DOUBLE * n) OVER (PARTITION BY a), 9) AS p FROM bigrams""",
         "top_p": f"{cut} SELECT a AS group_id, b AS item_id, round(n::DOUBLE / kept_total, 9) AS p FROM kept",
@@ -769,6 +811,14 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
             SELECT split, count(*) AS n_tokens, sum(token)::BIGINT AS token_sum, sum(pos1 * token)::BIGINT AS weighted_sum FROM tokens GROUP BY split""",
         "token_bin_manifest": f"{_STREAM} SELECT split, sum(token_len)::BIGINT AS n_tokens FROM placed GROUP BY split",
         "token_bin_windows": f"""{_windows_sql(BLOCK, BLOCK, "split = 'validation'")} SELECT * FROM digests""",
+        "token_bin_prefix": f"""{_STREAM}, tokens AS (SELECT "offset" + i AS pos1, token FROM (
+              SELECT split, "offset", unnest(ids) AS token, generate_subscripts(ids, 1) AS i FROM placed WHERE split = 'train'))
+            SELECT count(*) AS n_tokens, sum(token)::BIGINT AS token_sum, sum(pos1 * token)::BIGINT AS weighted_sum
+            FROM tokens WHERE pos1 <= 100000""",
+        "token_bin_window_lookup": f"""{_windows_sql(BLOCK, STRIDE, "false")}
+            SELECT * FROM digests WHERE split = 'train' AND window_id BETWEEN 3 AND 40""",
+        "corpus_scan_splits": """SELECT CASE WHEN lang = 'en' THEN 'validation' ELSE 'train' END AS split, doc_id, md5(text) AS text_md5,
+            true AS existing_validation FROM documents""",
         "tokenized_table": f"""WITH {_ENCODED} SELECT split, doc_id, char_len::INT AS char_len, token_len::INT AS token_len, {digest}
             FROM encoded""",
         "stream_encode": f"""{plain} SELECT doc_id, char_len::INT AS char_len, token_len::INT AS token_len, {digest}

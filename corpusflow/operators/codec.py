@@ -195,12 +195,20 @@ def encode(df: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFram
 def decode_ids(vocab: Vocabulary, ids: Column | str) -> Column:
     """Text of an id array, in the JVM; byte sequences that are not UTF-8 become U+FFFD.
 
-    The vocabulary is one folded array literal, looked up by position.  Unknown ids raise.
+    The vocabulary is one folded array literal, looked up by position.  Ids that it does not have, negative
+    ones among them, and NULL ids raise in every session mode.
     """
     ids = F.col(ids) if isinstance(ids, str) else ids
-    table = F.split(F.lit(",".join(token.hex() for token in vocab.all_bytes())), ",")
-    hexed = F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")
-    return F.make_valid_utf8(F.unhex(hexed).cast("string"))
+    tokens = vocab.all_bytes()
+    table = F.split(F.lit(",".join(token.hex() for token in tokens)), ",")
+
+    def token(i: Column) -> Column:
+        known = F.coalesce((i >= 0) & (i < len(tokens)), F.lit(False))
+        unknown = F.raise_error(F.concat(F.lit("no token has the id "), F.coalesce(i.cast("string"), F.lit("NULL"))))
+        return F.when(known, F.get(table, i)).otherwise(unknown.cast("string"))
+
+    hexed = F.array_join(F.transform(ids, token), "")
+    return F.make_valid_utf8(F.unhex(hexed).cast("string")).alias("text")
 
 
 def decode(df: DataFrame, vocab: Vocabulary, ids_col: str = "ids", text_col: str = "text") -> DataFrame:

@@ -7,37 +7,54 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.ordering import Cells, with_hash_order
+from corpusflow.functions.ordering import with_hash_order
+
+
+#: Rows of a cell that the driver sorts; larger cells are parted by the next digits of the key.
+SORTED_ROWS = 1000
+DIGITS = 4
+
+
+def _last_held_out(ordered: DataFrame, held_out: int) -> str:
+    """Order key of the ``held_out``-th row, found digit by digit with histograms of at most 65,536 cells."""
+    prefix, before = "", 0
+    while True:
+        inside = ordered.where(F.startswith("order_key", F.lit(prefix))) if prefix else ordered
+        cell = F.substring("order_key", 1, len(prefix) + DIGITS).alias("cell")
+        cells = sorted((row["cell"], row["count"]) for row in inside.groupBy(cell).count().collect())
+        for name, n in cells:
+            if before + n >= held_out:
+                break
+            before += n
+        if len(name) == len(prefix):  # the whole key: its rows have equal ids
+            if before + n > held_out:
+                raise ValueError(f"the cut falls among {n} documents with one id; ids must be unique")
+            return name
+        prefix = name
+        if n <= SORTED_ROWS:
+            keys = sorted(row[0] for row in ordered.where(F.startswith("order_key", F.lit(prefix))).select("order_key").collect())
+            last = keys[held_out - before - 1]
+            if held_out - before < n and keys[held_out - before] == last:
+                raise ValueError(f"the cut falls among {keys.count(last)} documents with one id; ids must be unique")
+            return last
 
 
 def holdout_split(df: DataFrame, fraction: float, seed: int = 42, doc_id: str = "doc_id") -> DataFrame:
     """Add ``split``: ``validation`` for the first ``ceil(fraction * n)`` documents in seeded order.
 
-    The rank of the last held-out document is found on keys alone: a histogram over at most 65,536
-    cells names its cell, and only that cell is sorted.  The split itself is then a comparison with two
-    literals, evaluated where the rows are.
+    The key of the last held-out document is found by counting keys alone, cell by cell.  The split itself is then a
+    comparison with one literal, evaluated where the rows are.  NULL ids are an error, and so are equal ids where
+    the cut would have to part them; elsewhere documents with one id are on the same side.
     """
     if not 0 < fraction < 1:
         raise ValueError(f"fraction must lie between 0 and 1, got {fraction}")
     ordered = with_hash_order(df, seed, doc_id)
-    keys = ordered.select("order_key", F.col(doc_id).alias("doc_id"), Cells.hashed().cell(F.col("order_pos")).alias("cell"))
-    histogram = keys.groupBy("cell").agg(F.count("*").alias("n")).collect()
-    total = sum(row.n for row in histogram)
+    keys = ordered.select("order_key")
+    total, named = keys.agg(F.count("*"), F.count("order_key")).first()
+    if named < total:
+        raise ValueError(f"{total - named} documents have no {doc_id}")
     held_out = math.ceil(fraction * total)
     if held_out >= total:
         raise ValueError(f"{total} documents are too few to hold out a fraction of {fraction}")
-    before = 0
-    for row in sorted(histogram, key=lambda row: row.cell):
-        if before + row.n >= held_out:
-            break
-        before += row.n
-    last = (
-        keys.where(F.col("cell") == row.cell)
-        .orderBy("order_key", "doc_id")
-        .offset(held_out - before - 1)
-        .limit(1)
-        .collect()[0]
-    )
-    key, ident = F.lit(last.order_key), F.lit(last.doc_id)
-    first = (F.col("order_key") < key) | ((F.col("order_key") == key) & (F.col(doc_id) <= ident))
-    return ordered.withColumn("split", F.when(first, "validation").otherwise("train"))
+    last = F.lit(_last_held_out(keys, held_out))
+    return ordered.withColumn("split", F.when(F.col("order_key") <= last, "validation").otherwise("train"))

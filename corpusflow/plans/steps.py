@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +17,23 @@ def batch_count(windows: int, batch_size: int, drop_last: bool) -> int:
 
 
 def token_budget(
-    spark: SparkSession, totals: dict[str, int], block_size: int, stride: int, batch_size: int, accumulate: int, drop_last: bool
+    spark: SparkSession,
+    totals: dict[str, int],
+    block_size: int,
+    stride: int,
+    batch_size: int,
+    accumulate: int,
+    drop_last_splits: Iterable[str] = (),
 ) -> DataFrame:
-    """Per split: windows, batches and steps of one pass, and tokens per batch and per step."""
+    """Per split: windows, batches and steps of one pass, and tokens per batch and per step.
+
+    As in :func:`corpusflow.operators.windows.batch`, an incomplete last batch is dropped in ``drop_last_splits`` only.
+    """
+    dropping = set(drop_last_splits)
     rows = []
     for split, n_tokens in sorted(totals.items()):
         windows = window_count(n_tokens, block_size, stride)
-        batches = batch_count(windows, batch_size, drop_last)
+        batches = batch_count(windows, batch_size, split in dropping)
         rows.append(
             (
                 split,

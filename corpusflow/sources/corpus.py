@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.sources.config import READERS, CorpusConfig
@@ -50,26 +52,39 @@ def _suffix(name: str) -> str | None:
 
 
 def discover(config: CorpusConfig) -> dict[str, list[str]]:
-    """Files of each physical split.  When no file names a split, all of them are ``train``."""
+    """Files of each physical split.  When no file names a split, all of them are ``train``.
+
+    Files that name none beside files that do are an error, and so is a split of several formats.
+    """
     files = [(full, name) for full, name in _files(config.path) if config.format or _suffix(full)]
     if not files:
         raise FileNotFoundError(f"no data files under {config.path}")
     known = [*config.splits.values(), "train", "validation", "test"]
     found: dict[str, list[str]] = {}
+    unplaced = []
     for full, name in files:
         split = _split_of(name, known)
-        if split:
-            found.setdefault(split, []).append(full)
-    return found or {config.splits["train"]: [full for full, _ in files]}
+        found.setdefault(split, []).append(full) if split else unplaced.append(full)
+    if found and unplaced:
+        raise ValueError(f"{config.name}: files that belong to no split: {', '.join(unplaced[:10])}")
+    found = found or {config.splits["train"]: unplaced}
+    for split, paths in found.items():
+        kinds = {config.format or READERS[_suffix(path)] for path in paths}
+        if len(kinds) > 1:
+            raise ValueError(f"{config.name}: split {split!r} mixes formats: {', '.join(sorted(kinds))}")
+    return found
 
 
-def _with_row_ids(df: DataFrame) -> DataFrame:
-    """Ids from file order and row position: stable however often a task is run, increasing as stored."""
+def _with_row_ids(df: DataFrame, first_file: int = 0) -> DataFrame:
+    """Ids from file order and row position: stable however often a task is run, increasing as stored.
+
+    Files are numbered from ``first_file`` on, so that splits numbered one after the other share no id.
+    """
 
     def plain(path):
         return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
-    files = [(path, n) for n, path in enumerate(sorted(df.inputFiles()))]
+    files = [(path, first_file + n) for n, path in enumerate(sorted(df.inputFiles()))]
     if len(files) > MAX_NUMBERED_FILES:
         raise ValueError(f"{len(files)} files are too many to number; name an id_field")
     numbered = df.sparkSession.createDataFrame(files, "path STRING, file_no BIGINT")
@@ -79,11 +94,17 @@ def _with_row_ids(df: DataFrame) -> DataFrame:
     return matched.withColumn("doc_id", F.shiftleft("file_no", ROWS_PER_FILE_BITS) + F.col("row"))
 
 
-def _read_split(spark: SparkSession, config: CorpusConfig, split: str, files: list[str]) -> DataFrame:
+def _read_split(spark: SparkSession, config: CorpusConfig, split: str, files: list[str], first_file: int) -> tuple[DataFrame, int]:
+    """The rows of a split, and the number for the first file of the next one."""
     kind = config.format or READERS[_suffix(files[0])]
     reader = spark.read.format(kind)
     if kind == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+    if kind == "json":
+        # the fields that are used and no others, found in one file instead of all
+        fields = reader.load(files[0]).schema
+        used = [f for f in fields if f.name in (config.text_field, config.id_field)]
+        reader = reader.schema(T.StructType(used)) if config.text_field in fields.names else reader
     df = reader.load(files)
     field = "value" if kind == "text" and config.text_field not in df.columns else config.text_field
     if field not in df.columns:
@@ -91,11 +112,12 @@ def _read_split(spark: SparkSession, config: CorpusConfig, split: str, files: li
     if config.id_field:
         df = df.withColumn("doc_id", F.col(config.id_field).cast("bigint"))
     elif kind == "parquet":
-        df = _with_row_ids(df)
+        df, first_file = _with_row_ids(df, first_file), first_file + len(df.inputFiles())
     else:
         # only parquet rows have a position; write the texts once and number what was written
-        df = _with_row_ids(materialize(df.select(F.col(field)), f"ingest-{split}"))
-    return df.select(F.lit(split).alias("split"), "doc_id", F.col(field).cast("string").alias("text"))
+        written = materialize(df.select(F.col(field)), f"ingest-{split}")
+        df, first_file = _with_row_ids(written, first_file), first_file + len(written.inputFiles())
+    return df.select(F.lit(split).alias("split"), "doc_id", F.col(field).cast("string").alias("text")), first_file
 
 
 def read_corpus(spark: SparkSession, config: CorpusConfig) -> DataFrame:
@@ -104,11 +126,11 @@ def read_corpus(spark: SparkSession, config: CorpusConfig) -> DataFrame:
         raise ValueError("hub corpora are not fetched; download them and use source 'local'")
     if config.source != "local":
         raise ValueError(f"unknown source: {config.source}")
-    frames = [_read_split(spark, config, split, files) for split, files in discover(config).items()]
-    corpus = frames[0]
-    for frame in frames[1:]:
-        corpus = corpus.unionByName(frame)
-    return corpus
+    frames, first_file = [], 0
+    for split, files in sorted(discover(config).items()):
+        frame, first_file = _read_split(spark, config, split, files, first_file)
+        frames.append(frame)
+    return reduce(DataFrame.unionByName, frames)
 
 
 def resolve_splits(

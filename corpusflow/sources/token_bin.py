@@ -11,6 +11,7 @@ the tokens they share with the next row, so cutting windows from files needs no
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,7 @@ MANIFEST = "manifest.json"
 TYPES = {"uint16": ("<u2", "INT", pa.int32()), "uint32": ("<u4", "BIGINT", pa.int64())}
 RANGE_TOKENS = 32 << 20
 MAX_RANGES = 100_000
+SHARD_NAME = re.compile(r"tokens-[0-9]{18}-[0-9a-f]{32}\.bin")
 ROW_TOKENS = 1 << 16
 
 
@@ -48,7 +50,11 @@ def _element(dtype: str) -> tuple[str, str, pa.DataType]:
 
 
 def list_shards(path: str, dtype: str) -> list[Shard]:
-    """Shards of a stream in order.  A folder without manifest is read by file name."""
+    """Shards of a stream in order.
+
+    A folder of foreign ``.bin`` files is read by file name.  Shards of this source without a manifest were never
+    committed and are an error.
+    """
     width = np.dtype(_element(dtype)[0]).itemsize
     store, root = fs.FileSystem.from_uri(path)
     info = store.get_file_info(root)
@@ -65,6 +71,8 @@ def list_shards(path: str, dtype: str) -> list[Shard]:
             return [Shard(f"{root}/{s['shard']}", s["first_offset"], s["n_tokens"]) for s in manifest["shards"]]
         listing = store.get_file_info(fs.FileSelector(root))
         files = sorted((f for f in listing if f.path.endswith(".bin")), key=lambda f: f.path)
+        if any(SHARD_NAME.fullmatch(f.base_name) for f in files):
+            raise ValueError(f"{path} has shards but no {MANIFEST}: its writing did not end")
     shards, first = [], 0
     for file in files:
         if file.size % width:
@@ -101,6 +109,10 @@ class TokenBinReader(DataSourceReader):
         if self.block_size:
             self.windows = window_count(self.total, self.block_size, self.stride)
             self.row_windows = max(1, self.row_tokens // self.stride)
+        # only the rows that overlap the wanted tokens or windows are planned and read
+        per_row, there = (self.row_windows, self.windows) if self.block_size else (self.row_tokens, self.total)
+        first, stop = int(options.get("first", 0)), min(int(options.get("stop", there)), there)
+        self.wanted = range(first // per_row, max(first // per_row, -(-stop // per_row)))
 
     def row_count(self) -> int:
         if self.block_size:
@@ -117,11 +129,11 @@ class TokenBinReader(DataSourceReader):
     def partitions(self) -> list[TokenRange]:
         shards = list_shards(self.path, self.dtype)
         step = self.row_windows * self.stride if self.block_size else self.row_tokens
-        rows = self.row_count()
+        rows = len(self.wanted)
         per_task = max(1, min(self.range_tokens // step, -(-rows // self.min_tasks)), -(-rows // MAX_RANGES))
         ranges, at = [], 0
-        for first in range(0, rows, per_task):
-            stop = min(first + per_task, rows)
+        for first in self.wanted[::per_task]:
+            stop = min(first + per_task, self.wanted.stop)
             start, end = self.row_range(first)[0], self.row_range(stop - 1)[1]
             while shards[at].first + shards[at].count <= start:
                 at += 1
@@ -293,12 +305,21 @@ def read_windows(
     split: str = "train",
     eos_id: int | None = None,
     mask_after_eos: bool = False,
+    window_range: tuple[int, int] | None = None,
     **options: object,
 ) -> DataFrame:
-    """Windows ``(split, window_id, x, y)`` of a token file, cut where they are read."""
+    """Windows ``(split, window_id, x, y)`` of a token file, cut where they are read.
+
+    ``window_range`` (inclusive) reads those windows only: no other part of the files is looked at.
+    """
     if mask_after_eos and eos_id is None:
         raise ValueError("masking needs an EOS id")
-    window_count(token_count(path, dtype), block_size, stride)
+    count = window_count(token_count(path, dtype), block_size, stride)
+    if window_range is not None:
+        low, high = window_range
+        if low < 0 or high < low or high >= count:
+            raise IndexError(f"windows {low}..{high} are not within 0..{count - 1} of {split!r}")
+        options = {**options, "first": low, "stop": high + 1}
     rows = read_tokens(spark, path, dtype, block_size=block_size, stride=stride, **options)
     span = block_size + 1
 
@@ -308,13 +329,18 @@ def read_windows(
 
     ids = F.sequence(F.lit(0), F.expr(f"(size(tokens) - {span}) div {stride}"))
     windows = rows.select(F.lit(split).alias("split"), F.inline(F.transform(ids, window)))
+    if window_range is not None:
+        windows = windows.where(F.col("window_id").between(*window_range))
     return shift_targets(windows, block_size, eos_id, F.lit(True) if mask_after_eos else None)
 
 
 def copy_prefix(spark: SparkSession, source: str, target: str, n_tokens: int, dtype: str = "uint16") -> None:
-    """The first ``n_tokens`` of a stream as a stream of its own; all of it when it is shorter."""
+    """The first ``n_tokens`` of a stream as a stream of its own; all of it when it is shorter.
+
+    Only the part of the source that holds them is read.
+    """
     if n_tokens < 0:
         raise ValueError("a token limit must not be negative")
-    rows = read_tokens(spark, source, dtype).where(F.col("pos") < n_tokens)
+    rows = read_tokens(spark, source, dtype, stop=n_tokens)
     keep = F.least(F.size("tokens").cast("bigint"), F.lit(n_tokens) - F.col("pos")).cast("int")
     write_tokens(rows.select(F.col("pos").alias("offset"), F.slice("tokens", F.lit(1), keep).alias("ids")), target, dtype)

@@ -12,6 +12,7 @@ from corpusflow.functions.pretokenize import SPLIT_PATTERN
 from corpusflow.operators.bpe import chunk_freq, learn_merges
 from corpusflow.operators.codec import (
     cut_at_eos,
+    decode,
     decode_ids,
     encode,
     encode_batch,
@@ -115,3 +116,15 @@ def test_cut_at_eos(spark):
 
 def test_encoding_shuffles_nothing(documents):
     assert "Exchange" not in encode(documents, BYTES)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("ids", [[104, 999, 105], [104, 105, -100, -100], [104, None]])
+def test_unknown_ids_raise(spark, ansi, ids):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="no token has the id"):
+            decode(spark.createDataFrame([(ids,)], "ids ARRAY<INT>"), Vocabulary()).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

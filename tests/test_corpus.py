@@ -75,3 +75,33 @@ def test_filter_report_counts_each_split(spark):
     rows = [("s", "long enough text"), ("s", "short"), ("s", ""), ("s", None), ("t", "another long text")]
     report = filter_report(spark.createDataFrame(rows, "split STRING, text STRING"), 10)
     assert {tuple(r) for r in report.collect()} == {("s", 4, 1, 3, 1, 1), ("t", 1, 1, 0, 0, 0)}
+
+
+def test_files_of_no_split_are_an_error(spark, tmp_path):
+    for name in ("train", "extra"):
+        (tmp_path / f"{name}.jsonl").write_text('{"text": "x"}\n')
+    with pytest.raises(ValueError, match="extra.jsonl"):
+        read_corpus(spark, config(tmp_path))
+
+
+def test_mixed_formats_are_an_error(spark, tmp_path):
+    (tmp_path / "train-0.csv").write_text("text\na\n")
+    (tmp_path / "train-1.jsonl").write_text('{"text": "b"}\n')
+    with pytest.raises(ValueError, match="mixes formats"):
+        read_corpus(spark, config(tmp_path))
+
+
+@pytest.mark.parametrize("suffix", ["jsonl", "txt"])
+def test_row_ids_are_unique_over_splits(spark, tmp_path, suffix):
+    for split in ("train", "val"):
+        lines = [json.dumps({"text": f"{split} {i}", "other": i}) if suffix == "jsonl" else f"{split} {i}" for i in range(5)]
+        (tmp_path / f"{split}.{suffix}").write_text("\n".join(lines) + "\n")
+    rows = read_corpus(spark, config(tmp_path)).collect()
+    assert len({row.doc_id for row in rows}) == len(rows) == 10
+
+
+def test_json_reads_the_used_fields_alone(spark, tmp_path):
+    (tmp_path / "train.jsonl").write_text('{"n": 3, "text": "a", "other": {"deep": 1}}\n')
+    corpus = read_corpus(spark, config(tmp_path, id_field="n"))
+    assert [tuple(r) for r in corpus.collect()] == [("train", 3, "a")]
+    assert "deep" not in corpus._jdf.queryExecution().toString()

@@ -30,3 +30,26 @@ def test_fraction_must_be_inside(spark, fraction):
 def test_nothing_left_to_train_on(spark):
     with pytest.raises(ValueError):
         holdout_split(spark.range(1).withColumnRenamed("id", "doc_id"), 0.5)
+
+
+def test_equal_and_missing_ids(spark):
+    df = spark.createDataFrame([(5,)] * 20, "doc_id BIGINT")
+    with pytest.raises(ValueError, match="one id"):
+        holdout_split(df, 0.2)
+    with pytest.raises(ValueError, match="no doc_id"):
+        holdout_split(spark.createDataFrame([(1,), (None,), (2,)], "doc_id BIGINT"), 0.3)
+
+
+def test_equal_ids_away_from_the_cut_stay_together(spark):
+    ids = [*range(200), *([7] * 30)]
+    order = sorted(ids, key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+    size = next(n for n in range(60, 200) if order[n - 1] != order[n])
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id BIGINT")
+    held = [row.doc_id for row in holdout_split(df, (size - 0.5) / len(ids)).where("split = 'validation'").collect()]
+    assert sorted(held) == sorted(order[:size])
+
+
+def test_cells_are_parted_until_they_are_small(spark, monkeypatch):
+    monkeypatch.setattr("corpusflow.operators.split.SORTED_ROWS", 0)
+    split = holdout_split(spark.range(500).withColumnRenamed("id", "doc_id"), 0.1, 3)
+    assert {row.doc_id for row in split.where("split = 'validation'").collect()} == expected(range(500), 0.1, 3)

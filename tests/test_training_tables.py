@@ -21,6 +21,7 @@ from corpusflow.operators.scores import (
     validation_summary,
 )
 from corpusflow.operators.stream import token_offsets
+from corpusflow.operators.windows import batch
 from corpusflow.plans.steps import batch_count, order_manifest, step_documents, step_plan, token_budget
 from corpusflow.sources.config import StepConfig
 
@@ -73,7 +74,7 @@ def test_no_batch_is_an_error(spark):
 
 
 def test_budget_of_the_sample_run(spark):
-    row = token_budget(spark, {"train": 450_000_000}, 1024, 1024, 56, 4, True).collect()[0]
+    row = token_budget(spark, {"train": 450_000_000}, 1024, 1024, 56, 4, ["train"]).collect()[0]
     assert (row.tokens_per_batch, row.tokens_per_step, row.effective_batch_size) == (57_344, 229_376, 224)
     assert row.steps_per_pass == math.ceil(((450_000_000 - 1025) // 1024 + 1) // 56 / 4)
 
@@ -248,3 +249,15 @@ def test_throughput_arguments(spark):
         throughput(df, 0)
     with pytest.raises(ValueError):
         throughput(df, 1, "some")
+
+
+def test_budget_counts_the_batches_there_are(spark):
+    totals = {"train": 1000, "validation": 1000}
+    budget = {row["split"]: row["batches"] for row in token_budget(spark, totals, 16, 16, 7, 2, ["train"]).collect()}
+    counts = {split: (n - 17) // 16 + 1 for split, n in totals.items()}
+    windows = spark.range(counts["train"]).selectExpr("'train' AS split", "id AS window_id").unionByName(
+        spark.range(counts["validation"]).selectExpr("'validation' AS split", "id AS window_id")
+    )
+    rows = batch(windows, 7, counts, ["train"]).select("split", "batch_id").distinct().collect()
+    assert budget == {split: sum(row["split"] == split for row in rows) for split in totals}
+    assert budget["validation"] == budget["train"] + 1

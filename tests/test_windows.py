@@ -16,6 +16,7 @@ from corpusflow.operators.stream import token_offsets, token_prefix
 from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.operators.windows import batch, pack_windows, window_count, window_counts
 from corpusflow.sources.token_bin import (
+    TokenBinReader,
     copy_prefix,
     list_shards,
     read_manifest,
@@ -276,3 +277,35 @@ def test_copy_prefix(spark, tmp_path, limit):
     copy_prefix(spark, str(tmp_path / "a.bin"), str(tmp_path / "out"), limit)
     got = [t for r in read_tokens(spark, str(tmp_path / "out"), row_tokens=3).orderBy("pos").collect() for t in r.tokens]
     assert got == list(range(10))[:limit]
+
+
+def test_shards_without_a_manifest_are_an_error(spark, tmp_path):
+    df = spark.createDataFrame([(0, [1, 2, 3])], "offset BIGINT, ids ARRAY<INT>")
+    write_tokens(df, str(tmp_path / "t"))
+    (tmp_path / "t" / "manifest.json").unlink()
+    with pytest.raises(ValueError, match="no manifest"):
+        list_shards(str(tmp_path / "t"), "uint16")
+
+
+def test_only_wanted_ranges_are_planned(spark, tmp_path):
+    shards = [(1000 * i, list(range(1000))) for i in range(10)]
+    write_tokens(spark.createDataFrame(shards, "offset BIGINT, ids ARRAY<INT>").repartition(10, "offset"), str(tmp_path / "t"))
+    options = {"path": str(tmp_path / "t"), "row_tokens": "100", "range_tokens": "500"}
+    ranges = TokenBinReader({**options, "stop": "1050"}).partitions()
+    assert sum(r.stop_row - r.first_row for r in ranges) == 11
+    assert {s.first for r in ranges for s in r.shards} == {0, 1000}
+    windows = TokenBinReader({**options, "block_size": "20", "stride": "10", "first": "455", "stop": "457"})
+    assert [(r.first_row, r.stop_row) for r in windows.partitions()] == [(45, 46)]
+    assert {s.first for r in windows.partitions() for s in r.shards} == {4000}
+    assert TokenBinReader({**options, "stop": "0"}).partitions() == []
+
+
+@pytest.mark.parametrize("wanted", [(0, 0), (3, 9), (190, 197)])
+def test_window_range_of_files(spark, tmp_path, wanted):
+    write_tokens(spark.createDataFrame([(0, list(range(2000)))], "offset BIGINT, ids ARRAY<INT>"), str(tmp_path / "t"))
+    path = str(tmp_path / "t")
+    every = {r.window_id: r.x for r in read_windows(spark, path, 20, 10, row_tokens=50).collect()}
+    some = {r.window_id: r.x for r in read_windows(spark, path, 20, 10, window_range=wanted, row_tokens=50).collect()}
+    assert some == {w: every[w] for w in range(wanted[0], wanted[1] + 1)}
+    with pytest.raises(IndexError):
+        read_windows(spark, path, 20, 10, window_range=(0, 198))
