@@ -87,8 +87,11 @@ def token_offsets(encoded: DataFrame, hashed: bool = True, tokens_per_bucket: in
     before = (
         Window.partitionBy("split", "bucket").orderBy(*ORDER_COLUMNS).rowsBetween(Window.unboundedPreceding, -1)
     )
+    # as many partitions as the tokens ask for, whatever the session's default
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(totals.values()) // tokens_per_bucket)
     segments = (
         encoded.withColumn("bucket", F.shiftright(cell, shift))
+        .repartition(partitions, "split", "bucket")
         .withColumn("local_offset", F.coalesce(F.sum("token_len").over(before), F.lit(0)))
         .join(F.broadcast(bases_df), ["split", "bucket"])  # at most 2^20 short rows, see above
         .withColumn("offset", F.col("bucket_start") + F.col("local_offset"))

@@ -26,11 +26,31 @@ def window_counts(totals: dict[str, int], block_size: int, stride: int) -> dict[
     return {split: window_count(n, block_size, stride) for split, n in totals.items()}
 
 
-def _window_pieces(segments: DataFrame, block_size: int, stride: int, extra: list[str]) -> DataFrame:
-    """One row per window a segment takes part in: ``window_id`` and the stream range ``[start, stop)``.
+#: Windows whose pieces are cut from one row.
+WINDOWS_PER_STRETCH = 64
+
+
+def _in_stretches(segments: DataFrame, block_size: int, stride: int) -> DataFrame:
+    """Segments cut into rows of at most ``WINDOWS_PER_STRETCH`` windows, each with the ids these windows cover.
 
-    Slices are taken before the explode, so a long document is copied once, not once per window.
+    A row then yields a bounded number of pieces, however long the document and however small the stride.
     """
+    end = F.col("offset") + F.col("token_len")
+
+    def stretch(first: Column) -> Column:
+        last = F.least(first + (WINDOWS_PER_STRETCH - 1), F.col("last_window"))
+        start = F.greatest(F.col("offset"), first * stride)
+        stop = F.least(end, last * stride + block_size + 1)
+        ids = F.slice("ids", (start - F.col("offset") + 1).cast("int"), (stop - start).cast("int"))
+        return F.struct(first.alias("first_window"), last.alias("last_window"), start.alias("offset"), (stop - start).alias("token_len"), ids.alias("ids"))
+
+    firsts = F.sequence("first_window", "last_window", F.lit(WINDOWS_PER_STRETCH).cast("bigint"))
+    others = [c for c in segments.columns if c not in ("first_window", "last_window", "offset", "token_len", "ids")]
+    return segments.select(*others, F.inline(F.transform(firsts, stretch)))
+
+
+def _window_pieces(segments: DataFrame, block_size: int, stride: int, extra: list[str]) -> DataFrame:
+    """One row per window a segment takes part in: ``window_id`` and the stream range ``[start, stop)``."""
     span = block_size + 1
     first = F.greatest(F.lit(0), F.expr(f"(offset - {block_size} + {stride - 1}) div {stride}"))
     last = F.least(
@@ -48,12 +68,12 @@ def _window_pieces(segments: DataFrame, block_size: int, stride: int, extra: lis
         return F.struct(*fields)
 
     kept = [name for name in extra if name != "ids"]
-    return (
-        segments.withColumn("first_window", first)
-        .withColumn("last_window", last)
-        .where("first_window <= last_window")
-        .select("split", *kept, F.inline(F.transform(F.sequence("first_window", "last_window"), piece)))
+    taking_part = (
+        segments.withColumn("first_window", first.cast("bigint")).withColumn("last_window", last.cast("bigint")).where("first_window <= last_window")
     )
+    if "ids" in extra:
+        taking_part = _in_stretches(taking_part, block_size, stride)
+    return taking_part.select("split", *kept, F.inline(F.transform(F.sequence("first_window", "last_window"), piece)))
 
 
 def _assemble(pieces: DataFrame, keys: list[str]) -> DataFrame:

@@ -309,3 +309,25 @@ def test_window_range_of_files(spark, tmp_path, wanted):
     assert some == {w: every[w] for w in range(wanted[0], wanted[1] + 1)}
     with pytest.raises(IndexError):
         read_windows(spark, path, 20, 10, window_range=(0, 198))
+
+
+@pytest.mark.parametrize("ids", [
+    [(file << 36) + row for file in range(8) for row in range(3000)],
+    [*range(12_000), *range(10**15, 10**15 + 12_000)],
+])
+def test_no_cell_is_hot(spark, ids):
+    encoded = spark.createDataFrame([(i,) for i in ids], "doc_id BIGINT").selectExpr("'train' AS split", "doc_id", "3 AS token_len")
+    stream = token_offsets(with_id_order(encoded), hashed=False, tokens_per_bucket=3 * len(ids) // 256)
+    sizes = [end - start for _, _, start, end in stream.buckets]
+    assert max(sizes) <= 2 * 3 * len(ids) / 256
+    rows = sorted((r.doc_id, r.offset) for r in stream.segments.collect())
+    assert rows == [(i, 3 * n) for n, i in enumerate(sorted(ids))]
+
+
+def test_long_document_with_small_stride(spark):
+    """One document of many windows: no row holds more than the pieces of one stretch."""
+    n, block = 60_000, 512
+    encoded = spark.createDataFrame([(1,)], "doc_id BIGINT").selectExpr("'train' AS split", "doc_id", f"sequence(0, {n - 1}) AS ids", f"{n} AS token_len")
+    windows = pack_windows(token_offsets(with_id_order(encoded), hashed=False), block, 1)
+    row = windows.selectExpr("count(*) AS n", "sum(x[0]) AS first", "min(y[511] - x[0]) AS low", "max(y[511] - x[0]) AS high").first()
+    assert (row.n, row.first) == (n - block, sum(range(n - block))) and row.low == row.high == block
