@@ -421,7 +421,12 @@ def tokenized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _live_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_documents(spark, sf_dir, DOCUMENT_SCHEMA, pathGlobFilter="documents.parquet")
+    """Documents that arrive in id order in several files, one micro-batch each, so that state carries over."""
+    documents, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "arriving")
+    cuts = documents.approxQuantile("doc_id", [1 / 3, 2 / 3], 0.01)
+    for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
+        documents.where((F.col("doc_id") > low) & (F.col("doc_id") <= high)).write.mode("append").parquet(path)
+    return read_documents(spark, path, DOCUMENT_SCHEMA, maxFilesPerTrigger=1)
 
 
 def stream_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
