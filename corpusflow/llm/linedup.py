@@ -14,17 +14,14 @@ all documents have costs one row for each of them.  The first holder of a line n
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,26 +35,79 @@ CUT = 7
 #: Words of the shortest block that is deleted.
 BLOCK_WORDS = 25
 
-#: The running hash of a document, by words.
-MULTIPLIER, MASK = 0x9E3779B1, 0xFFFFFFFF
+#: Odd multipliers of the hashes of words, by bytes, and of lines and documents, by words; all modulo 2 ** 64.
+BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+MASK = 0xFFFFFFFF
+#: Bytes that are hashed together.
+BYTES_AT_ONCE = 1 << 20
 #: Lines that a task gathers before it passes them on.
 LINES_AT_ONCE = 100_000
 
-_WORD = re.compile(r"\S+\s*")
 
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
 
-def lines(text: str) -> list[str]:
-    """The lines of a text; end to end they are the text."""
-    found, start = [], 0
-    for word in _WORD.finditer(text):
-        value = word.group()
-        bare = value.rstrip()
-        if "\n" in value or zlib.crc32(bare.encode()) % CUT == 0:
-            found.append(text[start : word.end()])
-            start = word.end()
-    if start < len(text):
-        found.append(text[start:])
-    return found
+
+def powers(base: int, n: int) -> np.ndarray:
+    """``base ** 0 .. base ** n`` modulo 2 ** 64, at least."""
+    return _powers(base, 1 << max(16, n.bit_length()))
+
+
+def _inverse(base: int) -> int:
+    return pow(base, -1, 1 << 64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(29))
+
+
+def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end, in bytes; words are what ASCII white space parts."""
+    letters = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~((letters == 32) | ((letters >= 9) & (letters <= 13))), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def _word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    hashes, first = np.zeros(len(starts), np.uint64), 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + BYTES_AT_ONCE, side="right")))
+        part = np.frombuffer(data, np.uint8)[starts[first] : ends[last - 1]].astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * powers(BYTE_BASE, len(part))[: len(part)])])
+        a, b = starts[first:last] - starts[first], ends[first:last] - starts[first]
+        hashes[first:last] = (sums[b] - sums[a]) * powers(_inverse(BYTE_BASE), len(part))[a]
+        first = last
+    return _mixed(hashes)
+
+
+def line_table(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end, hash and running hash of each line of a text.
+
+    The running hash, 32 bits, is that of all words up to the end of the line.  The second time a line comes in a
+    text it has another hash, the third time again, so that all are unique in their document.
+    """
+    starts, ends = words_of(data)
+    n = len(starts)
+    if not n:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
+    hashes = _word_hashes(data, starts, ends)
+    cut = hashes % np.uint64(CUT) == 0
+    breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    cut[np.searchsorted(ends, breaks[breaks >= ends[0]], side="right") - 1] = True
+    cut[-1] = True
+    until = np.flatnonzero(cut) + 1
+    first = np.concatenate([[0], until[:-1]])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers(WORD_BASE, n)[:n])])
+    lines = _mixed((sums[until] - sums[first]) * powers(_inverse(WORD_BASE), n)[first])
+    order = np.argsort(lines, kind="stable")
+    same = np.concatenate([[False], lines[order][1:] == lines[order][:-1]])
+    place = np.arange(len(lines))
+    again = np.zeros(len(lines), np.uint64)
+    again[order] = place - np.maximum.accumulate(np.where(same, 0, place))
+    return first, until, _mixed(lines + again * np.uint64(WORD_BASE)), sums[until] & np.uint64(MASK)
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,42 +116,27 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``place`` packs the words before the line with the running hash up to its end, ``until`` the words up to its end
     with the checksum of the text, which is part of the document's identity.
     """
-    columns: list[list[int]] = [[], [], [], []]
+    columns: list[list[np.ndarray]] = [[], [], [], []]
+    held = 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            value = text.as_py()
-            if not value:
-                continue
-            number, crc, running, words = doc_id.as_py(), zlib.crc32(value.encode()), 0, 0
-            cut = [line.split() for line in lines(value)]
-            hashes = [xxhash.xxh64_intdigest(" ".join(line)) for line in cut]
-            seen: Counter = Counter()
-            for line, own in zip(cut, hashes, strict=True):
-                n = len(line)
-                running = (running * _power(n) + own) & MASK
-                if n >= LINE_WORDS:
-                    # the second time a line comes it is another one, so that all are unique in their document
-                    again = seen[own]
-                    seen[own] += 1
-                    mark = xxhash.xxh64_intdigest(own.to_bytes(8, "little"), again) if again else own
-                    columns[0].append(mark - (1 << 63))
-                    columns[1].append(number)
-                    columns[2].append(words << 32 | running)
-                    columns[3].append(words + n << 32 | crc)
-                words += n
-            if len(columns[0]) > LINES_AT_ONCE:
+            data = text.as_buffer().to_pybytes() if text.is_valid else b""
+            first, until, line, running = line_table(data)
+            long = until - first >= LINE_WORDS
+            columns[0].append(line[long].view(np.int64))
+            columns[1].append(np.full(int(long.sum()), doc_id.as_py(), np.int64))
+            columns[2].append(first[long] << 32 | running[long].astype(np.int64))
+            columns[3].append(until[long] << 32 | zlib.crc32(data))
+            held += len(columns[1][-1])
+            if held > LINES_AT_ONCE:
                 yield _as_batch(columns)
-                columns = [[], [], [], []]
-    yield _as_batch(columns)
-
-
-@lru_cache(maxsize=4096)
-def _power(n: int) -> int:
-    return pow(MULTIPLIER, n, 1 << 32)
+                columns, held = [[], [], [], []], 0
+    if held:
+        yield _as_batch(columns)
 
 
-def _as_batch(columns: list[list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], ["line", "doc_id", "place", "until"])
+def _as_batch(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in columns], ["line", "doc_id", "place", "until"])
 
 
 def _increasing(values: list[int]) -> list[int]:
@@ -140,11 +175,15 @@ def aligned_blocks(place: list[int], until: list[int], first_place: list[int]) -
 
 
 def _joined(place: list[int], until: list[int], first_place: list[int], a: int, b: int) -> bool:
-    """Whether the lines between two matches are the same in both documents."""
+    """Whether the words between the ends of two matches are the same in both documents."""
     if (place[b] >> 32) - (place[a] >> 32) != (first_place[b] >> 32) - (first_place[a] >> 32):
         return False
-    power = _power((until[b] >> 32) - (until[a] >> 32))
-    return ((place[b] - place[a] * power) ^ (first_place[b] - first_place[a] * power)) & MASK == 0
+    end = until[a] >> 32
+    first_end = (first_place[a] >> 32) + end - (place[a] >> 32)
+    # both differences of running hashes, brought to the same power
+    own = (place[b] - place[a]) * pow(WORD_BASE, first_end, 1 << 32)
+    first = (first_place[b] - first_place[a]) * pow(WORD_BASE, end, 1 << 32)
+    return (own - first) & MASK == 0
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,17 +239,18 @@ def repeated_blocks(documents: DataFrame) -> DataFrame:
 
 @F.pandas_udf(T.StringType())
 def cut_blocks(texts: pd.Series, blocks: pd.Series) -> pd.Series:
-    """Texts without the lines in the given ranges of words."""
+    """Texts without the given ranges of words."""
     def cut(text: str | None, ranges) -> str | None:
-        if text is None or ranges is None or not len(ranges):
-            return text
-        parts = lines(text)
-        ends = np.cumsum([len(part.split()) for part in parts])
-        starts = np.concatenate([[0], ends[:-1]])
-        gone = np.zeros(len(parts), bool)
-        for block in ranges:
-            gone |= (starts >= block["start"]) & (ends <= block["end"]) & (starts < ends)
-        return "".join(part for part, out in zip(parts, gone, strict=True) if not out)
+        if text is None:
+            return None
+        data = text.encode()
+        starts = np.append(words_of(data)[0], len(data))
+        kept, at = [], 0
+        for block in ranges:  # sorted, may overlap
+            begin, end = int(starts[block["start"]]), int(starts[block["end"]])
+            kept.append(data[at : max(at, begin)])
+            at = max(at, end)
+        return b"".join([*kept, data[at:]]).decode()
 
     return pd.Series([cut(text, ranges) for text, ranges in zip(texts, blocks, strict=True)], dtype=object)
 
@@ -218,15 +258,20 @@ def cut_blocks(texts: pd.Series, blocks: pd.Series) -> pd.Series:
 def without_repeated_passages(documents: DataFrame) -> DataFrame:
     """``documents`` with the repeated passages cut out of ``text``; all other columns and names stay as they are.
 
-    Documents of which nothing but white space is left are dropped; those that were so before stay.  See
-    :func:`repeated_blocks` for which passages go.  No rows give no rows.
+    Of a copy, lines too short to match may be left at either end: what has lost a passage and has no more words
+    than such lines is dropped.  Short and empty texts that lose nothing stay.  See :func:`repeated_blocks` for which
+    passages go.  No rows give no rows.
     """
     names = documents.columns
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     keyed = plain.withColumn("doc_id", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1))).withColumn("crc", F.crc32(F.col(text)))
-    joined = null_safe_join(keyed, staged(repeated_blocks(documents), "repeated-blocks"), ["doc_id", "crc"], "left")
-    cut = joined.withColumn("cut", F.when(F.col("blocks").isNotNull(), cut_blocks(text, "blocks")).otherwise(F.col(text)))
-    left = cut.where(F.col("blocks").isNull() | (F.trim("cut") != ""))
+    # what is cut grows with the input, so it is never broadcast
+    blocks = staged(repeated_blocks(documents), "repeated-blocks").hint("merge")
+    joined = null_safe_join(keyed, blocks, ["doc_id", "crc"], "left")
+    # only texts with blocks go through Python
+    changed = cut_blocks(F.when(F.col("blocks").isNotNull(), F.col(text)), F.col("blocks"))
+    cut = joined.withColumn("cut", F.when(F.col("blocks").isNotNull(), changed).otherwise(F.col(text)))
+    left = cut.where(F.col("blocks").isNull() | (F.size(F.split("cut", r"[\x20\x09-\x0D]+")) > 2 * LINE_WORDS))
     columns = [F.col("cut") if f"c{i}" == text else F.col(f"c{i}") for i in range(len(names))]
     return left.select(*columns).toDF(*names)
