@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.llm.common import null_safe_join, pick, staged
 from corpusflow.llm.components import components
@@ -43,26 +44,28 @@ def _unit(flat: np.ndarray, dimension: int) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, copies, label, table, signature, unit, signatures`` for each node (``node, copies, label, embedding``) and table."""
+def _signatures_of(units: np.ndarray) -> np.ndarray:
+    """One signature per row and table."""
+    signs = (units @ _planes(units.shape[1]) > 0).reshape(len(units), TABLES, BITS)
+    return signs @ (1 << np.arange(BITS))
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, label, dimension, table, signature`` for each node (``node, label, embedding``) and table."""
     for batch in batches:
-        lists = batch.column(3)
+        lists = batch.column(2)
         sizes = np.diff(lists.offsets.to_numpy())
         for dimension in np.unique(sizes):
             rows = np.flatnonzero(sizes == dimension)
             part = batch.take(pa.array(rows))
-            unit = _unit(part.column(3).flatten().to_numpy().astype(np.float64), int(dimension))
-            signs = (unit @ _planes(int(dimension)) > 0).reshape(len(rows), TABLES, BITS)
-            signatures = (signs @ (1 << np.arange(BITS))).astype("<i4")
-            packed = pa.array([row.tobytes() for row in unit], pa.binary())
-            all_tables = pa.array([row.tobytes() for row in signatures], pa.binary())
+            signatures = _signatures_of(_unit(part.column(2).flatten().to_numpy().astype(np.float64), int(dimension)))
             for table in range(TABLES):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), part.column(1), part.column(2), pa.array(np.full(len(rows), dimension, np.int32)),
-                        pa.array(np.full(len(rows), table, np.int32)), pa.array(signatures[:, table]), packed, all_tables,
+                        part.column(0), part.column(1), pa.array(np.full(len(rows), dimension, np.int32)),
+                        pa.array(np.full(len(rows), table, np.int32)), pa.array(signatures[:, table].astype(np.int32)),
                     ],
-                    ["node", "copies", "label", "dimension", "table", "signature", "unit", "signatures"],
+                    ["node", "label", "dimension", "table", "signature"],
                 )
 
 
@@ -72,8 +75,8 @@ def _links_of(left: list[tuple], right: list[tuple] | None, table: int) -> list[
     sides = [left, left if same else right]
     nodes = [np.array([row[0] for row in side], np.int64) for side in sides]
     copies = [np.array([row[1] for row in side], np.int64) for side in sides]
-    units = [np.frombuffer(b"".join(row[2] for row in side)).reshape(len(side), -1) for side in sides]
-    signatures = [np.frombuffer(b"".join(row[3] for row in side), "<i4").reshape(len(side), -1) for side in sides]
+    units = [_unit(np.array([row[2] for row in side], float), len(side[0][2])) for side in sides]
+    signatures = [_signatures_of(unit) for unit in units] if table else []
     linked = units[0] @ units[1].T >= COSINE
     if same:
         np.fill_diagonal(linked, False)
@@ -109,7 +112,7 @@ def _roots(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each block, from rows sorted by block (``block, table, second, node, copies, unit, signatures``)."""
+    """Links of each block, from rows sorted by block (``bucket, first, second, table, side, node, copies, embedding``)."""
     at, sides, out = None, ([], []), []
 
     def close() -> None:
@@ -136,28 +139,37 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-_SIGNED = "node BIGINT, copies BIGINT, label STRING, dimension INT, table INT, signature INT, unit BINARY, signatures BINARY"
-
-
 def _block_links(nodes: DataFrame) -> DataFrame:
-    signed = nodes.mapInArrow(_signatures, _SIGNED)
-    bucket = F.concat_ws("|", "dimension", "table", "signature", "label").alias("bucket")
-    sizes = staged(signed.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    """Links of all blocks; vectors join the rows of their buckets only where these have other nodes in them."""
+    signed = nodes.select("node", "label", "embedding").mapInArrow(
+        _buckets, "node BIGINT, label STRING, dimension INT, table INT, signature INT"
+    )
+    placed = signed.select(F.concat_ws("|", "dimension", "table", "signature", "label").alias("bucket"), "table", "node")
+    placed = staged(placed, "buckets")
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     dealt = (
-        signed.select(bucket, "table", "node", "copies", "unit", "signatures")
-        .join(sizes, "bucket")
+        placed.join(sizes, "bucket")
         .withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
             "bucket", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "table",
-            (F.col("chunk") > F.col("other")).cast("int").alias("side"), "node", "copies", "unit", "signatures",
+            (F.col("chunk") > F.col("other")).cast("int").alias("side"), "node",
         )
+        .join(nodes.select("node", "copies", "embedding"), "node")
+        .select("bucket", "first", "second", "table", "side", "node", "copies", "embedding")
     )
     block = ["bucket", "first", "second"]
     return dealt.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compare, "node BIGINT, links BIGINT, root BIGINT")
 
 
+def _floating(column: Column, df: DataFrame) -> Column:
+    """Vectors of single precision as they are, all others in double precision."""
+    kind = df.schema["embedding"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return column if single else column.cast("array<double>")
+
+
 def near_duplicate_vectors(embeddings: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``embeddings`` (``vec_id, embedding, label``).
 
@@ -169,7 +181,7 @@ def near_duplicate_vectors(embeddings: DataFrame) -> DataFrame:
     """
     rows = pick(embeddings, "vec_id", "embedding", "label").select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        _floating(F.col("embedding"), embeddings).alias("embedding"),
         F.col("label").cast("string").alias("label"),
     )
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
