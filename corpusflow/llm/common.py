@@ -42,9 +42,14 @@ def rest(df: DataFrame, *taken: str, need: tuple[str, ...] = ()) -> list[str]:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage is cut and rows stay as they are."""
+    return staged_at(df, label)[0]
+
+
+def staged_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`staged`, with the path, for tables that are dropped after use."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def held_out(doc_id: Column) -> Column:

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import null_safe_join, pick, staged
+from corpusflow.llm.common import null_safe_join, pick, staged, staged_at
+from corpusflow.storage import drop_table
 
 #: Lines of fewer words match nothing by themselves.
 LINE_WORDS = 3
@@ -220,7 +221,8 @@ def repeated_blocks(documents: DataFrame) -> DataFrame:
     ids are one document.  A null id is later than all others.  Null and empty texts have no lines.
     """
     rows = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("doc_id"), "text")
-    found = rows.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, place BIGINT, until BIGINT")
+    # read twice, so it is written once, and dropped when the blocks are known
+    found, path = staged_at(rows.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, place BIGINT, until BIGINT"), "lines")
     holder = F.struct("doc_id", F.col("until").bitwiseAND(MASK).alias("crc"), "place")
     first = found.groupBy("line").agg(F.min(holder).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first")
     crc = F.col("until").bitwiseAND(MASK)
@@ -234,7 +236,10 @@ def repeated_blocks(documents: DataFrame) -> DataFrame:
     matches = matches.repartition("doc_id", "crc").sortWithinPartitions("doc_id", "crc", "of_doc", "of_crc", "place")
     blocks = matches.mapInArrow(_align, "doc_id BIGINT, crc BIGINT, start BIGINT, end BIGINT")
     # one document may be aligned with several holders; its blocks are bounded by its lines
-    return blocks.groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("blocks"))
+    blocks = blocks.groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("blocks"))
+    blocks = staged(blocks, "repeated-blocks")
+    drop_table(documents.sparkSession, path)
+    return blocks
 
 
 @F.pandas_udf(T.StringType())
@@ -267,7 +272,7 @@ def without_repeated_passages(documents: DataFrame) -> DataFrame:
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     keyed = plain.withColumn("doc_id", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1))).withColumn("crc", F.crc32(F.col(text)))
     # what is cut grows with the input, so it is never broadcast
-    blocks = staged(repeated_blocks(documents), "repeated-blocks").hint("merge")
+    blocks = repeated_blocks(documents).hint("merge")
     joined = null_safe_join(keyed, blocks, ["doc_id", "crc"], "left")
     # only texts with blocks go through Python
     changed = cut_blocks(F.when(F.col("blocks").isNotNull(), F.col(text)), F.col("blocks"))
