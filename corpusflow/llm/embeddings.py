@@ -14,6 +14,7 @@ come the totals and, by connected components, the groups.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -50,32 +51,46 @@ def _signatures_of(units: np.ndarray) -> np.ndarray:
     return signs @ (1 << np.arange(BITS))
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, label, dimension, table, signature`` for each node (``node, label, embedding``) and table."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, copies, label, dimension, vector`` with the components as bytes, from ``node, copies, label, embedding``."""
     for batch in batches:
-        lists = batch.column(2)
-        sizes = np.diff(lists.offsets.to_numpy())
+        lists = batch.column(3)
+        values = lists.flatten().to_numpy()
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        parts = [values[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        dimensions = pa.array(np.diff(ends).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], dimensions, pa.array(parts, pa.binary())], ["node", "copies", "label", "dimension", "vector"]
+        )
+
+
+def _units(vectors: list[bytes], dimension: int, kind: str) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(vectors), kind).astype(np.float64), dimension)
+
+
+def _buckets(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, label, dimension, table, signature`` for each node (``node, label, dimension, vector``) and table."""
+    for batch in batches:
+        sizes = batch.column(2).to_numpy()
         for dimension in np.unique(sizes):
             rows = np.flatnonzero(sizes == dimension)
             part = batch.take(pa.array(rows))
-            signatures = _signatures_of(_unit(part.column(2).flatten().to_numpy().astype(np.float64), int(dimension)))
+            signatures = _signatures_of(_units(part.column(3).to_pylist(), int(dimension), kind))
             for table in range(TABLES):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1), pa.array(np.full(len(rows), dimension, np.int32)),
-                        pa.array(np.full(len(rows), table, np.int32)), pa.array(signatures[:, table].astype(np.int32)),
-                    ],
+                    [*part.columns[:3], pa.array(np.full(len(rows), table, np.int32)), pa.array(signatures[:, table].astype(np.int32))],
                     ["node", "label", "dimension", "table", "signature"],
                 )
 
 
-def _links_of(left: list[tuple], right: list[tuple] | None, table: int) -> list[tuple[int, int, int]]:
+def _links_of(left: list[tuple], right: list[tuple] | None, table: int, kind: str) -> list[tuple[int, int, int]]:
     """``(node, links, root)`` for the nodes of one block that are linked in it and share no earlier table."""
     same = right is None
     sides = [left, left if same else right]
     nodes = [np.array([row[0] for row in side], np.int64) for side in sides]
     copies = [np.array([row[1] for row in side], np.int64) for side in sides]
-    units = [_unit(np.array([row[2] for row in side], float), len(side[0][2])) for side in sides]
+    dimension = len(left[0][2]) // np.dtype(kind).itemsize
+    units = [_units([row[2] for row in side], dimension, kind) for side in sides]
     signatures = [_signatures_of(unit) for unit in units] if table else []
     linked = units[0] @ units[1].T >= COSINE
     if same:
@@ -111,17 +126,17 @@ def _roots(a: np.ndarray, b: np.ndarray) -> dict[int, int]:
     return dict(zip(names.tolist(), names[root].tolist(), strict=True))
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each block, from rows sorted by block (``bucket, first, second, table, side, node, copies, embedding``)."""
+def _compare(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each block, from rows sorted by block (``bucket, first, second, table, side, node, copies, vector``)."""
     at, sides, out = None, ([], []), []
 
     def close() -> None:
         if at is not None:
             first, second, table = at[1], at[2], at[3]
             if first == second and len(sides[0]) > 1:
-                out.extend(_links_of(sides[0], None, table))
+                out.extend(_links_of(sides[0], None, table, kind))
             elif first != second and sides[0] and sides[1]:
-                out.extend(_links_of(sides[0], sides[1], table))
+                out.extend(_links_of(sides[0], sides[1], table, kind))
 
     def flush() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [[], [], []]
@@ -141,8 +156,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _block_links(nodes: DataFrame) -> DataFrame:
     """Links of all blocks; vectors join the rows of their buckets only where these have other nodes in them."""
-    signed = nodes.select("node", "label", "embedding").mapInArrow(
-        _buckets, "node BIGINT, label STRING, dimension INT, table INT, signature INT"
+    kind = "<f4" if isinstance(nodes.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
+    nodes = nodes.mapInArrow(_packed, "node BIGINT, copies BIGINT, label STRING, dimension INT, vector BINARY")
+    nodes = staged(nodes, "packed-vectors")
+    signed = nodes.select("node", "label", "dimension", "vector").mapInArrow(
+        partial(_buckets, kind), "node BIGINT, label STRING, dimension INT, table INT, signature INT"
     )
     placed = signed.select(F.concat_ws("|", "dimension", "table", "signature", "label").alias("bucket"), "table", "node")
     placed = staged(placed, "buckets")
@@ -156,11 +174,11 @@ def _block_links(nodes: DataFrame) -> DataFrame:
             "bucket", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "table",
             (F.col("chunk") > F.col("other")).cast("int").alias("side"), "node",
         )
-        .join(nodes.select("node", "copies", "embedding"), "node")
-        .select("bucket", "first", "second", "table", "side", "node", "copies", "embedding")
+        .join(nodes.select("node", "copies", "vector"), "node")
+        .select("bucket", "first", "second", "table", "side", "node", "copies", "vector")
     )
     block = ["bucket", "first", "second"]
-    return dealt.repartition(*block).sortWithinPartitions(*block).mapInArrow(_compare, "node BIGINT, links BIGINT, root BIGINT")
+    return dealt.repartition(*block).sortWithinPartitions(*block).mapInArrow(partial(_compare, kind), "node BIGINT, links BIGINT, root BIGINT")
 
 
 def _floating(column: Column, df: DataFrame) -> Column:
