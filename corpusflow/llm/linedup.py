@@ -1,20 +1,17 @@
-"""Passages that repeat across documents, found by shared lines and aligned pairwise.
-
-A text is cut into lines at line breaks and, inside them, after words whose hash says so, on average one in
-``CUT``.  A cut depends on the word before it alone, so a copied passage has the same lines wherever it stands.
-For every line that is long enough to be rare the first document that has it is found, and
-each later document is aligned with the first holders of its lines: lines that are unique in both are matched
-in the order they have in both (patience diff: a longest increasing run), and neighbouring matches grow
-into a block if all that lies between them is equal too, which running hashes of the documents tell without
-moving any text.  Blocks of ``BLOCK_WORDS`` words or more are cut out of the later document.
-
-Pairing with the first holder alone makes as many pairs as there are repeated lines: a line that a third of
-all documents have costs one row for each of them.  The first holder of a line never loses it.
+"""Passages that repeat across documents, found by the windows of words that they hold.
+
+A passage of ``BLOCK_WORDS`` words or more repeats if and only if each of its windows of ``BLOCK_WORDS`` words stands in
+an earlier document, so a window needs its first holder and no pairs of documents.  A row for every window would be
+a row for every word; therefore each window names an anchor first, the smallest hash of the ``GRAM_WORDS``-word
+grams inside it.  Equal windows have equal anchors wherever they stand, neighbouring windows mostly share theirs, and only the
+windows whose anchor comes in two documents are written.  Words in a window that an earlier document has are cut out.
+
+Nothing is paired: an anchor or a window that a third of all documents have costs one row (of a window: one for each
+window around it) for each of them.  The first holder of a window never loses it.
 """
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,27 +19,29 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import null_safe_join, pick, staged, staged_at
+from corpusflow.llm.common import pick, staged, staged_at
 from corpusflow.storage import drop_table
 
-#: Lines of fewer words match nothing by themselves.
-LINE_WORDS = 3
 #: One word in so many ends a line.
 CUT = 7
 #: Words of the shortest block that is deleted.
 BLOCK_WORDS = 25
+#: Words of the grams that anchor a window.  Longer ones are rarer and more of them are written.
+GRAM_WORDS = 8
+#: Of what has lost a passage, so many words are no document.
+REST_WORDS = 6
 
 #: Odd multipliers of the hashes of words, by bytes, and of lines and documents, by words; all modulo 2 ** 64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 MASK = 0xFFFFFFFF
 #: Bytes that are hashed together.
 BYTES_AT_ONCE = 1 << 20
-#: Lines that a task gathers before it passes them on.
-LINES_AT_ONCE = 100_000
+#: Rows that a task gathers before it passes them on.
+ROWS_AT_ONCE = 100_000
 
 
 @lru_cache(maxsize=4)
@@ -111,33 +110,66 @@ def line_table(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return first, until, _mixed(lines + again * np.uint64(WORD_BASE)), sums[until] & np.uint64(MASK)
 
 
-def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``line, doc_id, place, until``: for each line of ``LINE_WORDS`` words or more.
+def window_table(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and anchor of the window of ``BLOCK_WORDS`` words at each word of a text that has one."""
+    starts, ends = words_of(data)
+    n = len(starts)
+    if n < BLOCK_WORDS:
+        return (np.zeros(0, np.int64),) * 2
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_word_hashes(data, starts, ends) * powers(WORD_BASE, n)[:n])])
+    back = powers(_inverse(WORD_BASE), n)
+
+    def grams(words: int) -> np.ndarray:
+        return _mixed((sums[words:] - sums[:-words]) * back[: n - words + 1]).view(np.int64)
 
-    ``place`` packs the words before the line with the running hash up to its end, ``until`` the words up to its end
-    with the checksum of the text, which is part of the document's identity.
-    """
-    columns: list[list[np.ndarray]] = [[], [], [], []]
-    held = 0
+    # minima over 1, 2, 4, ... grams; the last two overlap
+    least, over = grams(GRAM_WORDS), 1
+    while over < BLOCK_WORDS - GRAM_WORDS + 1:
+        step = min(over, BLOCK_WORDS - GRAM_WORDS + 1 - over)
+        least, over = np.minimum(least[:-step], least[step:]), over + step
+    return grams(BLOCK_WORDS), least
+
+
+def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``anchor, document`` for each distinct anchor of each text."""
+    def rows(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+        for document, text in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
+            anchors = np.unique(window_table(text.as_buffer().to_pybytes())[1]) if text.is_valid else ()
+            if len(anchors):
+                yield [anchors, np.full(len(anchors), document)]
+
+    return _gathered(batches, rows, ["anchor", "document"])
+
+
+def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``window, doc_id, document, start`` of the windows with one of the given anchors."""
+    def rows(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+        ids, documents = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for doc_id, document, text, shared in zip(ids, documents, batch.column(2), batch.column(3), strict=True):
+            windows, anchors = window_table(text.as_buffer().to_pybytes())
+            at = np.flatnonzero(np.isin(anchors, shared.values.to_numpy()))
+            yield [windows[at], np.full(len(at), doc_id), np.full(len(at), document), at]
+
+    return _gathered(batches, rows, ["window", "doc_id", "document", "start"])
+
+
+def _gathered(batches, rows, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of the columns that ``rows`` gives for the texts of a batch."""
+    held: list[list[np.ndarray]] = []
+    n = 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            first, until, line, running = line_table(data)
-            long = until - first >= LINE_WORDS
-            columns[0].append(line[long].view(np.int64))
-            columns[1].append(np.full(int(long.sum()), doc_id.as_py(), np.int64))
-            columns[2].append(first[long] << 32 | running[long].astype(np.int64))
-            columns[3].append(until[long] << 32 | zlib.crc32(data))
-            held += len(columns[1][-1])
-            if held > LINES_AT_ONCE:
-                yield _as_batch(columns)
-                columns, held = [[], [], [], []], 0
+        for columns in rows(batch):
+            held.append(columns)
+            n += len(columns[0])
+            if n > ROWS_AT_ONCE:
+                yield _as_batch(held, names)
+                held, n = [], 0
     if held:
-        yield _as_batch(columns)
+        yield _as_batch(held, names)
 
 
-def _as_batch(columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in columns], ["line", "doc_id", "place", "until"])
+def _as_batch(held: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in zip(*held, strict=True)], names)
 
 
 def _increasing(values: list[int]) -> list[int]:
@@ -160,21 +192,6 @@ def _increasing(values: list[int]) -> list[int]:
     return run[::-1]
 
 
-def aligned_blocks(place: list[int], until: list[int], first_place: list[int]) -> list[tuple[int, int]]:
-    """Word ranges of the later document that its aligned blocks with one holder cover, ends exclusive.
-
-    The lists run over the lines both have, in the order of the later document.
-    """
-    blocks: list[list[int]] = []
-    for i in _increasing([value >> 32 for value in first_place]):
-        if blocks and _joined(place, until, first_place, blocks[-1][1], i):
-            blocks[-1][1] = i
-        else:
-            blocks.append([i, i])
-    ranges = [(place[a] >> 32, until[b] >> 32) for a, b in blocks]
-    return [(start, end) for start, end in ranges if end - start >= BLOCK_WORDS]
-
-
 def _joined(place: list[int], until: list[int], first_place: list[int], a: int, b: int) -> bool:
     """Whether the words between the ends of two matches are the same in both documents."""
     if (place[b] >> 32) - (place[a] >> 32) != (first_place[b] >> 32) - (first_place[a] >> 32):
@@ -187,96 +204,67 @@ def _joined(place: list[int], until: list[int], first_place: list[int], a: int,
     return (own - first) & MASK == 0
 
 
-def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of each later document, from its matches sorted by document, holder and place."""
-    held: list[tuple] = []
-    out: list[tuple] = []
-
-    def close() -> None:
-        if held:
-            ranges = aligned_blocks([r[4] for r in held], [r[5] for r in held], [r[6] for r in held])
-            out.extend((held[0][0], held[0][1], start, end) for start, end in ranges)
-            held.clear()
-
-    def flush() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "crc", "start", "end"])
-
-    for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            if held and held[0][:4] != row[:4]:
-                close()
-            held.append(row)
-        yield flush()
-    close()
-    yield flush()
+def _identity(doc_id: Column, text: Column) -> Column:
+    """A document is its id and text: copies with equal ids are one document."""
+    return F.xxhash64(doc_id, text)
 
 
-def repeated_blocks(documents: DataFrame) -> DataFrame:
-    """``doc_id, crc, blocks`` of the documents (``doc_id, text``) that repeat passages of earlier ones.
+def repeated_windows(documents: DataFrame) -> DataFrame:
+    """``document, starts`` of the documents (``doc_id, text``) that repeat passages of earlier ones.
 
-    ``blocks`` are ranges of words, their ends exclusive; ``crc`` is the checksum of the text.  Earlier means
-    a smaller id, of equal ids a smaller checksum.  A document is its id and text: copies with equal
-    ids are one document.  A null id is later than all others.  Null and empty texts have no lines.
+    ``starts`` are the first words, in order, of all windows of ``BLOCK_WORDS`` words that an earlier document has;
+    ``document`` is the hash of id and text.  Earlier means a smaller id, of equal ids a smaller hash.  A null id is later
+    than all others.  Null texts and those of fewer words have no windows.
     """
     rows = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("doc_id"), "text")
-    # read twice, so it is written once, and dropped when the blocks are known
-    found, path = staged_at(rows.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, place BIGINT, until BIGINT"), "lines")
-    holder = F.struct("doc_id", F.col("until").bitwiseAND(MASK).alias("crc"), "place")
-    first = found.groupBy("line").agg(F.min(holder).alias("first"), F.count("*").alias("n")).where("n > 1").select("line", "first")
-    crc = F.col("until").bitwiseAND(MASK)
-    matches = (
-        found.join(first, "line")
-        .where((F.col("doc_id") != F.col("first.doc_id")) | (crc != F.col("first.crc")))
-        .select("doc_id", crc.alias("crc"), F.col("first.doc_id").alias("of_doc"), F.col("first.crc").alias("of_crc"), "place", "until",
-                F.col("first.place").alias("first_place"))
-        .distinct()
-    )
-    matches = matches.repartition("doc_id", "crc").sortWithinPartitions("doc_id", "crc", "of_doc", "of_crc", "place")
-    blocks = matches.mapInArrow(_align, "doc_id BIGINT, crc BIGINT, start BIGINT, end BIGINT")
-    # one document may be aligned with several holders; its blocks are bounded by its lines
-    blocks = blocks.groupBy("doc_id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("blocks"))
-    blocks = staged(blocks, "repeated-blocks")
+    rows = rows.where("text IS NOT NULL").select("doc_id", _identity(F.col("doc_id"), F.col("text")).alias("document"), "text")
+    # tables that are read twice are written once, and dropped when they are no longer needed
+    anchors, path = staged_at(rows.select("document", "text").mapInArrow(_anchor_rows, "anchor BIGINT, document BIGINT"), "anchors")
+    common = anchors.groupBy("anchor").agg(F.min("document").alias("a"), F.max("document").alias("b")).where("a <> b").select("anchor")
+    shared = anchors.join(common, "anchor").groupBy("document").agg(F.collect_set("anchor").alias("shared")).hint("merge")
+    windows = rows.join(shared, "document").select("doc_id", "document", "text", "shared")
+    windows, windows_path = staged_at(windows.mapInArrow(_window_rows, "window BIGINT, doc_id BIGINT, document BIGINT, start BIGINT"), "windows")
     drop_table(documents.sparkSession, path)
-    return blocks
+    holder = F.struct("doc_id", "document")
+    first = windows.groupBy("window").agg(F.min(holder).alias("first"), F.max(holder).alias("last")).where("first <> last")
+    later = windows.join(first.select("window", "first"), "window").where(F.col("document") != F.col("first.document"))
+    starts = staged(later.groupBy("document").agg(F.array_sort(F.collect_set("start")).alias("starts")), "repeated-windows")
+    drop_table(documents.sparkSession, windows_path)
+    return starts
 
 
 @F.pandas_udf(T.StringType())
-def cut_blocks(texts: pd.Series, blocks: pd.Series) -> pd.Series:
-    """Texts without the given ranges of words."""
-    def cut(text: str | None, ranges) -> str | None:
+def cut_windows(texts: pd.Series, starts: pd.Series) -> pd.Series:
+    """Texts without the windows that start at the given words."""
+    def cut(text: str | None, first: np.ndarray | None) -> str | None:
         if text is None:
             return None
         data = text.encode()
-        starts = np.append(words_of(data)[0], len(data))
-        kept, at = [], 0
-        for block in ranges:  # sorted, may overlap
-            begin, end = int(starts[block["start"]]), int(starts[block["end"]])
-            kept.append(data[at : max(at, begin)])
-            at = max(at, end)
-        return b"".join([*kept, data[at:]]).decode()
+        words = np.append(words_of(data)[0], len(data))
+        # windows that overlap or touch are one block
+        apart = np.flatnonzero(np.diff(first) > BLOCK_WORDS)
+        begins, ends = first[np.append(0, apart + 1)], first[np.append(apart, len(first) - 1)] + BLOCK_WORDS
+        edges = [0, *np.stack([words[begins], words[ends]], axis=1).ravel().tolist(), len(data)]
+        return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
 
-    return pd.Series([cut(text, ranges) for text, ranges in zip(texts, blocks, strict=True)], dtype=object)
+    return pd.Series([cut(text, first) for text, first in zip(texts, starts, strict=True)], dtype=object)
 
 
 def without_repeated_passages(documents: DataFrame) -> DataFrame:
     """``documents`` with the repeated passages cut out of ``text``; all other columns and names stay as they are.
 
-    Of a copy, lines too short to match may be left at either end: what has lost a passage and has no more words
-    than such lines is dropped.  Short and empty texts that lose nothing stay.  See :func:`repeated_blocks` for which
-    passages go.  No rows give no rows.
+    What has lost a passage and has no more than ``REST_WORDS`` words left is dropped.  Short and empty texts that lose
+    nothing stay.  See :func:`repeated_windows` for which passages go.  No rows give no rows.
     """
     names = documents.columns
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
-    keyed = plain.withColumn("doc_id", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1))).withColumn("crc", F.crc32(F.col(text)))
+    keyed = plain.withColumn("document", _identity(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)), F.col(text)))
     # what is cut grows with the input, so it is never broadcast
-    blocks = repeated_blocks(documents).hint("merge")
-    joined = null_safe_join(keyed, blocks, ["doc_id", "crc"], "left")
-    # only texts with blocks go through Python
-    changed = cut_blocks(F.when(F.col("blocks").isNotNull(), F.col(text)), F.col("blocks"))
-    cut = joined.withColumn("cut", F.when(F.col("blocks").isNotNull(), changed).otherwise(F.col(text)))
-    left = cut.where(F.col("blocks").isNull() | (F.size(F.split("cut", r"[\x20\x09-\x0D]+")) > 2 * LINE_WORDS))
+    joined = keyed.join(repeated_windows(documents).hint("merge"), "document", "left")
+    # only texts with repeated windows go through Python
+    lost = F.col("starts").isNotNull()
+    joined = joined.withColumn("cut", F.when(lost, cut_windows(F.when(lost, F.col(text)), F.col("starts"))).otherwise(F.col(text)))
+    left = joined.where(~lost | (F.size(F.split("cut", r"[\x20\x09-\x0D]+")) > REST_WORDS))
     columns = [F.col("cut") if f"c{i}" == text else F.col(f"c{i}") for i in range(len(names))]
     return left.select(*columns).toDF(*names)

@@ -204,6 +204,31 @@ def test_repeated_passages_go(spark):
     assert linedup.without_repeated_passages(df.limit(0)).count() == 0
 
 
+def plain_without_passages(rows):
+    """Texts word by word without all windows of 25 words that stand in a text of a smaller id."""
+    held, out = set(), {}
+    for doc_id, text in sorted(rows):
+        words = text.split()
+        windows = [tuple(words[i : i + 25]) for i in range(len(words) - 24)]
+        gone = {i + k for i, window in enumerate(windows) if window in held for k in range(25)}
+        held |= set(windows)
+        out[doc_id] = [word for i, word in enumerate(words) if i not in gone]
+    return out
+
+
+def test_passages_of_any_length_go_whole(spark):
+    rng = random.Random(21)
+    passages = [prose(rng, n) for n in range(25, 61) for _ in range(4)]
+    rows = [(i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for i, passage in enumerate(passages)]
+    rows += [(1000 + i, f"{prose(rng, 50)} {passage} {prose(rng, 30)}") for i, passage in enumerate(passages)]
+    rows += [(2000, f"{passages[9]} {prose(rng, 30)} {passages[3]}"), (2001, f"{prose(rng, 30)} {' '.join(passages[99].split()[:24])} {prose(rng, 30)}")]
+    left = dict(linedup.without_repeated_passages(spark.createDataFrame(rows, DOCS)).collect())
+    want = plain_without_passages(rows)
+    assert {i: text.split() for i, text in left.items()} == want
+    assert all(len(want[1000 + i]) <= 80 for i in range(len(passages)))
+    assert len(want[2000]) <= 30 and len(want[2001]) == 84
+
+
 # --- packing --------------------------------------------------------------------------------------
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
