@@ -204,41 +204,53 @@ def _joined(place: list[int], until: list[int], first_place: list[int], a: int,
     return (own - first) & MASK == 0
 
 
-def _identity(doc_id: Column, text: Column) -> Column:
-    """A document is its id and text: copies with equal ids are one document."""
-    return F.xxhash64(doc_id, text)
+def _rows(documents: DataFrame) -> DataFrame:
+    rows = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("doc_id"), "text")
+    return rows.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("document"), "text")
 
 
 def repeated_windows(documents: DataFrame) -> DataFrame:
-    """``document, starts`` of the documents (``doc_id, text``) that repeat passages of earlier ones.
+    """``document, first_id, copied, starts`` of the texts of ``documents`` (``doc_id, text``) that repeat passages of earlier ones.
 
-    ``starts`` are the first words, in order, of all windows of ``BLOCK_WORDS`` words that an earlier document has;
-    ``document`` is the hash of id and text.  Earlier means a smaller id, of equal ids a smaller hash.  A null id is later
-    than all others.  Null texts and those of fewer words have no windows.
+    ``document`` is the hash of the text and ``first_id`` the smallest id that has it; ``copied`` says whether another id has it
+    too.  ``starts`` are the first words, in order, of all windows of ``BLOCK_WORDS`` words that an earlier text has, or null.
+    Earlier means a smaller ``first_id``, of equal ids a smaller hash.  A null id is later than all others.  Null texts
+    and those of fewer words have no windows.
     """
-    rows = pick(documents, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1)).alias("doc_id"), "text")
-    rows = rows.where("text IS NOT NULL").select("doc_id", _identity(F.col("doc_id"), F.col("text")).alias("document"), "text")
-    # tables that are read twice are written once, and dropped when they are no longer needed
-    anchors, path = staged_at(rows.select("document", "text").mapInArrow(_anchor_rows, "anchor BIGINT, document BIGINT"), "anchors")
+    rows = _rows(documents)
+    # tables that are read twice are written once, and dropped when they are no longer needed; what may have a key
+    # of very many rows is joined with a table, so that Spark can split the key
+    anchors, anchors_path = staged_at(rows.select("document", "text").mapInArrow(_anchor_rows, "anchor BIGINT, document BIGINT"), "anchors")
     common = anchors.groupBy("anchor").agg(F.min("document").alias("a"), F.max("document").alias("b")).where("a <> b").select("anchor")
-    shared = anchors.join(common, "anchor").groupBy("document").agg(F.collect_set("anchor").alias("shared")).hint("merge")
-    windows = rows.join(shared, "document").select("doc_id", "document", "text", "shared")
+    common, common_path = staged_at(common, "common-anchors")
+    texts = rows.groupBy("document").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    texts, texts_path = staged_at(texts.select("document", "first_id", (F.col("first_id") != F.col("last_id")).alias("copied")), "texts")
+    shared = anchors.join(common, "anchor").groupBy("document").agg(F.collect_set("anchor").alias("shared"))
+    # of copies the first alone is looked at
+    shared = shared.join(texts.select("document", F.col("first_id").alias("doc_id")), "document").hint("merge")
+    windows = rows.join(shared, ["document", "doc_id"]).select("doc_id", "document", "text", "shared")
     windows, windows_path = staged_at(windows.mapInArrow(_window_rows, "window BIGINT, doc_id BIGINT, document BIGINT, start BIGINT"), "windows")
-    drop_table(documents.sparkSession, path)
-    holder = F.struct("doc_id", "document")
-    first = windows.groupBy("window").agg(F.min(holder).alias("first"), F.max(holder).alias("last")).where("first <> last")
-    later = windows.join(first.select("window", "first"), "window").where(F.col("document") != F.col("first.document"))
-    starts = staged(later.groupBy("document").agg(F.array_sort(F.collect_set("start")).alias("starts")), "repeated-windows")
-    drop_table(documents.sparkSession, windows_path)
-    return starts
+    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "document")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first, first_path = staged_at(first.select("window", F.col("first.document").alias("holder")), "first-holders")
+    later = windows.join(first, "window").where("document <> holder")
+    starts = later.groupBy("document").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    found = staged(texts.join(starts, "document", "left").where("copied OR starts IS NOT NULL"), "repeated-windows")
+    for path in (anchors_path, common_path, texts_path, windows_path, first_path):
+        drop_table(documents.sparkSession, path)
+    return found
+
+
+def _words(text: Column) -> Column:
+    """Number of words of a text, 0 of null."""
+    return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")), F.lit(0))
 
 
 @F.pandas_udf(T.StringType())
 def cut_windows(texts: pd.Series, starts: pd.Series) -> pd.Series:
     """Texts without the windows that start at the given words."""
     def cut(text: str | None, first: np.ndarray | None) -> str | None:
-        if text is None:
-            return None
+        if text is None or first is None:
+            return text
         data = text.encode()
         words = np.append(words_of(data)[0], len(data))
         # windows that overlap or touch are one block
@@ -253,18 +265,23 @@ def cut_windows(texts: pd.Series, starts: pd.Series) -> pd.Series:
 def without_repeated_passages(documents: DataFrame) -> DataFrame:
     """``documents`` with the repeated passages cut out of ``text``; all other columns and names stay as they are.
 
+    A document is its id and text: copies with equal ids are one document and keep what the first copy of the text keeps.
     What has lost a passage and has no more than ``REST_WORDS`` words left is dropped.  Short and empty texts that lose
     nothing stay.  See :func:`repeated_windows` for which passages go.  No rows give no rows.
     """
     names = documents.columns
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
-    keyed = plain.withColumn("document", _identity(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)), F.col(text)))
+    keyed = plain.withColumn("document", F.xxhash64(text))
     # what is cut grows with the input, so it is never broadcast
     joined = keyed.join(repeated_windows(documents).hint("merge"), "document", "left")
+    # a copy has all its windows from the first one; it has none if it is short
+    copy = F.col("copied") & (F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)) != F.col("first_id"))
+    whole = F.coalesce(copy, F.lit(False)) & (_words(F.col(text)) >= BLOCK_WORDS)
+    lost = ~whole & F.col("starts").isNotNull()
     # only texts with repeated windows go through Python
-    lost = F.col("starts").isNotNull()
-    joined = joined.withColumn("cut", F.when(lost, cut_windows(F.when(lost, F.col(text)), F.col("starts"))).otherwise(F.col(text)))
-    left = joined.where(~lost | (F.size(F.split("cut", r"[\x20\x09-\x0D]+")) > REST_WORDS))
+    changed = cut_windows(F.when(lost, F.col(text)), F.when(lost, F.col("starts")))
+    joined = joined.withColumn("cut", F.when(whole, F.lit("")).when(lost, changed).otherwise(F.col(text)))
+    left = joined.where(~(whole | lost) | (_words(F.col("cut")) > REST_WORDS))
     columns = [F.col("cut") if f"c{i}" == text else F.col(f"c{i}") for i in range(len(names))]
     return left.select(*columns).toDF(*names)

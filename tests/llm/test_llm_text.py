@@ -229,6 +229,24 @@ def test_passages_of_any_length_go_whole(spark):
     assert len(want[2000]) <= 30 and len(want[2001]) == 84
 
 
+def test_passages_of_hot_pieces_go(spark):
+    rng = random.Random(22)
+    rows, passages = [], []
+    for k in range(12):
+        pieces = [prose(rng, 24), prose(rng, 24)]
+        lines = [prose(rng, 6) for _ in range(9)]
+        # each piece, and each line, stands in earlier documents of its own
+        rows += [(100 * k + i, f"{prose(rng, 30)}\n{piece}\n{prose(rng, 30)}") for i, piece in enumerate(pieces + lines)]
+        passages += [" ".join(pieces), "\n".join(lines)]
+    rows += [(5000 + i, f"{prose(rng, 30)}\n{passage}\n{prose(rng, 30)}") for i, passage in enumerate(passages * 2)]
+    rows += [(6000, rows[0][1]), (6001, "short copy"), (6002, "short copy"), (6003, rows[-1][1] + " " + rows[-2][1])]
+    left = dict(linedup.without_repeated_passages(spark.createDataFrame(rows, DOCS)).collect())
+    want = plain_without_passages(rows)
+    assert {i: text.split() for i, text in left.items()} == {i: words for i, words in want.items() if i != 6000 and i != 6003}
+    assert not want[6000] and not want[6003]
+    assert all(len(want[5000 + i]) == 60 for i in range(len(passages), 2 * len(passages)))
+
+
 # --- packing --------------------------------------------------------------------------------------
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
