@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import one_of_each, pick, staged, without_documents
+from corpusflow.llm.common import null_safe_join, one_of_each, pick, staged, without_documents
 from corpusflow.llm.components import components
+from corpusflow.llm.shingles import near_links as near_copy_links
 
 WORDS_PER_SHINGLE = 3
 SEED = 42
@@ -160,15 +161,30 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def _near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written tables: rows as ``doc_id, text_key``, and ``text_key, root`` of each text, grouped by similarity of shingles."""
+    rows = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("rank"))
+    texts = staged(texts, "distinct-texts")
+    # one row of each text: that of its smallest id, and of equal rows the first
+    firsts = null_safe_join(rows, texts.withColumn("doc_id", F.col("rank")), ["text_key", "doc_id"], "inner")
+    firsts = staged(firsts.select(F.col("text_key").alias("node"), "rank", "text").dropDuplicates(["node"]), "first-copies")
+    roots = components(near_copy_links(firsts)[0].toDF("a", "b"))
+    named = texts.join(roots, texts["text_key"] == roots["node"], "left").select("text_key", F.coalesce("root", "text_key").alias("root"))
+    return staged(rows.select("doc_id", "text_key"), "rows"), staged(named, "groups")
+
+
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, all columns and names as they are.
 
+    Near-duplicates are texts whose sets of five-word shingles have a similarity of 0.8 or more, see ``shingles``.
+
     It is the one with the smallest id; null ids come last, and of equal ids the smallest ``xxhash64`` of the
     text decides.  Of rows with that id and that text one stays.  No rows give no rows.
     """
-    rows, named = _grouped(documents)
+    rows, named = _near_copies(documents)
     rank = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_key")
-    members = rows.join(named.select("fingerprint", "root"), "fingerprint").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    members = rows.join(named, "text_key").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
     members = staged(members, "group-members")
     best = members.groupBy("root").agg(F.min(rank).alias("best"), F.count("*").alias("different"))
     judged = members.join(best, "root").withColumn("stays", rank == F.col("best"))

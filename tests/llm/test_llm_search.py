@@ -113,6 +113,34 @@ def test_one_of_each_group_stays(spark):
     assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_copies_go(spark):
+    rng = random.Random(31)
+
+    def shingles(words):
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    def words_of(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(n)]
+
+    rows, near, far = [], set(), set()
+    for i in range(80):
+        base = words_of(300)
+        rows.append((i, " ".join(base)))
+        for k, edits in enumerate((2, 4, 5, 6, 9, 14)):
+            copy = list(base)
+            for at in rng.sample(range(300), edits):
+                copy[at] = words_of(1)[0] + "z"
+            a, b = shingles(base), shingles(copy)
+            doc_id = 1000 + 10 * i + k
+            (near if len(a & b) / len(a | b) >= 0.8 else far).add(doc_id)
+            rows.append((doc_id, " ".join(copy)))
+    rng.shuffle(rows)
+    left = {r[0] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert len(near) > 250 and set(range(80)) <= left and not near & left
+    texts = {i: shingles(text.split()) for i, text in rows}
+    assert all(i in left or any(len(texts[i] & texts[j]) / len(texts[i] | texts[j]) >= 0.8 for j in texts if j < i) for i in far)
+
+
 def test_no_documents(spark):
     assert simhash.near_duplicate_groups(spark.createDataFrame([], "doc_id BIGINT, text STRING")).count() == 0
 
