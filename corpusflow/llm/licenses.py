@@ -2,8 +2,9 @@
 
 Every line, every paragraph and the whole of a text is compared, as a sparse vector of its words, with the
 templates; a word no template has counts in the length of the vector with the highest weight.  The best
-unit at ``THRESHOLD`` or more names the licence of the file.  A file of which such units make up half is a licence
-file: it also speaks for its directory.  A file without a licence of its own takes that of the
+unit at ``THRESHOLD`` or more names the licence of the file.  A file with one such unit of half of its words is a licence
+file: it also speaks for its directory.  So does a file that as a whole is one of the full texts in ``license_texts``, at
+``TEXT_THRESHOLD`` or more.  A file without a licence of its own takes that of the
 nearest directory above it that has one.
 
 Directories are resolved once each, by joining the paths above them with the directories that have a licence;
@@ -17,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from importlib import resources
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -69,6 +71,9 @@ TEMPLATES = {
 #: Cosine from which a unit counts, and the share of a text's words that makes it a licence file.
 THRESHOLD, FILE_SHARE = 0.7, 0.5
 
+#: Cosine from which a text is the full text of a licence, and how much longer or shorter it may be.
+TEXT_THRESHOLD, TEXT_RATIO = 0.9, 2.0
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -83,8 +88,9 @@ def terms(text: str) -> Counter:
 class Matcher:
     """Templates as unit vectors over their own words."""
 
-    def __init__(self) -> None:
-        listed = [(name, terms(text)) for name, texts in TEMPLATES.items() for text in texts]
+    def __init__(self, templates: dict[str, list[str]], threshold: float) -> None:
+        self.threshold = threshold
+        listed = [(name, terms(text)) for name, texts in templates.items() for text in texts]
         having = Counter(term for _, found in listed for term in found)
         self.unknown = math.log(1 + len(listed)) + 1
         self.weight = {term: math.log((1 + len(listed)) / (1 + n)) + 1 for term, n in having.items()}
@@ -106,7 +112,7 @@ class Matcher:
             if term in self.by_term:
                 known += weight * weight
         # the cosine cannot be higher than the share of the vector in known words
-        if known < THRESHOLD * THRESHOLD * squares or not known:
+        if known < self.threshold * self.threshold * squares or not known:
             return 0.0, ""
         for term, n in found.items():
             for i, value in self.by_term.get(term, ()):
@@ -116,6 +122,9 @@ class Matcher:
 
     def scan(self, text: str) -> tuple[str | None, float, bool]:
         """Licence of a text, its cosine, and whether the text is a licence file."""
+        value, name = full_text(text)
+        if name:
+            return name, min(1.0, value), True
         lines = text.split("\n")
         units = [*lines, *re.split(r"\n\s*\n", text), text] if len(lines) > 1 else lines
         scored = [(self.best(unit), len(unit.split())) for unit in dict.fromkeys(units)]
@@ -128,7 +137,28 @@ class Matcher:
 
 @lru_cache(maxsize=1)
 def matcher() -> Matcher:
-    return Matcher()
+    return Matcher(TEMPLATES, THRESHOLD)
+
+
+@lru_cache(maxsize=1)
+def text_matcher() -> tuple[Matcher, int, int]:
+    """Full texts of licences, and the fewest and most words of a text that may be one."""
+    folder = resources.files("corpusflow.llm") / "license_texts"
+    texts = {file.name.removesuffix(".txt"): [file.read_text()] for file in sorted(folder.iterdir(), key=lambda f: f.name)}
+    sizes = [len(text.split()) for (text,) in texts.values()]
+    return Matcher(texts, TEXT_THRESHOLD), int(min(sizes) / TEXT_RATIO), int(max(sizes) * TEXT_RATIO)
+
+
+def full_text(text: str) -> tuple[float, str]:
+    """Cosine and name of the licence whose full text this is; no name if it is none."""
+    found, fewest, most = text_matcher()
+    if not fewest <= len(text.split()) <= most:
+        return 0.0, ""
+    value, name = found.best(text)
+    if value < TEXT_THRESHOLD:
+        return 0.0, ""
+    # the two differ in one section and the title
+    return value, "AGPL-3.0" if name == "GPL-3.0" and "affero" in text[:300].lower() else name
 
 
 @F.pandas_udf(T.StructType([T.StructField("license", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("file", T.BooleanType())]))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from importlib import resources
 import zlib
 
 import numpy as np
@@ -414,6 +415,21 @@ def test_licenses(spark):
     assert scan_licenses(df.limit(0)).count() == 0
 
 
+def test_full_texts_speak_for_their_directory(spark):
+    folder = resources.files("corpusflow.llm") / "license_texts"
+    names = ["Apache-2.0", "BSD", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MIT", "MPL-2.0"]
+    head = "Copyright (c) 2024 Jane Doe and the authors of the project\n\n"
+    rows = [(f"{name}/LICENSE", i, head + (folder / f"{name}.txt").read_text()) for i, name in enumerate(names)]
+    rows += [(f"{name}/src/x.py", 100 + i, "code") for i, name in enumerate(names)]
+    agpl = (folder / "GPL-3.0.txt").read_text().replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)
+    rows += [("agpl/LICENSE", 50, agpl), ("prose/x", 60, prose(random.Random(2), 900))]
+    got = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(rows, "path STRING, doc_id BIGINT, text STRING")).collect()}
+    for i, name in enumerate(names):
+        assert (got[i]["license"], got[i]["license_file"]) == (name, True)
+        assert (got[100 + i]["license"], got[100 + i]["inherited_from"]) == (name, name)
+    assert got[50]["license"] == "AGPL-3.0" and got[60]["license"] is None
+
+
 def test_checksums_of_pieces(spark):
     rows = packing.pack(spark.createDataFrame([(1, "a b c")], DOCS), PATH).select("ids", F.crc32("ids").alias("crc")).collect()
     assert all(zlib.crc32(row["ids"]) == row["crc"] for row in rows)
