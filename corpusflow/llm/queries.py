@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.llm.curriculum import taken_words
 from corpusflow.llm.decontaminate import contaminated_words
 from corpusflow.llm.embeddings import near_duplicate_vectors
+from corpusflow.llm.lexical import search_documents
 from corpusflow.llm.licenses import scan_licenses
 from corpusflow.llm.linedup import without_repeated_passages
+from corpusflow.llm.merkle import proof_hash, prove_documents
 from corpusflow.llm.packing import pack
 from corpusflow.llm.pii import KINDS, personal_spans, span_list
 from corpusflow.llm.quality import fit_quality, score_quality
@@ -111,6 +114,19 @@ def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_octopus_multiproof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = prove_documents(table(spark, sf_dir, "documents"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", proof_hash(F.col("siblings")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_document_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_time_varying_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_vantage_point_simhash": op2_vantage_point_simhash,
@@ -122,4 +138,7 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_candidate_boosting": op10_candidate_boosting,
+    "op11_octopus_multiproof": op11_octopus_multiproof,
+    "op12_document_fp_tree": op12_document_fp_tree,
+    "op13_time_varying_curriculum": op13_time_varying_curriculum,
 }
