@@ -1,14 +1,18 @@
-"""Learning byte-pair merges as a loop of distributed aggregations.
+"""Learning byte-pair merges as a loop of distributed aggregations over an index of pairs.
 
 State is one row per distinct chunk: a *symbol string* (one character per token id) and the chunk's
 frequency.  A merge is then the SQL function ``replace`` - left to right, without overlap - and pair
 counts are an ``explode`` with a grouped sum, so the whole loop stays in the JVM.
 
-States are written out every few dozen merges (the *base*) and cached with their pair counts.  A round
-applies the merges made since to the base and counts only what they changed: of rewritten chunks, old
-pairs are subtracted and new pairs added.  Late merges touch few chunks, so rounds get cheaper, and
-lineage never grows beyond one written table.  The driver sees ``CANDIDATES`` pairs a round, whatever
-the corpus size.
+States are written out every few dozen merges (the *base*), together with an inverted index: for every pair the
+chunks that hold it, sorted by pair and cached, so that looking up a pair reads little more than its own rows.  The index is
+never updated.  A token made since the base came from two tokens side by side, so chunks that hold it are among those that
+the index has for that pair; what such a chunk looks like by now is its base string with the merges since then replayed.
+A round looks up the pairs it merges, replays those chunks alone, and counts what they lost and won.
+
+The driver keeps the counts of the ``CANDIDATES`` most frequent pairs of a base and adds every round's differences to them.  A pair
+that is not among them never had more than the *floor*, the count of the last candidate, and counts only ever
+fall after a pair has come up; so ranking is exact while there are pairs before the floor, and else a new base is made.
 """
 
 from __future__ import annotations
@@ -30,12 +34,15 @@ from corpusflow.functions.pretokenize import (
 )
 from corpusflow.operators.vocabulary import Merge, Vocabulary
 from corpusflow.sources.config import SPECIAL_TOKENS
-from corpusflow.storage import drop_table, small_shuffles, write_table
+from corpusflow.storage import drop_table, write_table
 
-CANDIDATES = 400
-#: Merges applied on top of a base before it is written anew; late merges change few chunks, so the
+#: Pairs whose counts the driver keeps.
+CANDIDATES = 8192
+#: Merges replayed on top of a base before it is written anew; late merges change few chunks, so the
 #: limit grows with the vocabulary, up to the second number.
-MERGES_PER_BASE = (24, 96)
+MERGES_PER_BASE = (48, 384)
+#: Parts the rules of a replay; no token id has this character.
+SEPARATOR = chr(0x10FFFF)
 
 
 def chunk_freq(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -72,7 +79,10 @@ def pair_table(freq: DataFrame) -> DataFrame:
 
 def apply_merges(symbols: Column, merges: list[tuple[int, Merge]]) -> Column:
     """Rewrite a symbol string by the given ``(new id, merge)`` list, in order."""
-    rules = F.array(*(F.lit(symbol(m.left_id) + symbol(m.right_id) + symbol(made)) for made, m in merges))
+    if not merges:
+        return symbols
+    # one literal, however many rules there are
+    rules = F.split(F.lit(SEPARATOR.join(symbol(m.left_id) + symbol(m.right_id) + symbol(made) for made, m in merges)), SEPARATOR)
     return F.aggregate(
         rules,
         symbols,
@@ -120,44 +130,98 @@ class TrainingRun:
 
 
 class _Base:
-    """Chunk states as written last, with their pair counts."""
+    """Chunk states as written last, the index of their pairs, and the merges made on top of them."""
 
-    def __init__(self, states: DataFrame) -> None:
+    def __init__(self, states: DataFrame, made: int) -> None:
         self.spark = states.sparkSession
-        # rewriting strings costs far more than reading them, so spread the rows over all cores
         cores = self.spark.sparkContext.defaultParallelism
-        states, self.path = write_table(states.repartition(cores, "symbols"), "bpe-states")
-        self.states = states.persist(StorageLevel.MEMORY_AND_DISK)
-        self.pairs = count_pairs(self.states).coalesce(cores).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def states_after(self, merges: list[tuple[int, Merge]]) -> DataFrame:
-        merged = apply_merges(F.col("symbols"), merges).alias("symbols")
+        self.states, self.path = write_table(states, "bpe-states")
+        held = F.array_distinct(adjacent_pairs(F.col("symbols")))
+        index = self.states.select(F.explode(held).alias("pair"), "symbols", "freq")
+        # by both columns, so that a pair of very many chunks is spread as well
+        index = index.repartitionByRange(cores, "pair", "symbols").sortWithinPartitions("pair")
+        self.index = index.persist(StorageLevel.MEMORY_AND_DISK)
+        ranking = count_pairs(self.states).orderBy(F.desc("pair_freq"), "pair")
+        rows = ranking.limit(CANDIDATES + 1).collect()
+        self.counts = {row.pair: row.pair_freq for row in rows[:CANDIDATES]}
+        self.floor = self._place(*rows[CANDIDATES - 1]) if len(rows) > CANDIDATES else None
+        self.first, self.merges = 256 + made, []
+
+    @staticmethod
+    def _place(pair: str, freq: int) -> tuple[int, int, int]:
+        """Pairs in the order of this are ranked."""
+        return -freq, token_of(pair[0]), token_of(pair[1])
+
+    def worn(self) -> bool:
+        return len(self.merges) >= min(MERGES_PER_BASE[0] + self.first // 8, MERGES_PER_BASE[1])
+
+    def ranking(self) -> list[tuple[int, int, int]]:
+        """The pairs down to the floor, by count, then left id, then right id."""
+        places = sorted(self._place(pair, freq) for pair, freq in self.counts.items())
+        return [(left, right, -count) for count, left, right in places]
+
+    def _key(self, left: int, right: int) -> str:
+        """A pair of the base that every chunk with the given pair has in its base string."""
+        while max(left, right) >= self.first:
+            merge = self.merges[(left if left >= self.first else right) - self.first]
+            left, right = merge.left_id, merge.right_id
+        return symbol(left) + symbol(right)
+
+    def _numbered(self, merges: list[Merge], first: int) -> list[tuple[int, Merge]]:
+        return list(enumerate(merges, first))
+
+    def holders(self, batch: list[Merge]) -> DataFrame:
+        """``symbols, freq`` of the chunks that may hold a pair of the batch, each once, as they were in the base."""
+        keys = list(dict.fromkeys(self._key(m.left_id, m.right_id) for m in batch))
+        found = self.index.where(F.col("pair").isin(keys))
+        if len(keys) > 1:  # a chunk with several of them counts for the first
+            held = F.filter(F.split(F.lit(SEPARATOR.join(keys)), SEPARATOR), lambda key: F.contains("symbols", key))
+            found = found.where(F.col("pair") == held[0])
+        return found.select("symbols", "freq")
+
+    def changes(self, batch: list[Merge]) -> DataFrame:
+        """``pair, pair_freq``: by how much the merges of the batch change the counts of pairs."""
+        since = self._numbered(self.merges, self.first)
+        made = self._numbered(batch, self.first + len(self.merges))
+        before = self.holders(batch).select(apply_merges(F.col("symbols"), since).alias("before"), "freq")
+        both = before.withColumn("after", apply_merges(F.col("before"), made)).where("before <> after")
+        signed = F.array(F.struct(F.col("before").alias("symbols"), (-F.col("freq")).alias("freq")), F.struct(F.col("after").alias("symbols"), "freq"))
+        changes = exploded_pairs(both.select(F.inline(signed))).groupBy("pair").agg(F.sum("pair_freq").alias("pair_freq")).where("pair_freq <> 0")
+        if self.floor is None:
+            return changes
+        # of the others, those of the new tokens alone can be above the floor
+        new = [symbol(token) for token, _ in made]
+        risen = (F.substring("pair", 1, 1).isin(new) | F.substring("pair", 2, 1).isin(new)) & (F.col("pair_freq") >= -self.floor[0])
+        known = self.spark.createDataFrame([(pair, True) for pair in self.counts], "pair STRING, known BOOLEAN")
+        # CANDIDATES short rows, and the new ones since
+        return changes.join(F.broadcast(known), "pair", "left").where(F.col("known") | risen).select("pair", "pair_freq")
+
+    def merge(self, batch: list[Merge]) -> None:
+        changed = self.changes(batch).toArrow()
+        self.merges += batch
+        for pair, change in zip(changed["pair"].to_pylist(), changed["pair_freq"].to_pylist(), strict=True):
+            count = self.counts.get(pair, 0) + change
+            if count > 0 and (self.floor is None or self._place(pair, count) <= self.floor):
+                self.counts[pair] = count
+            else:
+                self.counts.pop(pair, None)
+        if len(self.counts) > 2 * CANDIDATES:
+            kept = sorted(self.counts, key=lambda pair: self._place(pair, self.counts[pair]))[:CANDIDATES]
+            self.floor = self._place(kept[-1], self.counts[kept[-1]])
+            self.counts = {pair: self.counts[pair] for pair in kept}
+
+    def rewritten(self) -> DataFrame:
+        """All states with the merges since the base."""
+        merged = apply_merges(F.col("symbols"), self._numbered(self.merges, self.first)).alias("symbols")
         return self.states.select(merged, "freq").where(F.char_length("symbols") > 1)
 
-    def pairs_after(self, merges: list[tuple[int, Merge]]) -> DataFrame:
-        if not merges:
-            return self.pairs
-        both = self.states.withColumn("merged", apply_merges(F.col("symbols"), merges))
-        before_and_after = F.array(
-            F.struct("symbols", (-F.col("freq")).alias("freq")),
-            F.struct(F.col("merged").alias("symbols"), "freq"),
-        )
-        changed = both.select(F.inline(F.when(F.col("symbols") != F.col("merged"), before_and_after)))
-        return (
-            self.pairs.unionAll(exploded_pairs(changed))
-            .groupBy("pair")
-            .agg(F.sum("pair_freq").alias("pair_freq"))
-            .where("pair_freq > 0")
-        )
-
-    def top_pairs(self, merges: list[tuple[int, Merge]]) -> list[tuple[int, int, int]]:
-        ranking = self.pairs_after(merges).orderBy(F.desc("pair_freq"), "pair")
-        rows = ranking.limit(CANDIDATES).collect()
-        return [(token_of(row.pair[0]), token_of(row.pair[1]), row.pair_freq) for row in rows]
+    def renewed(self) -> "_Base":
+        new = _Base(self.rewritten(), self.first - 256 + len(self.merges))
+        self.drop()
+        return new
 
     def drop(self) -> None:
-        self.states.unpersist()
-        self.pairs.unpersist()
+        self.index.unpersist()
         drop_table(self.spark, self.path)
 
 
@@ -171,21 +235,20 @@ def learn_merges(freq: DataFrame, vocab_size: int, special_names: dict[str, str]
         raise ValueError(f"vocab_size must be at least {256 + len(SPECIAL_TOKENS)}, got {vocab_size}")
     began = time.perf_counter()
     merges: list[Merge] = []
-    in_base = rounds = 0
-    base = _Base(chunk_states(freq)) if room > 256 else None
-    # the states are laid out; what the rounds shuffle are pair counts, a small table
-    with small_shuffles(freq.sparkSession):
-        while 256 + len(merges) < room:
-            since = list(enumerate(merges[in_base:], 256 + in_base))
-            if len(since) >= min(MERGES_PER_BASE[0] + len(merges) // 64, MERGES_PER_BASE[1]):
-                old, base = base, _Base(base.states_after(since))
-                old.drop()
-                since, in_base = [], len(merges)
-            batch = independent_prefix(base.top_pairs(since), room - 256 - len(merges))
-            if not batch:
-                break
+    rounds = 0
+    base = _Base(chunk_states(freq), 0) if room > 256 else None
+    while 256 + len(merges) < room:
+        if base.worn():
+            base = base.renewed()
+        batch = independent_prefix(base.ranking(), room - 256 - len(merges))
+        if batch:
+            base.merge(batch)
             merges += batch
             rounds += 1
+        elif base.floor and base.merges:  # what is left lies beyond the floor of this base
+            base = base.renewed()
+        else:
+            break
     if base is not None:
         base.drop()
     vocab = Vocabulary(merges, dict(special_names or SPECIAL_TOKENS))

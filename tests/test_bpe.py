@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sequential import count, merge_once, train
 
 from corpusflow.functions.pretokenize import SPLIT_PATTERN, pretokenize, symbol, token_of
+from corpusflow.operators import bpe
 from corpusflow.operators.bpe import chunk_freq, independent_prefix, learn_merges, pair_table
 from corpusflow.operators.vocabulary import Merge, Vocabulary
 
@@ -74,6 +76,35 @@ def test_learning_equals_a_sequential_trainer_over_several_bases(spark):
     assert merges_of(run) == train(freqs, 90)
 
 
+@pytest.mark.parametrize("candidates", [3, 40])
+def test_few_candidates_give_the_same_merges(spark, monkeypatch, candidates):
+    """Pairs that the driver does not count come up again in a new base, ties at the floor among them."""
+    monkeypatch.setattr(bpe, "CANDIDATES", candidates)
+    monkeypatch.setattr(bpe, "MERGES_PER_BASE", (9, 9))
+    rng = random.Random(candidates)
+    freqs = {"".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 12))): rng.randint(1, 3) for _ in range(60)}
+    freqs |= {"pq": 1, "rs": 1, "tu": 1, "vw": 1, "xy": 1}
+    run = learn_merges(spark.createDataFrame(list(freqs.items()), "chunk STRING, freq BIGINT"), 260 + 45)
+    assert merges_of(run) == train(freqs, 45)
+
+
+def test_a_round_looks_at_chunks_with_a_taken_pair_alone(spark):
+    freqs = {f"{a}{b}x{i}": 1 for i, (a, b) in enumerate(itertools.product("abcdefgh", repeat=2))} | {"qz" * 9: 5, "qzq": 1, "zq": 1}
+    base = bpe._Base(bpe.chunk_states(spark.createDataFrame(list(freqs.items()), "chunk STRING, freq BIGINT")), 0)
+    q, z = ord("q"), ord("z")
+    assert sorted(r.symbols for r in base.holders([Merge(q, z, 0)]).collect()) == ["qzq", "qz" * 9]
+    base.merge([Merge(q, z, 0)])
+    # a pair of a new token is looked up by what the token was made of
+    assert sorted(r.symbols for r in base.holders([Merge(256, 256, 0), Merge(256, q, 0)]).collect()) == ["qzq", "qz" * 9]
+    assert base.counts[symbol(256) + symbol(256)] == 40 and base.counts[symbol(256) + "q"] == 1
+    # both pairs in one batch: a chunk with both is looked at once
+    assert base.holders([Merge(q, z, 0), Merge(z, q, 0)]).count() == 3
+    # the plan skips what is cached of other pairs
+    plan = base.index.where(F.col("pair") == "qz")._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan and "pair" in plan
+    base.drop()
+
+
 def test_documents_vocabulary(documents):
     freqs = {row.chunk: row.freq for row in chunk_freq(documents).collect()}
     run = learn_merges(chunk_freq(documents), 284)
