@@ -202,7 +202,7 @@ def q_token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_offsets_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = _by_source(spark, sf_dir).drop("ids")
-    return token_offsets(encoded, hashed=False).segments.select("split", "doc_id", "offset", "token_len")
+    return token_offsets(encoded).segments.select("split", "doc_id", "offset", "token_len")
 
 
 def q_token_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +222,7 @@ def windows_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = token_offsets(_by_source(spark, sf_dir).drop("ids"), hashed=False)
+    stream = token_offsets(_by_source(spark, sf_dir).drop("ids"))
     counts = window_counts(stream.totals, BLOCK, STRIDE)
     rows = [(split, stream.totals[split], count) for split, count in counts.items()]
     return spark.createDataFrame(rows, "split STRING, n_tokens BIGINT, windows BIGINT")

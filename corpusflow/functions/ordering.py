@@ -1,23 +1,14 @@
-"""Total orders over documents, cut into value-based slices.
+"""Total orders over documents.
 
 A DataFrame has no order, so every ordered operator sorts by ``(order_pos, order_key, doc_id)``.
-``order_pos`` is a 64-bit number that never decreases along the order.  It is mapped to one of
-65,536 cells by its value alone, so the cell of a row is the same in every job, whatever the
-physical partitions are and however often a task is run again.
+``order_pos`` is a 64-bit number that never decreases along the order.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL_BITS = 16
-#: Quantiles at which clustered positions are cut, the equal widths of each stretch, and the cuts looked through at once.
-STRETCHES = 4096
-WIDTHS = (1 << CELL_BITS) // STRETCHES
-GROUP = 64
 ORDER_COLUMNS = ("order_pos", "order_key", "doc_id")
 
 
@@ -41,43 +32,3 @@ def with_hash_order(df: DataFrame, seed: int, doc_id: str = "doc_id") -> DataFra
 def with_id_order(df: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The order in which documents are stored, i.e. by id."""
     return df.withColumn("order_key", F.lit("")).withColumn("order_pos", F.col(doc_id).cast("bigint"))
-
-
-@dataclass(frozen=True)
-class Cells:
-    """Monotone map from ``order_pos`` to ``0 .. 65535``.
-
-    Hash positions are uniform, so equal widths do.  Other positions may be clustered: they are cut at
-    ``STRETCHES`` quantiles first, and each stretch into equal widths.  However the positions jump, a cell then
-    holds little more than one in ``STRETCHES`` of all rows, unless positions repeat.
-    """
-
-    cuts: tuple[int, ...] | None
-
-    @staticmethod
-    def hashed() -> "Cells":
-        return Cells(None)
-
-    @staticmethod
-    def sampled(df: DataFrame) -> "Cells":
-        """Quantiles of the positions found in ``df`` (one job over one column)."""
-        cuts = df.approxQuantile("order_pos", [i / STRETCHES for i in range(STRETCHES + 1)], 1 / (4 * STRETCHES))
-        return Cells(tuple(sorted({int(cut) for cut in cuts})) or (0,))
-
-    def cell(self, pos: Column) -> Column:
-        if self.cuts is None:
-            return F.shiftright(pos, 60 - CELL_BITS).cast("int")
-        if len(self.cuts) == 1:
-            return F.lit(0)
-        cuts = F.expr(f"array({','.join(f'{cut}L' for cut in self.cuts)})")
-        heads = F.expr(f"array({','.join(f'{cut}L' for cut in self.cuts[::GROUP])})")
-        last = len(self.cuts) - 1
-        # how many cuts lie at or below: the group of cuts first, then the place inside it
-        group = F.greatest(F.size(F.filter(heads, lambda cut: cut <= pos)), F.lit(1)) - 1
-        inside = F.size(F.filter(F.slice(cuts, group * GROUP + 1, F.lit(GROUP)), lambda cut: cut <= pos))
-        # positions outside the sampled range fall into the first or the last stretch
-        stretch = F.least(F.greatest(group * GROUP + inside, F.lit(1)), F.lit(last))
-        low, high = F.element_at(cuts, stretch).cast("double"), F.element_at(cuts, stretch + 1).cast("double")
-        step = F.floor((pos.cast("double") - low) / (high - low) * WIDTHS)
-        step = F.least(F.greatest(step, F.lit(0)), F.lit(WIDTHS - 1))
-        return ((stretch - 1) * WIDTHS + step).cast("int")

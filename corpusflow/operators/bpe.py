@@ -4,11 +4,12 @@ State is one row per distinct chunk: a *symbol string* (one character per token
 frequency.  A merge is then the SQL function ``replace`` - left to right, without overlap - and pair
 counts are an ``explode`` with a grouped sum, so the whole loop stays in the JVM.
 
-States are written out every few dozen merges (the *base*), together with an inverted index: for every pair the
-chunks that hold it, sorted by pair and cached, so that looking up a pair reads little more than its own rows.  The index is
-never updated.  A token made since the base came from two tokens side by side, so chunks that hold it are among those that
-the index has for that pair; what such a chunk looks like by now is its base string with the merges since then replayed.
-A round looks up the pairs it merges, replays those chunks alone, and counts what they lost and won.
+States are written out every few dozen merges (the *base*) and cached.  A token made since the base came from two tokens side by
+side, so chunks that hold it are among those whose base string has that pair; what such a chunk looks like by now is its base
+string with the merges since then replayed.  A round finds the chunks with the pairs it merges, replays those alone, and
+counts what they lost and won.  The first tokens are in so many chunks that these are found by looking through
+all strings; later bases have an inverted index, for each pair that is next to be merged the chunks that hold it, sorted by pair
+within the partitions and cached, so that a lookup reads little more than the rows it wants.  The index is never updated.
 
 The driver keeps the counts of the ``CANDIDATES`` most frequent pairs of a base and adds every round's differences to them.  A pair
 that is not among them never had more than the *floor*, the count of the last candidate, and counts only ever
@@ -19,7 +20,9 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +44,8 @@ CANDIDATES = 8192
 #: Merges replayed on top of a base before it is written anew; late merges change few chunks, so the
 #: limit grows with the vocabulary, up to the second number.
 MERGES_PER_BASE = (48, 384)
+#: Bases with so many merges behind them have an index, of so many of their best pairs.
+INDEX_FROM, INDEXED_PAIRS = 768, 1024
 #: Parts the rules of a replay; no token id has this character.
 SEPARATOR = chr(0x10FFFF)
 
@@ -135,17 +140,23 @@ class _Base:
     def __init__(self, states: DataFrame, made: int) -> None:
         self.spark = states.sparkSession
         cores = self.spark.sparkContext.defaultParallelism
-        self.states, self.path = write_table(states, "bpe-states")
-        held = F.array_distinct(adjacent_pairs(F.col("symbols")))
-        index = self.states.select(F.explode(held).alias("pair"), "symbols", "freq")
-        # by both columns, so that a pair of very many chunks is spread as well
-        index = index.repartitionByRange(cores, "pair", "symbols").sortWithinPartitions("pair")
-        self.index = index.persist(StorageLevel.MEMORY_AND_DISK)
-        ranking = count_pairs(self.states).orderBy(F.desc("pair_freq"), "pair")
-        rows = ranking.limit(CANDIDATES + 1).collect()
+        # rewriting strings costs far more than reading them, so spread the rows over all cores
+        self.states, self.path = write_table(states.repartition(cores, "symbols"), "bpe-states")
+        self.states = self.states.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = count_pairs(self.states).orderBy(F.desc("pair_freq"), "pair").limit(CANDIDATES + 1).collect()
         self.counts = {row.pair: row.pair_freq for row in rows[:CANDIDATES]}
         self.floor = self._place(*rows[CANDIDATES - 1]) if len(rows) > CANDIDATES else None
         self.first, self.merges = 256 + made, []
+        self.indexed = {row.pair for row in rows[:INDEXED_PAIRS]} if made >= INDEX_FROM else set()
+        self.index = self._index() if self.indexed else None
+
+    def _index(self) -> DataFrame:
+        """``pair, symbols, freq`` of the pairs that are next to be merged and the chunks that hold them."""
+        wanted = self.spark.createDataFrame([(pair,) for pair in self.indexed], "pair STRING")
+        held = self.states.select(F.explode(F.array_distinct(adjacent_pairs(F.col("symbols")))).alias("pair"), "symbols", "freq")
+        # every partition has the index of its own chunks, so a pair of very many chunks is looked up by all of them
+        found = held.join(F.broadcast(wanted), "pair", "left_semi")  # INDEXED_PAIRS short rows
+        return found.sortWithinPartitions("pair").persist(StorageLevel.MEMORY_AND_DISK)
 
     @staticmethod
     def _place(pair: str, freq: int) -> tuple[int, int, int]:
@@ -173,10 +184,11 @@ class _Base:
     def holders(self, batch: list[Merge]) -> DataFrame:
         """``symbols, freq`` of the chunks that may hold a pair of the batch, each once, as they were in the base."""
         keys = list(dict.fromkeys(self._key(m.left_id, m.right_id) for m in batch))
-        found = self.index.where(F.col("pair").isin(keys))
-        if len(keys) > 1:  # a chunk with several of them counts for the first
+        if self.indexed.issuperset(keys):  # a chunk with several of them counts for the first
             held = F.filter(F.split(F.lit(SEPARATOR.join(keys)), SEPARATOR), lambda key: F.contains("symbols", key))
-            found = found.where(F.col("pair") == held[0])
+            found = self.index.where(F.col("pair").isin(keys) & (F.col("pair") == held[0]))
+        else:
+            found = self.states.where(reduce(Column.__or__, [F.contains("symbols", F.lit(key)) for key in keys]))
         return found.select("symbols", "freq")
 
     def changes(self, batch: list[Merge]) -> DataFrame:
@@ -192,7 +204,7 @@ class _Base:
         # of the others, those of the new tokens alone can be above the floor
         new = [symbol(token) for token, _ in made]
         risen = (F.substring("pair", 1, 1).isin(new) | F.substring("pair", 2, 1).isin(new)) & (F.col("pair_freq") >= -self.floor[0])
-        known = self.spark.createDataFrame([(pair, True) for pair in self.counts], "pair STRING, known BOOLEAN")
+        known = self.spark.createDataFrame(pa.table({"pair": list(self.counts), "known": [True] * len(self.counts)}))
         # CANDIDATES short rows, and the new ones since
         return changes.join(F.broadcast(known), "pair", "left").where(F.col("known") | risen).select("pair", "pair_freq")
 
@@ -221,7 +233,9 @@ class _Base:
         return new
 
     def drop(self) -> None:
-        self.index.unpersist()
+        self.states.unpersist()
+        if self.index is not None:
+            self.index.unpersist()
         drop_table(self.spark, self.path)
 
 

@@ -1,24 +1,21 @@
 """One ordered token stream per split: where every document starts.
 
-Documents are laid end to end in their total order.  The running sum is taken in two steps: the token
-sums of value-based cells come first (a bounded table that the driver adds up), then each bucket of
-neighbouring cells sums its own documents.  No window runs over a whole split, and token arrays are
-shuffled once, by ``(split, bucket)``; cutting windows later reuses that placement.
+Documents are laid end to end in their total order.  The running sum is taken in two steps: ranges of neighbouring
+documents with about equal numbers of tokens come first (``corpusflow.operators.ranges``), then each range, a bucket, sums its
+own documents.  No window runs over a whole split, and token arrays are shuffled once, by ``(split, bucket)``; cutting
+windows later reuses that placement.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.ordering import CELL_BITS, ORDER_COLUMNS, Cells
+from corpusflow.functions.ordering import ORDER_COLUMNS
+from corpusflow.operators.ranges import cut_ranges
 
-#: Rows of the cell table, over all splits, that the driver adds up and broadcasts.
-MAX_CELL_ROWS_BITS = 20
-MAX_SPLITS = 4096
 #: Tokens a bucket should hold: enough that few windows cross buckets, little enough for one task.
 TOKENS_PER_BUCKET = 16 << 20
 
@@ -28,76 +25,46 @@ class TokenStream:
     """Token arrays with their global offsets.
 
     ``segments``: ``split, bucket, bucket_start, bucket_end, split_tokens, offset, token_len, ids, ...``
-    ``totals``: tokens per split.  ``buckets``: ``(split, bucket, start, end)`` in stream order.
+    ``totals``: tokens per split.  ``buckets``: ``split, bucket, bucket_start, bucket_end`` as a table.
     """
 
     segments: DataFrame
     totals: dict[str, int]
-    buckets: list[tuple[str, int, int, int]] | None = None
+    buckets: DataFrame | None = None
 
     def between(self, ranges: dict[str, tuple[int, int]]) -> DataFrame:
         """Segments of the buckets that overlap the token range ``[low, high)`` of each named split.
 
-        Whole buckets are left out by their key, which happens before token arrays are shuffled.
+        Whole buckets are left out by where they start and end, which happens before token arrays are shuffled.
         """
         wanted: Column = F.lit(False)
         for split, (low, high) in ranges.items():
-            here = F.col("split") == split
-            if self.buckets is not None:
-                hit = [b for s, b, start, end in self.buckets if s == split and start < high and end > low]
-                here = here & F.col("bucket").between(min(hit), max(hit)) if hit else F.lit(False)
-            wanted = wanted | here
+            wanted = wanted | ((F.col("split") == split) & (F.col("bucket_start") < high) & (F.col("bucket_end") > low))
         return self.segments.where(wanted)
 
 
-def token_offsets(encoded: DataFrame, hashed: bool = True, tokens_per_bucket: int = TOKENS_PER_BUCKET) -> TokenStream:
+def token_offsets(encoded: DataFrame, tokens_per_bucket: int = TOKENS_PER_BUCKET) -> TokenStream:
     """Lay ``encoded`` documents end to end, per split.
 
     ``encoded`` has ``split, doc_id, order_key, order_pos, token_len`` and any further columns, which
     are kept.  It is read several times, so it should be a written table; the first reads touch only
-    the order and length columns.
+    the order and length columns.  Documents that share their place in the order are laid out by length, then by
+    content, if there is ``ids``.
     """
-    n_splits = encoded.select("split").distinct().limit(MAX_SPLITS + 1).count()
-    if n_splits > MAX_SPLITS:
-        raise ValueError(f"more than {MAX_SPLITS} splits; is the split column right?")
-    # more splits mean coarser cells, so the table stays within its bound
-    bits = min(CELL_BITS, MAX_CELL_ROWS_BITS - n_splits.bit_length())
-    cells = Cells.hashed() if hashed else Cells.sampled(encoded)
-    cell = F.shiftright(cells.cell(F.col("order_pos")), CELL_BITS - bits)
-    sums = encoded.groupBy("split", cell.alias("cell")).agg(F.sum("token_len").cast("bigint").alias("n")).collect()
-    per_split: dict[str, list] = defaultdict(list)
-    for row in sums:
-        per_split[row["split"]].append(row)
-    totals = {split: sum(row.n for row in rows) for split, rows in per_split.items()}
-
     spark = encoded.sparkSession
-    wanted = max(4 * spark.sparkContext.defaultParallelism, sum(totals.values()) // tokens_per_bucket)
-    shift = bits - min(bits, (wanted - 1).bit_length())
-    bases = []
-    for split, rows in per_split.items():
-        at, size = 0, defaultdict(int)
-        for row in rows:
-            size[row.cell >> shift] += row.n
-        for bucket in sorted(size):
-            bases.append((split, bucket, at, at + size[bucket], totals[split]))
-            at += size[bucket]
-    bases_df = spark.createDataFrame(
-        bases, "split STRING, bucket INT, bucket_start BIGINT, bucket_end BIGINT, split_tokens BIGINT"
-    )
-    before = (
-        Window.partitionBy("split", "bucket").orderBy(*ORDER_COLUMNS).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    ranges = cut_ranges(encoded, tokens_per_bucket, 4 * spark.sparkContext.defaultParallelism)
+    last = ["token_len", F.xxhash64("ids").bitwiseAND(F.lit(2**63 - 1))] if "ids" in encoded.columns else ["token_len"]
+    # a filter on where buckets start and end passes below a window that is parted by these as well
+    within = Window.partitionBy("split", "bucket", "bucket_start", "bucket_end").orderBy(*ORDER_COLUMNS, *last)
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
     # as many partitions as the tokens ask for, whatever the session's default
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(totals.values()) // tokens_per_bucket)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(ranges.totals.values()) // tokens_per_bucket)
     segments = (
-        encoded.withColumn("bucket", F.shiftright(cell, shift))
+        ranges.assign(encoded)
         .repartition(partitions, "split", "bucket")
-        .withColumn("local_offset", F.coalesce(F.sum("token_len").over(before), F.lit(0)))
-        .join(F.broadcast(bases_df), ["split", "bucket"])  # at most 2^20 short rows, see above
-        .withColumn("offset", F.col("bucket_start") + F.col("local_offset"))
-        .drop("local_offset")
+        .withColumn("offset", F.col("bucket_start") + F.coalesce(F.sum("token_len").over(before), F.lit(0)))
     )
-    return TokenStream(segments, totals, [base[:4] for base in bases])
+    return TokenStream(segments, ranges.totals, ranges.table.select("split", "bucket", "bucket_start", "bucket_end"))
 
 
 def token_prefix(stream: TokenStream, limits: dict[str, int] | int) -> DataFrame:

@@ -42,7 +42,7 @@ class AppendPacker:
         n_before, tail = self._state_before(spark, batch_id)
         rows = encode(documents.select("doc_id", "text"), self.vocab).withColumn("split", F.lit(self.split))
         encoded, path = write_table(with_id_order(rows), "append")
-        arrived = token_offsets(encoded, hashed=False)
+        arrived = token_offsets(encoded)
         n_after = n_before + arrived.totals.get(self.split, 0)
         columns = ["split", "bucket", "bucket_start", "bucket_end", "offset", "token_len", "ids"]
         segments = arrived.segments

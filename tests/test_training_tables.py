@@ -83,7 +83,7 @@ def test_manifest_names_the_documents_of_each_step(spark):
     rng = random.Random(3)
     lengths = [rng.choice([1, 2, 5, 60]) for _ in range(40)]
     df = spark.createDataFrame([("train", i, n) for i, n in enumerate(lengths)], "split STRING, doc_id BIGINT, token_len INT")
-    stream = token_offsets(with_id_order(df), hashed=False, tokens_per_bucket=30)
+    stream = token_offsets(with_id_order(df), tokens_per_bucket=30)
     block, stride, batch_size, accumulate = 8, 6, 2, 3
     owner = [i for i, n in enumerate(lengths) for _ in range(n)]
     windows = (len(owner) - block - 1) // stride + 1

@@ -38,7 +38,7 @@ def encoded(spark, docs, split="train"):
 
 
 def stream_of(spark, docs, **options):
-    return token_offsets(encoded(spark, docs), hashed=False, **options)
+    return token_offsets(encoded(spark, docs), **options)
 
 
 def collected(windows):
@@ -124,7 +124,7 @@ def test_lookup_of_a_window_range(spark):
 
 def test_batches_drop_the_last_only_where_asked(spark):
     docs = encoded(spark, {i: [1] * 9 for i in range(10)})
-    stream = token_offsets(docs.unionByName(docs.withColumn("split", F.lit("validation"))), hashed=False)
+    stream = token_offsets(docs.unionByName(docs.withColumn("split", F.lit("validation"))))
     counts = window_counts(stream.totals, 4, 4)
     assert counts == {"train": 22, "validation": 22}
     rows = batch(pack_windows(stream, 4, 4), 5, counts, ["train"]).collect()
@@ -181,7 +181,7 @@ def test_negative_prefix_is_an_error(spark):
 
 def test_token_arrays_are_shuffled_once(spark, tmp_path):
     encoded(spark, {i: [1] * 50 for i in range(50)}).write.parquet(str(tmp_path / "e"))
-    plan = pack_windows(token_offsets(spark.read.parquet(str(tmp_path / "e")), hashed=False), 8, 8)
+    plan = pack_windows(token_offsets(spark.read.parquet(str(tmp_path / "e"))), 8, 8)
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -317,8 +317,8 @@ def test_window_range_of_files(spark, tmp_path, wanted):
 ])
 def test_no_cell_is_hot(spark, ids):
     encoded = spark.createDataFrame([(i,) for i in ids], "doc_id BIGINT").selectExpr("'train' AS split", "doc_id", "3 AS token_len")
-    stream = token_offsets(with_id_order(encoded), hashed=False, tokens_per_bucket=3 * len(ids) // 256)
-    sizes = [end - start for _, _, start, end in stream.buckets]
+    stream = token_offsets(with_id_order(encoded), tokens_per_bucket=3 * len(ids) // 256)
+    sizes = [row.bucket_end - row.bucket_start for row in stream.buckets.collect()]
     assert max(sizes) <= 2 * 3 * len(ids) / 256
     rows = sorted((r.doc_id, r.offset) for r in stream.segments.collect())
     assert rows == [(i, 3 * n) for n, i in enumerate(sorted(ids))]
@@ -328,6 +328,48 @@ def test_long_document_with_small_stride(spark):
     """One document of many windows: no row holds more than the pieces of one stretch."""
     n, block = 60_000, 512
     encoded = spark.createDataFrame([(1,)], "doc_id BIGINT").selectExpr("'train' AS split", "doc_id", f"sequence(0, {n - 1}) AS ids", f"{n} AS token_len")
-    windows = pack_windows(token_offsets(with_id_order(encoded), hashed=False), block, 1)
+    windows = pack_windows(token_offsets(with_id_order(encoded)), block, 1)
     row = windows.selectExpr("count(*) AS n", "sum(x[0]) AS first", "min(y[511] - x[0]) AS low", "max(y[511] - x[0]) AS high").first()
     assert (row.n, row.first) == (n - block, sum(range(n - block))) and row.low == row.high == block
+
+
+@pytest.mark.parametrize("case", ["repeated ids", "clustered ids", "one id", "few positions", "giant documents"])
+def test_no_bucket_is_over_twice_the_target(spark, monkeypatch, case):
+    """However ids repeat or cluster, buckets are even, and offsets are those of the plain order."""
+    from corpusflow.operators import ranges
+
+    monkeypatch.setattr(ranges, "FAN", 8)  # several rounds
+    rng = random.Random(3)
+    ids = {
+        "repeated ids": lambda i: rng.choice([1, 1, 1, 2, 10**12]),
+        "clustered ids": lambda i: rng.choice([rng.randrange(40), 2**60 + rng.randrange(10**6), -(2**62) + i]),
+        "one id": lambda i: 7,
+        "few positions": lambda i: i // 500,
+        "giant documents": lambda i: i,
+    }[case]
+    lengths = [50_000 if case == "giant documents" and i % 900 == 450 else rng.randrange(1, 60) for i in range(3000)]
+    rows = [(ids(i), n, [i] * min(n, 3)) for i, n in enumerate(lengths)]
+    df = with_id_order(spark.createDataFrame(rows, "doc_id BIGINT, token_len INT, ids ARRAY<INT>").withColumn("split", F.lit("train"))).cache()
+    target = 700
+    stream = token_offsets(df, tokens_per_bucket=target)
+    buckets = stream.buckets.orderBy("bucket").collect()
+    assert buckets[0].bucket_start == 0 and buckets[-1].bucket_end == stream.totals["train"] == sum(lengths)
+    assert all(a.bucket_end == b.bucket_start for a, b in zip(buckets, buckets[1:]))
+    long = [b for b in buckets if b.bucket_end - b.bucket_start > 2 * target]
+    assert len(long) == (sum(n > 2 * target for n in lengths) if case == "giant documents" else 0)
+    assert len(buckets) < 4 * sum(lengths) / target
+    got = [(r.doc_id, r.token_len, r.offset) for r in stream.segments.orderBy("offset").collect()]
+    want, at = [], 0
+    for doc_id, n, _ in sorted(rows, key=lambda r: r[:2]):
+        want.append((doc_id, n, at))
+        at += n
+    assert got == want
+    assert sorted(map(tuple, stream.segments.select("offset", "ids").collect())) == sorted(map(tuple, token_offsets(df.repartition(3), tokens_per_bucket=target).segments.select("offset", "ids").collect()))
+
+
+def test_many_splits(spark):
+    """The number of splits has no limit."""
+    df = with_id_order(spark.range(12_000).select(F.col("id").alias("doc_id"), F.expr("'s' || (id % 6000)").alias("split"), F.lit(5).alias("token_len")))
+    stream = token_offsets(df)
+    assert len(stream.totals) == 6000 and set(stream.totals.values()) == {10}
+    assert {tuple(r) for r in stream.segments.groupBy("offset").count().collect()} == {(0, 6000), (5, 6000)}
