@@ -29,16 +29,15 @@ def score_tokens(windows: DataFrame, counts: DataFrame, vocab_size: int, k: floa
     seen = windows.select(by, F.inline(F.arrays_zip(F.col("x").alias("left_id"), F.col("y").alias("target"))))
     seen = seen.withColumn("left_id", F.when(F.col("target") != IGNORE_INDEX, F.col("left_id")))
     seen = seen.groupBy(by, "left_id", "target").agg(F.count("*").alias("weight"))
-    # ignored targets have nothing to look up: one row of a batch each, kept out of the joins
-    ignored = seen.where(F.col("target") == IGNORE_INDEX).select(by, "target", F.lit(None).cast("double").alias("logp"), "weight")
     totals = counts.groupBy("left_id").agg(F.sum("n").alias("n_left"))
+    # ignored targets are one row of a batch, without a left id: they meet nothing in the joins
     scored = (
-        seen.where(F.col("target") != IGNORE_INDEX)
-        .join(counts.withColumnRenamed("right_id", "target"), ["left_id", "target"], "left")
+        seen.join(counts.withColumnRenamed("right_id", "target"), ["left_id", "target"], "left")
         .join(F.broadcast(totals), "left_id", "left")  # one short row per id of the vocabulary at most
     )
     smoothed = (F.coalesce("n", F.lit(0)) + k) / (F.coalesce("n_left", F.lit(0)) + k * vocab_size)
-    return scored.select(by, "target", F.log(smoothed).alias("logp"), "weight").unionByName(ignored)
+    logp = F.when(F.col("target") != IGNORE_INDEX, F.log(smoothed))
+    return scored.select(by, "target", logp.alias("logp"), "weight")
 
 
 def masked_loss(scored: DataFrame, by: str = "batch_id") -> DataFrame:

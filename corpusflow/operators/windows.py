@@ -45,8 +45,12 @@ def _in_stretches(segments: DataFrame, block_size: int, stride: int) -> DataFram
         return F.struct(first.alias("first_window"), last.alias("last_window"), start.alias("offset"), (stop - start).alias("token_len"), ids.alias("ids"))
 
     firsts = F.sequence("first_window", "last_window", F.lit(WINDOWS_PER_STRETCH).cast("bigint"))
-    others = [c for c in segments.columns if c not in ("first_window", "last_window", "offset", "token_len", "ids")]
-    return segments.select(*others, F.inline(F.transform(firsts, stretch)))
+    own = ("first_window", "last_window", "offset", "token_len", "ids")
+    # nearly all documents are short; these stay as they are
+    whole = F.array(F.struct(*[F.col(c).cast("bigint").alias(c) if c == "token_len" else F.col(c) for c in own]))
+    few = F.col("last_window") - F.col("first_window") < WINDOWS_PER_STRETCH
+    others = [c for c in segments.columns if c not in own]
+    return segments.select(*others, F.inline(F.when(few, whole).otherwise(F.transform(firsts, stretch))))
 
 
 def _window_pieces(segments: DataFrame, block_size: int, stride: int, extra: list[str]) -> DataFrame:

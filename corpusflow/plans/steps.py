@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.operators.stream import TokenStream
-from corpusflow.operators.windows import _window_pieces, window_count
+from corpusflow.operators.windows import window_count
 from corpusflow.sources.config import StepConfig
 
 
@@ -101,17 +101,32 @@ def step_documents(
 ) -> DataFrame:
     """``(step_in_pass, doc_id, n_tokens)``: how much of a document each step of a pass reads.
 
-    Works on offsets and lengths alone; a token read by two windows counts twice.
+    Works on offsets and lengths alone; a token read by two windows counts twice.  A row of the work is a document and a
+    step, not a window: how many tokens before a place the windows of a step hold is an arithmetic series, and what lies in
+    a document is the difference of two of them.
     """
     windows = window_count(stream.totals[split], block_size, stride)
     usable = batch_count(windows, batch_size, drop_last) * batch_size
-    segments = stream.segments.where(F.col("split") == split).drop("ids")
-    pieces = _window_pieces(segments, block_size, stride, ["doc_id"]).where(F.col("window_id") < usable)
-    return (
-        pieces.withColumn("step_in_pass", F.expr(f"window_id div {batch_size * accumulate}"))
-        .groupBy("step_in_pass", "doc_id")
-        .agg(F.sum(F.col("stop") - F.col("start")).alias("n_tokens"))
-    )
+    per_step, span = batch_size * accumulate, block_size + 1
+    segments = stream.segments.where((F.col("split") == split) & (F.col("token_len") > 0))
+    first = F.greatest(F.lit(0), F.expr(f"(offset - {block_size} + {stride - 1}) div {stride}"))
+    last = F.least(F.lit(min(usable, windows) - 1), F.expr(f"(offset + token_len - 1) div {stride}"))
+    meeting = segments.select("doc_id", "offset", (F.col("offset") + F.col("token_len")).alias("end"), first.alias("first"), last.alias("last"))
+    steps = F.sequence(F.expr(f"first div {per_step}"), F.expr(f"last div {per_step}"))
+    pairs = meeting.where("first <= last").select("*", F.explode(steps).alias("step_in_pass"))
+    a = F.col("step_in_pass") * per_step
+    b = F.least(a + (per_step - 1), F.lit(min(usable, windows) - 1))
+
+    def held_before(place: Column) -> Column:
+        """Tokens before ``place`` in the windows ``a .. b``: of some windows all, of the next ones a falling part."""
+        whole = F.least(F.greatest(F.floor((place - span) / stride) + 1 - a, F.lit(0)), b - a + 1)
+        begun = F.least(F.greatest(F.floor((place - 1) / stride) + 1 - a, F.lit(0)), b - a + 1)
+        part = begun - whole
+        # windows a + whole .. a + begun - 1 give place - window * stride each
+        return whole * span + part * place - stride * (part * (a + whole) + F.floor(part * (part - 1) / 2))
+
+    counted = pairs.select("step_in_pass", "doc_id", (held_before(F.col("end")) - held_before(F.col("offset"))).alias("n_tokens"))
+    return counted.groupBy("step_in_pass", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
 
 
 def order_manifest(documents: DataFrame, plan: DataFrame, accumulate: int) -> DataFrame:

@@ -4,6 +4,8 @@ import math
 import random
 from datetime import datetime, timedelta
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -261,3 +263,21 @@ def test_budget_counts_the_batches_there_are(spark):
     rows = batch(windows, 7, counts, ["train"]).select("split", "batch_id").distinct().collect()
     assert budget == {split: sum(row["split"] == split for row in rows) for split in totals}
     assert budget["validation"] == budget["train"] + 1
+
+
+@pytest.mark.parametrize("block, stride, per_batch, accumulate, drop_last", [(8, 8, 2, 3, True), (8, 3, 3, 2, False), (5, 1, 4, 1, True), (7, 7, 1, 1, False), (16, 5, 50, 9, False)])
+def test_documents_of_steps_equal_counting_every_window(spark, block, stride, per_batch, accumulate, drop_last):
+    lengths = [1, 2, 40, 3, 300, 1, 1, 17, 9, 8, 60]
+    rows = [(i, [i] * n, n) for i, n in enumerate(lengths)]
+    df = with_id_order(spark.createDataFrame(rows, "doc_id BIGINT, ids ARRAY<INT>, token_len INT").withColumn("split", F.lit("train")))
+    got = step_documents(token_offsets(df, tokens_per_bucket=100), "train", block, stride, per_batch, accumulate, drop_last)
+    tokens = [i for i, n in enumerate(lengths) for _ in range(n)]
+    windows = (len(tokens) - block - 1) // stride + 1
+    usable = batch_count(windows, per_batch, drop_last) * per_batch
+    want = Counter()
+    for w in range(min(windows, usable)):
+        for doc_id in tokens[w * stride : w * stride + block + 1]:
+            want[w // (per_batch * accumulate), doc_id] += 1
+    assert {(r.step_in_pass, r.doc_id): r.n_tokens for r in got.collect()} == want
+    # one row a document and step, however many windows there are
+    assert "window_id" not in got._jdf.queryExecution().optimizedPlan().toString()
