@@ -80,7 +80,10 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         if self.matcher is not None and not any(token in text for token in self.added):
-            return self.matcher.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            try:
+                return self.matcher.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:  # its regex gives up on very long runs, of white space above all
+                pass
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
