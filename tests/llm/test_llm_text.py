@@ -434,3 +434,21 @@ def test_checksums_of_pieces(spark):
     rows = packing.pack(spark.createDataFrame([(1, "a b c")], DOCS), PATH).select("ids", F.crc32("ids").alias("crc")).collect()
     assert all(zlib.crc32(row["ids"]) == row["crc"] for row in rows)
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000 + "end", "a\n" + "\n" * 3_000_000, "1" * 300_000, "x" * 300_000 + " y"])
+def test_ids_of_long_runs(text):
+    """Where the fast matcher gives up the tokenizer's own ids are taken."""
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.encoder(path).encode(text), "<u4").tolist() == want
+
+
+def test_spans_of_a_text_with_very_many_matches(spark):
+    """The work grows with the length of the text, not with its square."""
+    n = 100_000
+    text = " ".join(f"a{i}@b.org" for i in range(n))
+    spans = pii.candidates(spark.createDataFrame([(1, text), (2, "x@y.z 1.2.3.4")], "doc_id BIGINT, text STRING"))
+    base = spans.where("base AND kind = 'email'").groupBy("doc_id").agg(F.count("*").alias("n"), F.max("end").alias("end")).collect()
+    assert {(r["doc_id"], r["n"], r["end"]) for r in base} == {(1, n, len(text)), (2, 1, 5)}
+    assert pii._fresh(spans).where("kind = 'email'").count() == 0
