@@ -40,9 +40,10 @@ from corpusflow.operators.windows import batch, pack_windows, window_counts
 from corpusflow.plans.steps import order_manifest, step_documents, step_plan, token_budget
 from corpusflow.sources.config import CorpusConfig, StepConfig
 from corpusflow.sources.corpus import read_corpus, resolve_splits, write_tokenized
-from corpusflow.sources.token_bin import copy_prefix, read_manifest, read_tokens, read_windows, write_stream
+from corpusflow.sources.token_bin import append_tokens, arriving_windows, copy_prefix, read_manifest, read_tokens, read_windows, write_stream
 from corpusflow.storage import materialize, scratch_path, small_shuffles, spread_small
 from corpusflow.streaming.append_pack import AppendPacker
+from corpusflow.streaming.append_state import append_windows, continued_windows
 from corpusflow.streaming.live import append_encoded, encode_stream, read_documents, running_stats, throughput_by_window
 
 BYTES = Vocabulary()
@@ -463,6 +464,38 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_rows(packer.read(spark))
 
 
+def stream_windows_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A token stream of each source, continued from micro-batch to micro-batch."""
+    target = scratch_path(spark, "continued")
+    live = _live_documents(spark, sf_dir).select(F.col("source").alias("split"), "doc_id", "text")
+    windows = continued_windows(live, BYTES, BLOCK, STRIDE, masked=True)
+    with small_shuffles(spark):  # one row of state a source
+        append_windows(windows, target, scratch_path(spark, "continued-checkpoint")).awaitTermination()
+    return _window_rows(spark.read.parquet(target))
+
+
+def _growing_files(spark: SparkSession, sf_dir: str) -> str:
+    """Documents encoded as they arrive and appended to token files, one epoch a micro-batch."""
+    path = scratch_path(spark, "growing")
+    encoded = encode_stream(_live_documents(spark, sf_dir).select("doc_id", "text"), BYTES)
+    append_tokens(encoded, path, scratch_path(spark, "growing-checkpoint"), BYTES.dtype).awaitTermination()
+    return path
+
+
+def token_bin_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each token came through the files."""
+    tokens = read_tokens(spark, _growing_files(spark, sf_dir), BYTES.dtype).select(F.explode("tokens").alias("token"))
+    return tokens.groupBy("token").agg(F.count("*").alias("n"))
+
+
+def token_bin_arriving_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of growing files, taken up by a streaming query as they become whole."""
+    target = scratch_path(spark, "arriving-windows")
+    windows = arriving_windows(spark, _growing_files(spark, sf_dir), BLOCK, STRIDE, BYTES.dtype)
+    append_encoded(windows, target, scratch_path(spark, "arriving-checkpoint")).awaitTermination()
+    return spark.read.parquet(target).select("window_id", F.size("x").alias("n_inputs"), F.size("y").alias("n_targets"))
+
+
 def _finished(spark: SparkSession, streaming: DataFrame, mode: str) -> DataFrame:
     """Run a streaming aggregate over all there is, and return what it emitted."""
     path = scratch_path(spark, "emitted")
@@ -565,6 +598,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_stats": stream_stats,
         "stream_throughput": stream_throughput,
         "stream_windows": stream_windows,
+        "stream_windows_by_source": stream_windows_by_source,
+        "token_bin_append": token_bin_append,
+        "token_bin_arriving_windows": token_bin_arriving_windows,
     }
 
 
@@ -836,4 +872,10 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
                    round(sum(n_tokens)::DOUBLE / 86400, 9) AS tokens_per_sec FROM rows
             WHERE (window_start + 86400) * 1000000 <= latest - 3600000000 GROUP BY ALL""",
         "stream_windows": f"""{_windows_sql(BLOCK, STRIDE, 'true', _ARRIVED)} SELECT * FROM digests""",
+        "stream_windows_by_source": f"""{_windows_sql(BLOCK, STRIDE, 'true', _ARRIVED.replace("'train' AS split", "source AS split"))} SELECT * FROM digests""",
+        "token_bin_append": f"""{_ARRIVED}
+            SELECT token, count(*) AS n FROM (SELECT unnest(ids) AS token FROM encoded) GROUP BY token""",
+        "token_bin_arriving_windows": f"""{_ARRIVED}
+            SELECT unnest(range(0, (total - {BLOCK + 1}) // {STRIDE} + 1)) AS window_id, {BLOCK}::INT AS n_inputs, {BLOCK}::INT AS n_targets
+            FROM (SELECT sum(token_len)::BIGINT AS total FROM encoded)""",
     }

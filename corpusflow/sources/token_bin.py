@@ -4,7 +4,11 @@ A token stream is one ``.bin`` file, or a folder of shards with a manifest.  Sha
 parallel under their final names and become visible when the manifest is written, so a task that runs
 twice or dies leaves nothing a reader would see, and object stores need no rename.
 
-Reading is by token ranges.  With ``block_size`` and ``stride`` a row carries whole windows including
+A stream that keeps growing is a folder with one manifest an epoch: the sink of a streaming query adds an epoch's shards under its
+number, once, however often the epoch is run, and a streaming read takes up what epochs have added since its last offset.
+
+Reading is by token ranges (options ``first`` and ``stop``).  Filters are not pushed to the reader: Spark 4.1 keeps one reader
+for all uses of a table, so what one query leaves out would be missing from the next.  With ``block_size`` and ``stride`` a row carries whole windows including
 the tokens they share with the next row, so cutting windows from files needs no shuffle at all.
 """
 
@@ -13,21 +17,33 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    DataSourceStreamArrowWriter,
+    DataSourceStreamReader,
+    InputPartition,
+    WriterCommitMessage,
+)
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from corpusflow.operators.stream import TokenStream
 from corpusflow.operators.windows import shift_targets, window_count
+from corpusflow.sources.config import check_window_arguments
 
 MANIFEST = "manifest.json"
+EPOCH_NAME = re.compile(r"epoch-([0-9]{12})\.json")
 #: Element types on disk and the Spark and Arrow types that hold them (Spark has no unsigned).
 TYPES = {"uint16": ("<u2", "INT", pa.int32()), "uint32": ("<u4", "BIGINT", pa.int64())}
 RANGE_TOKENS = 32 << 20
@@ -70,6 +86,9 @@ def list_shards(path: str, dtype: str) -> list[Shard]:
                 raise ValueError(f"{path} holds {manifest['dtype']}, not {dtype}")
             return [Shard(f"{root}/{s['shard']}", s["first_offset"], s["n_tokens"]) for s in manifest["shards"]]
         listing = store.get_file_info(fs.FileSelector(root))
+        epochs = sorted(f.path for f in listing if EPOCH_NAME.fullmatch(f.base_name))
+        if epochs:
+            return [shard for epoch in epochs for shard in _epoch_shards(store, root, epoch, dtype)]
         files = sorted((f for f in listing if f.path.endswith(".bin")), key=lambda f: f.path)
         if any(SHARD_NAME.fullmatch(f.base_name) for f in files):
             raise ValueError(f"{path} has shards but no {MANIFEST}: its writing did not end")
@@ -82,6 +101,14 @@ def list_shards(path: str, dtype: str) -> list[Shard]:
     return shards
 
 
+def _epoch_shards(store: fs.FileSystem, root: str, path: str, dtype: str) -> list[Shard]:
+    with store.open_input_stream(path) as stream:
+        manifest = json.loads(stream.read())
+    if manifest["dtype"] != dtype:
+        raise ValueError(f"{root} holds {manifest['dtype']}, not {dtype}")
+    return [Shard(f"{root}/{s['shard']}", s["first_offset"], s["n_tokens"]) for s in manifest["shards"]]
+
+
 def token_count(path: str, dtype: str) -> int:
     return sum(shard.count for shard in list_shards(path, dtype))
 
@@ -146,25 +173,30 @@ class TokenBinReader(DataSourceReader):
     def read(self, partition: TokenRange | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # an empty stream has no ranges
             return
-        disk, _, arrow = _element(self.dtype)
-        width = np.dtype(disk).itemsize
-        store, _ = fs.FileSystem.from_uri(self.path)
-        files = [(shard, store.open_input_file(shard.path)) for shard in partition.shards]
-        try:
-            for row in range(partition.first_row, partition.stop_row):
-                start, stop = self.row_range(row)
-                parts = []
-                for shard, file in files:
-                    low, high = max(start, shard.first), min(stop, shard.first + shard.count)
-                    if low < high:
-                        raw = file.read_at((high - low) * width, (low - shard.first) * width)
-                        parts.append(np.frombuffer(raw, disk))
-                tokens = pa.array(np.concatenate(parts), arrow)
-                rows = pa.ListArray.from_arrays(pa.array([0, len(tokens)], pa.int32()), tokens)
-                yield pa.RecordBatch.from_arrays([pa.array([start], pa.int64()), rows], ["pos", "tokens"])
-        finally:
-            for _, file in files:
-                file.close()
+        spans = (self.row_range(row) for row in range(partition.first_row, partition.stop_row))
+        yield from _read_spans(self.path, self.dtype, spans, partition.shards)
+
+
+def _read_spans(path: str, dtype: str, spans: Iterable[tuple[int, int]], shards: list[Shard]) -> Iterator[pa.RecordBatch]:
+    """``pos, tokens`` of stretches of a stream."""
+    disk, _, arrow = _element(dtype)
+    width = np.dtype(disk).itemsize
+    store, _ = fs.FileSystem.from_uri(path)
+    files = [(shard, store.open_input_file(shard.path)) for shard in shards]
+    try:
+        for start, stop in spans:
+            parts = []
+            for shard, file in files:
+                low, high = max(start, shard.first), min(stop, shard.first + shard.count)
+                if low < high:
+                    raw = file.read_at((high - low) * width, (low - shard.first) * width)
+                    parts.append(np.frombuffer(raw, disk))
+            tokens = pa.array(np.concatenate(parts), arrow)
+            rows = pa.ListArray.from_arrays(pa.array([0, len(tokens)], pa.int32()), tokens)
+            yield pa.RecordBatch.from_arrays([pa.array([start], pa.int64()), rows], ["pos", "tokens"])
+    finally:
+        for _, file in files:
+            file.close()
 
 
 @dataclass
@@ -247,6 +279,137 @@ class TokenBinWriter(DataSourceArrowWriter):
                 store.delete_file(f"{root}/{name}")
 
 
+@dataclass
+class StreamRange(InputPartition):
+    """Stretches that became whole since the last offset, and the shards that hold them."""
+
+    spans: list[tuple[int, int]]
+    shards: list[Shard]
+
+
+class TokenBinStreamReader(DataSourceStreamReader):
+    """What epochs add to a stream: its tokens, or with ``block_size`` the windows that became whole, each once.
+
+    An offset is the number of tokens that the committed epochs hold, which never falls, so an offset in a checkpoint stays good.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.path = options["path"]
+        self.dtype = options.get("dtype", "uint16")
+        self.block_size = int(options.get("block_size", 0))
+        self.stride = int(options.get("stride", self.block_size))
+        self.row_tokens = int(options.get("row_tokens", ROW_TOKENS))
+        self.range_tokens = int(options.get("range_tokens", RANGE_TOKENS))
+
+    def initialOffset(self) -> dict:
+        return {"tokens": 0}
+
+    def latestOffset(self) -> dict:
+        store, root = fs.FileSystem.from_uri(self.path)
+        there = store.get_file_info(root).type == fs.FileType.Directory
+        epochs = _epochs(store, root) if there else {}
+        return {"tokens": _end(store, root, epochs[max(epochs)]) if epochs else 0}
+
+    def _windows(self, tokens: int) -> int:
+        return (tokens - self.block_size - 1) // self.stride + 1 if tokens > self.block_size else 0
+
+    def partitions(self, start: dict, end: dict) -> list[StreamRange]:
+        low, high = start["tokens"], end["tokens"]
+        if self.block_size:
+            per_row = max(1, self.row_tokens // self.stride)
+            first, stop = self._windows(low), self._windows(high)
+            rows = [(w, min(w + per_row, stop)) for w in range(first, stop, per_row)]
+            spans = [(a * self.stride, (b - 1) * self.stride + self.block_size + 1) for a, b in rows]
+        else:
+            spans = [(at, min(at + self.row_tokens, high)) for at in range(low, high, self.row_tokens)]
+        shards, ranges, at = list_shards(self.path, self.dtype) if spans else [], [], 0
+        per_task = max(1, self.range_tokens // self.row_tokens)
+        for i in range(0, len(spans), per_task):
+            part = spans[i : i + per_task]
+            while shards[at].first + shards[at].count <= part[0][0]:
+                at += 1
+            ranges.append(StreamRange(part, [s for s in shards[at:] if s.first < part[-1][1]]))
+        return ranges
+
+    def read(self, partition: StreamRange) -> Iterator[pa.RecordBatch]:
+        yield from _read_spans(self.path, self.dtype, partition.spans, partition.shards)
+
+
+def _epochs(store: fs.FileSystem, root: str) -> dict[int, str]:
+    found = ((EPOCH_NAME.fullmatch(f.base_name), f.path) for f in store.get_file_info(fs.FileSelector(root)))
+    return {int(match[1]): path for match, path in found if match}
+
+
+def _end(store: fs.FileSystem, root: str, manifest: str) -> int:
+    with store.open_input_stream(manifest) as stream:
+        return json.loads(stream.read())["end_offset"]
+
+
+@dataclass
+class EpochShard(WriterCommitMessage):
+    task: int
+    shard: str
+    count: int
+
+
+class TokenBinStreamWriter(DataSourceStreamArrowWriter):
+    """Appends the ``ids`` of arriving rows, in the order of tasks and rows.
+
+    An epoch's manifest is written under its number and moved into place.  If it is there already, the epoch has been
+    committed before, and what the repeated run wrote is deleted.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.path = options["path"]
+        self.dtype = options.get("dtype", "uint16")
+        _element(self.dtype)
+        store, root = fs.FileSystem.from_uri(self.path)
+        store.create_dir(root)
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> EpochShard:
+        disk = np.dtype(_element(self.dtype)[0])
+        store, root = fs.FileSystem.from_uri(self.path)
+        task = TaskContext.get().partitionId()
+        name, count, out = f"tokens-{task:018d}-{uuid.uuid4().hex}.bin", 0, None
+        for batch in batches:
+            values = batch.column("ids").flatten().to_numpy(zero_copy_only=False)
+            if len(values) and (values.min() < 0 or values.max() > np.iinfo(disk).max):
+                raise ValueError(f"token ids do not fit {self.dtype}")
+            if len(values):
+                out = out or store.open_output_stream(f"{root}/{name}")
+                out.write(values.astype(disk).tobytes())
+                count += len(values)
+        if out is not None:
+            out.close()
+        return EpochShard(task, name, count)
+
+    def commit(self, messages: list[EpochShard | None], batchId: int) -> None:
+        store, root = fs.FileSystem.from_uri(self.path)
+        epochs = _epochs(store, root)
+        if batchId in epochs:
+            self._delete(store, root, messages)
+            return
+        at = _end(store, root, epochs[max(epochs)]) if epochs else 0
+        shards = []
+        for message in sorted((m for m in messages if m and m.count), key=lambda m: m.task):
+            shards.append({"shard": message.shard, "first_offset": at, "n_tokens": message.count})
+            at += message.count
+        target = f"{root}/epoch-{batchId:012d}.json"
+        with store.open_output_stream(f"{target}.tmp") as out:
+            out.write(json.dumps({"dtype": self.dtype, "end_offset": at, "shards": shards}).encode())
+        store.move(f"{target}.tmp", target)
+
+    def abort(self, messages: list[EpochShard | None], batchId: int) -> None:
+        store, root = fs.FileSystem.from_uri(self.path)
+        self._delete(store, root, messages)
+
+    @staticmethod
+    def _delete(store: fs.FileSystem, root: str, messages: list[EpochShard | None]) -> None:
+        for message in messages:
+            if message and message.count:
+                store.delete_file(f"{root}/{message.shard}")
+
+
 class TokenBinSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -261,6 +424,12 @@ class TokenBinSource(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return TokenBinWriter(dict(self.options), overwrite)
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return TokenBinStreamReader(dict(self.options))
+
+    def streamWriter(self, schema: StructType, overwrite: bool) -> DataSourceStreamArrowWriter:
+        return TokenBinStreamWriter(dict(self.options))
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenBinSource)
@@ -321,6 +490,14 @@ def read_windows(
             raise IndexError(f"windows {low}..{high} are not within 0..{count - 1} of {split!r}")
         options = {**options, "first": low, "stop": high + 1}
     rows = read_tokens(spark, path, dtype, block_size=block_size, stride=stride, **options)
+    windows = _cut(rows, block_size, stride, split)
+    if window_range is not None:
+        windows = windows.where(F.col("window_id").between(*window_range))
+    return shift_targets(windows, block_size, eos_id, F.lit(True) if mask_after_eos else None)
+
+
+def _cut(rows: DataFrame, block_size: int, stride: int, split: str) -> DataFrame:
+    """``split, window_id, tokens`` of rows that carry whole windows."""
     span = block_size + 1
 
     def window(i: Column) -> Column:
@@ -328,10 +505,36 @@ def read_windows(
         return F.struct((F.expr(f"pos div {stride}") + i).alias("window_id"), cut.alias("tokens"))
 
     ids = F.sequence(F.lit(0), F.expr(f"(size(tokens) - {span}) div {stride}"))
-    windows = rows.select(F.lit(split).alias("split"), F.inline(F.transform(ids, window)))
-    if window_range is not None:
-        windows = windows.where(F.col("window_id").between(*window_range))
-    return shift_targets(windows, block_size, eos_id, F.lit(True) if mask_after_eos else None)
+    return rows.select(F.lit(split).alias("split"), F.inline(F.transform(ids, window)))
+
+
+def append_tokens(encoded: DataFrame, path: str, checkpoint: str, dtype: str = "uint16") -> StreamingQuery:
+    """Append the ``ids`` of an arriving table to a stream of tokens, each micro-batch as one epoch, once."""
+    register(encoded.sparkSession)
+    return (
+        encoded.select("ids").writeStream.format("token_bin").option("dtype", dtype).option("path", path)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def arriving_windows(
+    spark: SparkSession,
+    path: str,
+    block_size: int,
+    stride: int,
+    dtype: str = "uint16",
+    split: str = "train",
+    eos_id: int | None = None,
+    mask_after_eos: bool = False,
+    **options: object,
+) -> DataFrame:
+    """Windows of a growing stream as a streaming table: each comes once, when its last token has come."""
+    check_window_arguments(block_size, stride)
+    if mask_after_eos and eos_id is None:
+        raise ValueError("masking needs an EOS id")
+    register(spark)
+    rows = spark.readStream.format("token_bin").options(dtype=dtype, block_size=block_size, stride=stride, **options).load(path)
+    return shift_targets(_cut(rows, block_size, stride, split), block_size, eos_id, F.lit(True) if mask_after_eos else None)
 
 
 def copy_prefix(spark: SparkSession, source: str, target: str, n_tokens: int, dtype: str = "uint16") -> None:

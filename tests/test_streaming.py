@@ -8,6 +8,7 @@ from corpusflow.operators.codec import encode
 from corpusflow.operators.stats import corpus_stats
 from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.streaming.append_pack import AppendPacker
+from corpusflow.streaming.append_state import append_windows, continued_windows
 from corpusflow.streaming.live import append_encoded, encode_stream, read_documents, running_stats, throughput_by_window
 
 BYTES = Vocabulary()
@@ -73,6 +74,31 @@ def test_append_packing_equals_one_stream(spark, tmp_path, stride):
     assert again == rows
 
 
+@pytest.mark.parametrize("stride", [8, 5])
+def test_continued_windows_over_restarts_equal_one_stream_a_split(spark, tmp_path, stride):
+    rng = random.Random(stride)
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema, tokens, doc_id = "split STRING, doc_id BIGINT, text STRING", {"a": [], "b": [], "tiny": []}, 0
+    for size in (1, 6, 0, 9):
+        docs = []
+        for _ in range(size):
+            split = rng.choice(["a", "a", "b"]) if doc_id else "tiny"
+            text = "".join(rng.choice("abc ") for _ in range(rng.choice([1, 2, 30]) if doc_id else 2))
+            docs.append((split, doc_id, text))
+            tokens[split] += [258, *text.encode(), 257]
+            doc_id += 1
+        rng.shuffle(docs)
+        if docs:
+            spark.createDataFrame(docs, schema).coalesce(1).write.mode("append").parquet(folder)
+        live = continued_windows(read_documents(spark, folder, schema), BYTES, 8, stride, masked=True)
+        append_windows(live, out, checkpoint).awaitTermination()
+    rows = spark.read.parquet(out).orderBy("split", "window_id").collect()
+    for split, ids in tokens.items():
+        got = [r for r in rows if r.split == split]
+        assert [r.window_id for r in got] == list(range(len(got)))
+        assert [(r.x, r.y) for r in got] == (plain_windows(ids, 8, stride, 257) if len(ids) > 8 else [])
+
+
 def test_throughput_windows_close_behind_the_watermark(spark, tmp_path):
     rows = [(1, f"2024-01-01 00:00:{s:02d}", 10) for s in range(0, 60, 10)] + [(1, "2024-01-01 02:00:30", 5)]
     df = spark.createDataFrame(rows, "run_id INT, t STRING, n_tokens BIGINT")
