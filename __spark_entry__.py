@@ -7,6 +7,7 @@ code as a learned one, and its ids are the UTF-8 bytes, which SQL can compute as
 
 from __future__ import annotations
 
+import logging
 import os
 import sys
 from collections.abc import Callable
@@ -37,8 +38,9 @@ from corpusflow.operators.stats import corpus_metadata, corpus_stats
 from corpusflow.operators.stream import TokenStream, token_offsets, token_prefix
 from corpusflow.operators.vocabulary import Vocabulary
 from corpusflow.operators.windows import batch, pack_windows, window_counts
+from corpusflow.plans.build import training_batches
 from corpusflow.plans.steps import order_manifest, step_documents, step_plan, token_budget
-from corpusflow.sources.config import CorpusConfig, StepConfig
+from corpusflow.sources.config import CorpusConfig, StepConfig, WindowConfig
 from corpusflow.sources.corpus import read_corpus, resolve_splits, write_tokenized
 from corpusflow.sources.token_bin import append_tokens, arriving_windows, copy_prefix, read_manifest, read_tokens, read_windows, write_stream
 from corpusflow.storage import materialize, scratch_path, small_shuffles, spread_small
@@ -153,6 +155,11 @@ def bpe_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Vocabulary.load(spark, path).to_df(spark).withColumn("bytes", F.hex("bytes"))
 
 
+def bpe_merges_512(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = learn_merges(chunk_freq(_texts(spark, sf_dir)), 512).vocab
+    return vocab.to_df(spark).where("left_id IS NOT NULL").select("token_id", "left_id", "right_id", "pair_freq")
+
+
 def bpe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = learn_merges(chunk_freq(_texts(spark, sf_dir)), 264)
     return run.report(spark).select("vocab_size", "merges", F.array_join("special_tokens", " ").alias("special_tokens"))
@@ -243,6 +250,24 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_training_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of a configured run, read from token files."""
+    path = _token_files(spark, sf_dir)
+    config = WindowConfig(f"{path}/train", f"{path}/validation", BLOCK, BLOCK, BYTES.dtype, BYTES.eos_id, BATCH, drop_last=True)
+    train, held_out = training_batches(spark, config, context_length=BLOCK)
+    return _window_rows(train.unionByName(held_out)).select("split", "batch_id", "row_in_batch", "window_id", "x", "y")
+
+
+def learned_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way with a learned vocabulary: merges, ids, one stream, token files, windows."""
+    documents = _texts(spark, sf_dir)
+    vocab = learn_merges(chunk_freq(documents), 280).vocab
+    encoded = encode(with_id_order(documents.withColumn("split", F.lit("train"))), vocab)
+    path = scratch_path(spark, "learned-tokens")
+    write_stream(token_offsets(materialize(encoded, "learned")), path, vocab.dtype)
+    return _window_rows(read_windows(spark, f"{path}/train", BLOCK, STRIDE, vocab.dtype, "train"))
+
+
 def q_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = token_offsets(_encoded(spark, sf_dir).drop("ids"))
     return token_budget(spark, stream.totals, BLOCK, STRIDE, BATCH, STEPS.accumulate_grad_batches, ["train"])
@@ -530,9 +555,8 @@ def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]
         found["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             sql["pipeline"] = corpus_pipeline.ORACLE_SQL
-    except ModuleNotFoundError as error:
-        if error.name not in ("corpusflow.llm", "corpusflow.llm.queries", "corpus_pipeline"):
-            raise
+    except ImportError as error:  # the folders, or libraries they need, are not there; all other queries are
+        logging.getLogger(__name__).warning("without training-data queries: %s", error)
     return found, sql
 
 
@@ -599,6 +623,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_throughput": stream_throughput,
         "stream_windows": stream_windows,
         "stream_windows_by_source": stream_windows_by_source,
+        "training_batches": q_training_batches,
+        "learned_windows": learned_windows,
+        "bpe_merges_512": bpe_merges_512,
         "token_bin_append": token_bin_append,
         "token_bin_arriving_windows": token_bin_arriving_windows,
     }
@@ -681,11 +708,23 @@ merges AS (SELECT DISTINCT step, unicode(pair) - 1 AS left_id, unicode(substr(pa
 """
 
 
+_LEARNED = f"""{_merges_sql(20)},
+final AS (SELECT chunk, list_transform(range(1, length(s) + 1), lambda j: unicode(substr(s, j, 1)) - 1) AS ids
+          FROM steps WHERE step = 20),
+joined AS (SELECT doc_id, list(ids ORDER BY i) AS ids FROM chunks JOIN final USING (chunk) GROUP BY doc_id),
+whole AS (SELECT doc_id, list_concat([278], flatten(ids), [277]) AS ids FROM joined)
+"""
+
+
 def own_sql() -> dict[str, str]:
     stats = """count(*) AS examples, sum(token_len)::BIGINT AS tokens,
        min(char_len)::DOUBLE AS char_min, max(char_len)::DOUBLE AS char_max, round(sum(char_len)::DOUBLE / count(*), 6) AS char_mean,
        min(token_len)::DOUBLE AS token_min, max(token_len)::DOUBLE AS token_max, round(sum(token_len)::DOUBLE / count(*), 6) AS token_mean"""
     digest = "md5(array_to_string(ids, ',')) AS ids"
+    batches = f"""{_windows_sql(BLOCK, BLOCK, "split = 'validation'")},
+            counted AS (SELECT *, count(*) OVER (PARTITION BY split) AS n FROM digests)
+            SELECT split, window_id // {BATCH} AS batch_id, (window_id % {BATCH})::INT AS row_in_batch, window_id, x, y FROM counted
+            WHERE split <> 'train' OR window_id // {BATCH} < n // {BATCH}"""
     by_source = f"""WITH encoded AS (SELECT source AS split, doc_id, '' AS order_key, length(text) AS char_len,
                     octet_length(encode(text)) + 2 AS token_len FROM documents WHERE text <> ''), {_OFFSETS}"""
     plain = f"""WITH encoded AS (SELECT doc_id, length(text) AS char_len, octet_length(encode(text)) + 2 AS token_len,
@@ -771,11 +810,7 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
         "bpe_report": f"""{_merges_sql(4)}
             SELECT (256 + count(*) + 4)::INT AS vocab_size, count(*)::INT AS merges, '<pad> <eos> <bos> <unk>' AS special_tokens FROM merges""",
         "encode_documents": f"{plain} SELECT doc_id, char_len::INT AS char_len, token_len::INT AS token_len, {digest} FROM encoded",
-        "encode_learned": f"""{_merges_sql(20)},
-            final AS (SELECT chunk, list_transform(range(1, length(s) + 1), lambda j: unicode(substr(s, j, 1)) - 1) AS ids
-                      FROM steps WHERE step = 20),
-            joined AS (SELECT doc_id, list(ids ORDER BY i) AS ids FROM chunks JOIN final USING (chunk) GROUP BY doc_id),
-            whole AS (SELECT doc_id, list_concat([278], flatten(ids), [277]) AS ids FROM joined)
+        "encode_learned": f"""{_LEARNED}
             SELECT doc_id, length(text)::INT AS char_len, len(ids)::INT AS token_len, {digest} FROM whole JOIN documents USING (doc_id)""",
         "encode_roundtrip": "SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE text <> ''",
         "roundtrip_report": """SELECT count(*) AS documents, 0::BIGINT AS mismatches
@@ -798,10 +833,7 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
         "window_counts": f"""{by_source} SELECT split, sum(token_len)::BIGINT AS n_tokens,
             ((sum(token_len)::BIGINT - {BLOCK + 1}) // {STRIDE} + 1)::BIGINT AS windows FROM placed GROUP BY split""",
         "window_lookup": f"""{_windows_sql(BLOCK, STRIDE, "split = 'validation'")} SELECT * FROM digests WHERE window_id BETWEEN 3 AND 40""",
-        "batches": f"""{_windows_sql(BLOCK, BLOCK, "split = 'validation'")},
-            counted AS (SELECT *, count(*) OVER (PARTITION BY split) AS n FROM digests)
-            SELECT split, window_id // {BATCH} AS batch_id, (window_id % {BATCH})::INT AS row_in_batch, window_id, x, y FROM counted
-            WHERE split <> 'train' OR window_id // {BATCH} < n // {BATCH}""",
+        "batches": batches,
         "token_budget": f"""{_STREAM}, sizes AS (SELECT DISTINCT split, total, (total - {BLOCK + 1}) // {STRIDE} + 1 AS windows FROM placed)
             , counted AS (SELECT *, (windows + CASE WHEN split = 'train' THEN 0 ELSE {BATCH - 1} END) // {BATCH} AS batches FROM sizes)
             SELECT split, total AS n_tokens, windows, batches,
@@ -873,6 +905,11 @@ kept AS (SELECT *, sum(n) OVER (PARTITION BY a) AS kept_total FROM ranked WHERE
             WHERE (window_start + 86400) * 1000000 <= latest - 3600000000 GROUP BY ALL""",
         "stream_windows": f"""{_windows_sql(BLOCK, STRIDE, 'true', _ARRIVED)} SELECT * FROM digests""",
         "stream_windows_by_source": f"""{_windows_sql(BLOCK, STRIDE, 'true', _ARRIVED.replace("'train' AS split", "source AS split"))} SELECT * FROM digests""",
+        "training_batches": batches,
+        "learned_windows": f"""{_windows_sql(BLOCK, STRIDE, 'false', f"""{_LEARNED},
+            encoded AS (SELECT 'train' AS split, doc_id, '' AS order_key, len(ids) AS token_len, ids FROM whole), {_OFFSETS}""")} SELECT * FROM digests""",
+        "bpe_merges_512": f"""{_merges_sql(252)}
+            SELECT (255 + step)::INT AS token_id, left_id::INT AS left_id, right_id::INT AS right_id, pair_freq FROM merges""",
         "token_bin_append": f"""{_ARRIVED}
             SELECT token, count(*) AS n FROM (SELECT unnest(ids) AS token FROM encoded) GROUP BY token""",
         "token_bin_arriving_windows": f"""{_ARRIVED}
