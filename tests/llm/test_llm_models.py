@@ -192,7 +192,7 @@ def test_empty_documents_pass_all_stages(spark, tmp_path):
 
 def test_registration():
     names = {name.split("_")[0] for name in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "packing"]
 

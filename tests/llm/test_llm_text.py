@@ -198,13 +198,24 @@ def test_repeated_passages_go(spark):
     assert all(middle not in texts[100 + i] for i in range(1, 20))
     kept = [texts[100 + i].split() for i in range(1, 20)]
     assert all(row[1].split()[:30] == words[:30] and row[1].split()[-30:] == words[-30:] for row, words in zip(rows[31:50], kept, strict=True))
-    assert 200 not in texts  # nothing is left of a copy
+    assert texts[200] == ""  # nothing is left of a copy
+    assert 200 not in {r[0] for r in linedup.without_repeated_passages(df, keep_empty=False).collect()}
     assert texts[201] is None and texts[202] == "" and texts[203] == " \n"
     assert got.count((3, rows[3][1])) == 2  # equal rows are one document
     assert sum(doc_id is None for doc_id, _ in got) == 1 and rows[5][1][:200] not in next(t for d, t in got if d is None)
     assert linedup.without_repeated_passages(df.limit(0)).count() == 0
 
 
+def test_what_is_left_stays(spark):
+    rng = random.Random(9)
+    passage = prose(rng, 40)
+    rows = [(1, passage), (2, f"My own title here {passage}"), (3, passage), (4, f"{passage} end"), (5, "four words of text")]
+    frame = spark.createDataFrame(rows, DOCS)
+    left = {i: text.split() for i, text in linedup.without_repeated_passages(frame).collect()}
+    assert left == {1: passage.split(), 2: "My own title here".split(), 3: [], 4: ["end"], 5: "four words of text".split()}
+    assert {r[0] for r in linedup.without_repeated_passages(frame, keep_empty=False).collect()} == {1, 2, 4, 5}
+
+
 def plain_without_passages(rows):
     """Texts word by word without all windows of 25 words that stand in a text of a smaller id."""
     held, out = set(), {}
@@ -243,7 +254,7 @@ def test_passages_of_hot_pieces_go(spark):
     rows += [(6000, rows[0][1]), (6001, "short copy"), (6002, "short copy"), (6003, rows[-1][1] + " " + rows[-2][1])]
     left = dict(linedup.without_repeated_passages(spark.createDataFrame(rows, DOCS)).collect())
     want = plain_without_passages(rows)
-    assert {i: text.split() for i, text in left.items()} == {i: words for i, words in want.items() if i != 6000 and i != 6003}
+    assert {i: text.split() for i, text in left.items()} == want
     assert not want[6000] and not want[6003]
     assert all(len(want[5000 + i]) == 60 for i in range(len(passages), 2 * len(passages)))
 
