@@ -200,7 +200,8 @@ def test_repeated_passages_go(spark):
     assert all(row[1].split()[:30] == words[:30] and row[1].split()[-30:] == words[-30:] for row, words in zip(rows[31:50], kept, strict=True))
     assert texts[200] == ""  # nothing is left of a copy
     assert 200 not in {r[0] for r in linedup.without_repeated_passages(df, keep_empty=False).collect()}
-    assert texts[201] is None and texts[202] == "" and texts[203] == " \n"
+    assert texts[201] is None and texts[202] == ""
+    assert {text for i, text in got if i == 203} == {" \n", ""}  # blank as it was, and a copy
     assert got.count((3, rows[3][1])) == 2  # equal rows are one document
     assert sum(doc_id is None for doc_id, _ in got) == 1 and rows[5][1][:200] not in next(t for d, t in got if d is None)
     assert linedup.without_repeated_passages(df.limit(0)).count() == 0
