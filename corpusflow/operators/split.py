@@ -15,8 +15,11 @@ SORTED_ROWS = 1000
 DIGITS = 4
 
 
-def _last_held_out(ordered: DataFrame, held_out: int) -> str:
-    """Order key of the ``held_out``-th row, found digit by digit with histograms of at most 65,536 cells."""
+def _last_held_out(ordered: DataFrame, held_out: int) -> tuple[str, int, int]:
+    """Order key of the ``held_out``-th row, how many rows with that key are held out, and how many there are.
+
+    It is found digit by digit with histograms of at most 65,536 cells.
+    """
     prefix, before = "", 0
     while True:
         inside = ordered.where(F.startswith("order_key", F.lit(prefix))) if prefix else ordered
@@ -27,24 +30,21 @@ def _last_held_out(ordered: DataFrame, held_out: int) -> str:
                 break
             before += n
         if len(name) == len(prefix):  # the whole key: its rows have equal ids
-            if before + n > held_out:
-                raise ValueError(f"the cut falls among {n} documents with one id; ids must be unique")
-            return name
+            return name, held_out - before, n
         prefix = name
         if n <= SORTED_ROWS:
             keys = sorted(row[0] for row in ordered.where(F.startswith("order_key", F.lit(prefix))).select("order_key").collect())
             last = keys[held_out - before - 1]
-            if held_out - before < n and keys[held_out - before] == last:
-                raise ValueError(f"the cut falls among {keys.count(last)} documents with one id; ids must be unique")
-            return last
+            return last, held_out - before - keys.index(last), keys.count(last)
 
 
 def holdout_split(df: DataFrame, fraction: float, seed: int = 42, doc_id: str = "doc_id") -> DataFrame:
     """Add ``split``: ``validation`` for the first ``ceil(fraction * n)`` documents in seeded order.
 
     The key of the last held-out document is found by counting keys alone, cell by cell.  The split itself is then a
-    comparison with one literal, evaluated where the rows are.  NULL ids are an error, and so are equal ids where
-    the cut would have to part them; elsewhere documents with one id are on the same side.
+    comparison with one literal, evaluated where the rows are.  Documents with one id are on the same side; where the cut
+    falls among them, they are parted by a hash of all that they hold, so the size is exact and no partitioning changes
+    the split.  NULL ids are an error, and so is a cut among rows that are equal in every column.
     """
     if not 0 < fraction < 1:
         raise ValueError(f"fraction must lie between 0 and 1, got {fraction}")
@@ -56,5 +56,13 @@ def holdout_split(df: DataFrame, fraction: float, seed: int = 42, doc_id: str =
     held_out = math.ceil(fraction * total)
     if held_out >= total:
         raise ValueError(f"{total} documents are too few to hold out a fraction of {fraction}")
-    last = F.lit(_last_held_out(keys, held_out))
-    return ordered.withColumn("split", F.when(F.col("order_key") <= last, "validation").otherwise("train"))
+    last, part, n = _last_held_out(keys, held_out)
+    inside = F.col("order_key") <= last
+    if part < n:
+        content = F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]))
+        tie = F.md5(F.concat(F.lit(f"{seed}:"), content).cast("binary"))
+        last_tie, some, equal = _last_held_out(ordered.where(F.col("order_key") == last).select(tie.alias("order_key")), part)
+        if some < equal:
+            raise ValueError(f"the cut falls among {equal} equal documents with one id")
+        inside = (F.col("order_key") < last) | ((F.col("order_key") == last) & (tie <= last_tie))
+    return ordered.withColumn("split", F.when(inside, "validation").otherwise("train"))

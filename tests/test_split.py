@@ -40,6 +40,17 @@ def test_equal_and_missing_ids(spark):
         holdout_split(spark.createDataFrame([(1,), (None,), (2,)], "doc_id BIGINT"), 0.3)
 
 
+@pytest.mark.parametrize("small", [0, 1000])
+def test_equal_ids_at_the_cut_are_parted(spark, monkeypatch, small):
+    monkeypatch.setattr("corpusflow.operators.split.SORTED_ROWS", small)
+    rows = [(7, f"text {i}") for i in range(300)] + [(i, "other") for i in range(20)] + [(7, "text 0"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    for fraction in (0.2, 0.5, 0.77):
+        held = [holdout_split(df.repartition(n), fraction).where("split = 'validation'").collect() for n in (1, 5)]
+        assert len(held[0]) == math.ceil(fraction * len(rows))
+        assert sorted(map(repr, held[0])) == sorted(map(repr, held[1]))
+
+
 def test_equal_ids_away_from_the_cut_stay_together(spark):
     ids = [*range(200), *([7] * 30)]
     order = sorted(ids, key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
