@@ -23,6 +23,24 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
 FROM dealt
 """
 
+OP4 = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other),
+roots AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM roots LEFT JOIN degrees USING (vec_id)
+"""
+
 OP8 = """
 WITH cut AS (
     SELECT doc_id, NULL::BIGINT AS item_id, text FROM documents
@@ -172,6 +190,7 @@ FROM timed
 
 ORACLE_SQL = {
     "op1_histogram_sort": OP1,
+    "op4_hyperplane_near_duplicates": OP4,
     "op8_winnowing": OP8,
     "op11_octopus_multiproof": OP11,
     "op12_document_fp_tree": OP12,
