@@ -29,9 +29,11 @@ from corpusflow.llm.common import pick, staged_at
 from corpusflow.storage import drop_table
 
 TOP = 10
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 #: Documents and postings of a tree at most, and documents of a subtree that is not divided any further.
 TREE_DOCUMENTS, TREE_POSTINGS, LEAF_DOCUMENTS = 8192, 4 << 20, 48
+#: Maxima that a tree keeps, about: with very many terms its subtrees are left undivided sooner.
+TREE_MAXIMA = 8 << 20
 #: Bytes of a text that are cut into terms at once, and postings of a batch of rows.
 BYTES_AT_ONCE, POSTINGS_AT_ONCE = 1 << 20, 1 << 18
 #: Fixed values of the score.
@@ -136,6 +138,8 @@ class Tree:
         # ranks that come here, numbered anew; the last column of the maxima stays zero
         self.local = np.unique(self.ranks)
         self.columns = np.searchsorted(self.local, self.ranks)
+        # a node for every third of a leaf's documents is more than there are
+        self.leaf = max(LEAF_DOCUMENTS, 3 * len(doc_ids) * len(self.local) // TREE_MAXIMA)
         self._divide([vectors[i] for i in order])
 
     def _divide(self, vectors: list[bytes]) -> None:
@@ -151,13 +155,13 @@ class Tree:
         while open_nodes:
             node = open_nodes.pop()
             low, high = self.spans[node]
-            if high - low <= LEAF_DOCUMENTS:
+            if high - low <= self.leaf:
                 continue
             inside = shared[low + 1 : high]
             cuts = np.flatnonzero(inside == inside.min()) + low + 1
             # equal vectors cannot be parted by a term, so they are by number
             if len(vectors[low]) == 4 * inside.min() == len(vectors[high - 1]):
-                cuts = np.arange(low + LEAF_DOCUMENTS, high, LEAF_DOCUMENTS)
+                cuts = np.arange(low + self.leaf, high, self.leaf)
             edges = [low, *cuts.tolist(), high]
             for a, b in self._gathered(edges):
                 self.children[node].append(len(self.spans))
@@ -173,12 +177,11 @@ class Tree:
                 a, b = self.starts[list(self.spans[node])]
                 np.maximum.at(self.most[node], self.columns[a:b], self.counts[a:b])
 
-    @staticmethod
-    def _gathered(edges: list[int]) -> Iterator[tuple[int, int]]:
+    def _gathered(self, edges: list[int]) -> Iterator[tuple[int, int]]:
         """Neighbouring branches that are small together are one node, so that nodes stay few."""
         begin = edges[0]
         for a, b in zip(edges[1:-1], edges[2:], strict=True):
-            if b - begin > LEAF_DOCUMENTS and a > begin:
+            if b - begin > self.leaf and a > begin:
                 yield begin, a
                 begin = a
         yield begin, edges[-1]

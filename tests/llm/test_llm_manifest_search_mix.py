@@ -183,8 +183,9 @@ def plain_search(documents, items):
             yield item_id, rank, None if no_id else doc_id, -score
 
 
-@pytest.mark.parametrize("tree, leaf, batch", [(8192, 48, 1 << 24), (64, 2, 1 << 24), (300, 5, 200)])
-def test_search(spark, monkeypatch, tree, leaf, batch):
+@pytest.mark.parametrize("tree, leaf, batch, maxima", [(8192, 48, 1 << 24, 1 << 23), (64, 2, 1 << 24, 1 << 23), (300, 5, 200, 1 << 23), (500, 5, 1 << 24, 1 << 14)])
+def test_search(spark, monkeypatch, tree, leaf, batch, maxima):
+    monkeypatch.setattr(lexical, "TREE_MAXIMA", maxima)
     monkeypatch.setattr(lexical, "TREE_DOCUMENTS", tree)
     monkeypatch.setattr(lexical, "LEAF_DOCUMENTS", leaf)
     monkeypatch.setattr(lexical, "BATCH_BYTES", batch)
@@ -207,6 +208,15 @@ def test_search_of_nothing(spark, nothing, awkward):
     assert {r.doc_id for r in lexical.search_documents(awkward, items).collect()} == {1, -7}
 
 
+def test_maxima_of_a_tree_are_bounded(monkeypatch):
+    rng = np.random.default_rng(2)
+    monkeypatch.setattr(lexical, "TREE_MAXIMA", 200_000)
+    ranks = [np.unique(rng.integers(0, 20_000, 30)) for _ in range(2000)]
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in ranks])])
+    tree = lexical.Tree(list(range(2000)), np.full(2000, 100), starts, np.concatenate(ranks), np.ones(starts[-1], np.int64))
+    assert tree.most.size <= 300_000
+
+
 def test_branches_are_left_out():
     """An item of one rare term scores the few documents around it alone."""
     rng = np.random.default_rng(1)
