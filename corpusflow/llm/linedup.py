@@ -260,12 +260,12 @@ def cut_windows(texts: pd.Series, starts: pd.Series) -> pd.Series:
     return pd.Series([cut(text, first) for text, first in zip(texts, starts, strict=True)], dtype=object)
 
 
-def without_repeated_passages(documents: DataFrame, keep_empty: bool = True) -> DataFrame:
+def without_repeated_passages(documents: DataFrame, least_words: int = 0) -> DataFrame:
     """``documents`` with the repeated passages cut out of ``text``; all other columns and names stay as they are.
 
     A document is its id and text: copies with equal ids are one document and keep what the first copy of the text keeps.
-    Whatever is left of a text stays, a title of one word too.  A text of which nothing is left is empty, or dropped without
-    ``keep_empty``.  Short and empty texts that lose nothing stay.  See :func:`repeated_windows` for which passages go.  No rows give no rows.
+    Whatever is left of a text stays, a title of one word too, and a text of which nothing is left is empty; with ``least_words``
+    what has lost a passage and has fewer words left is dropped.  Short and empty texts that lose nothing stay.  See :func:`repeated_windows` for which passages go.  No rows give no rows.
     """
     names = documents.columns
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
@@ -280,6 +280,6 @@ def without_repeated_passages(documents: DataFrame, keep_empty: bool = True) ->
     # only texts with repeated windows go through Python
     changed = cut_windows(F.when(lost, F.col(text)), F.when(lost, F.col("starts")))
     joined = joined.withColumn("cut", F.when(whole, F.lit("")).when(lost, changed).otherwise(F.col(text)))
-    left = joined if keep_empty else joined.where(~(whole | lost) | F.col("cut").rlike(r"[^\x20\x09-\x0D]"))
+    left = joined.where(~(whole | lost) | (_words(F.col("cut")) >= least_words)) if least_words else joined
     columns = [F.col("cut") if f"c{i}" == text else F.col(f"c{i}") for i in range(len(names))]
     return left.select(*columns).toDF(*names)

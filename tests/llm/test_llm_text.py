@@ -199,7 +199,7 @@ def test_repeated_passages_go(spark):
     kept = [texts[100 + i].split() for i in range(1, 20)]
     assert all(row[1].split()[:30] == words[:30] and row[1].split()[-30:] == words[-30:] for row, words in zip(rows[31:50], kept, strict=True))
     assert texts[200] == ""  # nothing is left of a copy
-    assert 200 not in {r[0] for r in linedup.without_repeated_passages(df, keep_empty=False).collect()}
+    assert 200 not in {r[0] for r in linedup.without_repeated_passages(df, least_words=1).collect()}
     assert texts[201] is None and texts[202] == ""
     assert {text for i, text in got if i == 203} == {" \n", ""}  # blank as it was, and a copy
     assert got.count((3, rows[3][1])) == 2  # equal rows are one document
@@ -214,7 +214,8 @@ def test_what_is_left_stays(spark):
     frame = spark.createDataFrame(rows, DOCS)
     left = {i: text.split() for i, text in linedup.without_repeated_passages(frame).collect()}
     assert left == {1: passage.split(), 2: "My own title here".split(), 3: [], 4: ["end"], 5: "four words of text".split()}
-    assert {r[0] for r in linedup.without_repeated_passages(frame, keep_empty=False).collect()} == {1, 2, 4, 5}
+    assert {r[0] for r in linedup.without_repeated_passages(frame, least_words=1).collect()} == {1, 2, 4, 5}
+    assert {r[0] for r in linedup.without_repeated_passages(frame, least_words=4).collect()} == {1, 2, 5}
 
 
 def plain_without_passages(rows):
