@@ -1,13 +1,15 @@
-"""Passages that repeat across documents, found by the windows of words that they hold.
-
-A passage of ``BLOCK_WORDS`` words or more repeats if and only if each of its windows of ``BLOCK_WORDS`` words stands in
-an earlier document, so a window needs its first holder and no pairs of documents.  A row for every window would be
-a row for every word; therefore each window names an anchor first, the smallest hash of the ``GRAM_WORDS``-word
-grams inside it.  Equal windows have equal anchors wherever they stand, neighbouring windows mostly share theirs, and only the
-windows whose anchor comes in two documents are written.  Words in a window that an earlier document has are cut out.
-
-Nothing is paired: an anchor or a window that a third of all documents have costs one row (of a window: one for each
-window around it) for each of them.  The first holder of a window never loses it.
+"""Passages that repeat across documents: overlapping pairs by shared lines, patience alignment, cuts in the later one.
+
+A line is a run of ``BLOCK_WORDS`` words; one starts at every word, so a passage of as many words or more is found wherever
+its text is broken.  A row for every line would be a row for every word; therefore each line names an anchor first, the smallest
+hash of the ``GRAM_WORDS``-word grams inside it.  Equal lines have equal anchors wherever they stand, neighbours mostly
+share theirs, and only lines whose anchor comes in two documents are written.
+
+A document is paired, line by line, with the first holder of that line: a line that a third of all documents have gives each
+of them one partner and no pairs among them, and no line is without one.  Each pair is aligned by patience diff: lines that come once
+among those of the pair, a longest run of them that is in order in both texts, grown word by word as far as the texts agree.
+What is aligned in this way is cut from the later document.  Common blocks that cross the alignment are ``moved``; they
+are cut too unless the caller keeps them.  The first holder of a line never loses it.
 """
 
 from __future__ import annotations
@@ -26,16 +28,13 @@ from pyspark.sql import types as T
 from corpusflow.llm.common import pick, staged, staged_at
 from corpusflow.storage import drop_table
 
-#: One word in so many ends a line.
-CUT = 7
-#: Words of the shortest block that is deleted.
+#: Words of a line, and of the shortest block that is deleted.
 BLOCK_WORDS = 25
-#: Words of the grams that anchor a window.  Longer ones are rarer and more of them are written.
+#: Words of the grams that anchor a line.  Longer ones are rarer and more of them are written.
 GRAM_WORDS = 8
 
-#: Odd multipliers of the hashes of words, by bytes, and of lines and documents, by words; all modulo 2 ** 64.
+#: Odd multipliers of the hashes of words, by bytes, and of lines, by words; all modulo 2 ** 64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-MASK = 0xFFFFFFFF
 #: Bytes that are hashed together.
 BYTES_AT_ONCE = 1 << 20
 #: Rows that a task gathers before it passes them on.
@@ -81,35 +80,8 @@ def _word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return _mixed(hashes)
 
 
-def line_table(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word, end, hash and running hash of each line of a text.
-
-    The running hash, 32 bits, is that of all words up to the end of the line.  The second time a line comes in a
-    text it has another hash, the third time again, so that all are unique in their document.
-    """
-    starts, ends = words_of(data)
-    n = len(starts)
-    if not n:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
-    hashes = _word_hashes(data, starts, ends)
-    cut = hashes % np.uint64(CUT) == 0
-    breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
-    cut[np.searchsorted(ends, breaks[breaks >= ends[0]], side="right") - 1] = True
-    cut[-1] = True
-    until = np.flatnonzero(cut) + 1
-    first = np.concatenate([[0], until[:-1]])
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers(WORD_BASE, n)[:n])])
-    lines = _mixed((sums[until] - sums[first]) * powers(_inverse(WORD_BASE), n)[first])
-    order = np.argsort(lines, kind="stable")
-    same = np.concatenate([[False], lines[order][1:] == lines[order][:-1]])
-    place = np.arange(len(lines))
-    again = np.zeros(len(lines), np.uint64)
-    again[order] = place - np.maximum.accumulate(np.where(same, 0, place))
-    return first, until, _mixed(lines + again * np.uint64(WORD_BASE)), sums[until] & np.uint64(MASK)
-
-
-def window_table(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and anchor of the window of ``BLOCK_WORDS`` words at each word of a text that has one."""
+def line_table(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and anchor of the line of ``BLOCK_WORDS`` words at each word of a text that has one."""
     starts, ends = words_of(data)
     n = len(starts)
     if n < BLOCK_WORDS:
@@ -132,23 +104,23 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``anchor, document`` for each distinct anchor of each text."""
     def rows(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
         for document, text in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
-            anchors = np.unique(window_table(text.as_buffer().to_pybytes())[1]) if text.is_valid else ()
+            anchors = np.unique(line_table(text.as_buffer().to_pybytes())[1]) if text.is_valid else ()
             if len(anchors):
                 yield [anchors, np.full(len(anchors), document)]
 
     return _gathered(batches, rows, ["anchor", "document"])
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``window, doc_id, document, start`` of the windows with one of the given anchors."""
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``line, doc_id, document, start`` of the lines with one of the given anchors."""
     def rows(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
         ids, documents = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for doc_id, document, text, shared in zip(ids, documents, batch.column(2), batch.column(3), strict=True):
-            windows, anchors = window_table(text.as_buffer().to_pybytes())
+            lines, anchors = line_table(text.as_buffer().to_pybytes())
             at = np.flatnonzero(np.isin(anchors, shared.values.to_numpy()))
-            yield [windows[at], np.full(len(at), doc_id), np.full(len(at), document), at]
+            yield [lines[at], np.full(len(at), doc_id), np.full(len(at), document), at]
 
-    return _gathered(batches, rows, ["window", "doc_id", "document", "start"])
+    return _gathered(batches, rows, ["line", "doc_id", "document", "start"])
 
 
 def _gathered(batches, rows, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -190,16 +162,54 @@ def _increasing(values: list[int]) -> list[int]:
     return run[::-1]
 
 
-def _joined(place: list[int], until: list[int], first_place: list[int], a: int, b: int) -> bool:
-    """Whether the words between the ends of two matches are the same in both documents."""
-    if (place[b] >> 32) - (place[a] >> 32) != (first_place[b] >> 32) - (first_place[a] >> 32):
-        return False
-    end = until[a] >> 32
-    first_end = (first_place[a] >> 32) + end - (place[a] >> 32)
-    # both differences of running hashes, brought to the same power
-    own = (place[b] - place[a]) * pow(WORD_BASE, first_end, 1 << 32)
-    first = (first_place[b] - first_place[a]) * pow(WORD_BASE, end, 1 << 32)
-    return (own - first) & MASK == 0
+#: A common block: first word and number of words, the partner's hash and the first word there, and whether it crosses the alignment.
+BLOCK = pa.struct([("start", pa.int64()), ("words", pa.int64()), ("partner", pa.int64()), ("partner_start", pa.int64()), ("moved", pa.bool_())])
+BLOCKS = "ARRAY<STRUCT<start: BIGINT, words: BIGINT, partner: BIGINT, partner_start: BIGINT, moved: BOOLEAN>>"
+
+
+def align(own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First row, number of rows and ``moved`` of each common block of two texts.
+
+    ``own`` are the places, ascending, of the lines of one text that the other has, ``other`` their places there.
+    """
+    rows = len(own)
+    edge = np.append(True, (np.diff(own) != 1) | (np.diff(other) != 1))
+    first = np.flatnonzero(edge)
+    count = np.diff(np.append(first, rows))
+    if len(first) == 1:
+        return first, count, np.zeros(1, bool)
+    # patience: lines that come once, a longest run of them in order; the blocks they stand in are aligned whole
+    values, at, times = np.unique(other, return_inverse=True, return_counts=True)
+    once = np.flatnonzero(times[at] == 1)
+    chain = once[_increasing(other[once].tolist())]
+    moved = np.ones(len(first), bool)
+    moved[np.searchsorted(first, chain, side="right") - 1] = False
+    return first, count, moved
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``document, blocks`` from ``document, lines``: each document aligned with each of its partners."""
+    for batch in batches:
+        lines = batch.column(1)
+        ends = lines.offsets.to_numpy()
+        partner, place = (lines.values.field(i).to_numpy() for i in range(2))
+        own, other = place >> 32, place & 0xFFFFFFFF
+        columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+        counts = []
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            order = a + np.lexsort((own[a:b], partner[a:b]))
+            n = 0
+            for part in np.split(order, np.flatnonzero(np.diff(partner[order])) + 1):
+                first, count, moved = align(own[part], other[part])
+                found = own[part][first], count + BLOCK_WORDS - 1, partner[part][first], other[part][first], moved
+                for column, values in zip(columns, found, strict=True):
+                    column.append(values)
+                n += len(first)
+            counts.append(n)
+        if counts:
+            values = pa.StructArray.from_arrays([pa.array(np.concatenate(column)) for column in columns], fields=list(BLOCK))
+            blocks = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([batch.column(0), blocks], ["document", "blocks"])
 
 
 def _rows(documents: DataFrame) -> DataFrame:
@@ -207,13 +217,13 @@ def _rows(documents: DataFrame) -> DataFrame:
     return rows.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("document"), "text")
 
 
-def repeated_windows(documents: DataFrame) -> DataFrame:
-    """``document, first_id, copied, starts`` of the texts of ``documents`` (``doc_id, text``) that repeat passages of earlier ones.
+def common_blocks(documents: DataFrame) -> DataFrame:
+    """``document, first_id, copied, blocks`` of the texts of ``documents`` (``doc_id, text``) that repeat passages of earlier ones.
 
     ``document`` is the hash of the text and ``first_id`` the smallest id that has it; ``copied`` says whether another id has it
-    too.  ``starts`` are the first words, in order, of all windows of ``BLOCK_WORDS`` words that an earlier text has, or null.
+    too.  ``blocks`` are those of ``BLOCK`` that the text shares with its partners, or null.  Blocks with different partners may overlap.
     Earlier means a smaller ``first_id``, of equal ids a smaller hash.  A null id is later than all others.  Null texts
-    and those of fewer words have no windows.
+    and those of fewer words than a line have no blocks.
     """
     rows = _rows(documents)
     # tables that are read twice are written once, and dropped when they are no longer needed; what may have a key
@@ -226,14 +236,18 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
     shared = anchors.join(common, "anchor").groupBy("document").agg(F.collect_set("anchor").alias("shared"))
     # of copies the first alone is looked at
     shared = shared.join(texts.select("document", F.col("first_id").alias("doc_id")), "document").hint("merge")
-    windows = rows.join(shared, ["document", "doc_id"]).select("doc_id", "document", "text", "shared")
-    windows, windows_path = staged_at(windows.mapInArrow(_window_rows, "window BIGINT, doc_id BIGINT, document BIGINT, start BIGINT"), "windows")
-    first = windows.groupBy("window").agg(F.min(F.struct("doc_id", "document")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first, first_path = staged_at(first.select("window", F.col("first.document").alias("holder")), "first-holders")
-    later = windows.join(first, "window").where("document <> holder")
-    starts = later.groupBy("document").agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    found = staged(texts.join(starts, "document", "left").where("copied OR starts IS NOT NULL"), "repeated-windows")
-    for path in (anchors_path, common_path, texts_path, windows_path, first_path):
+    lines = rows.join(shared, ["document", "doc_id"]).select("doc_id", "document", "text", "shared")
+    lines, lines_path = staged_at(lines.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, document BIGINT, start BIGINT"), "lines")
+    first = lines.groupBy("line").agg(F.min(F.struct("doc_id", "document", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = first.select("line", F.col("first.document").alias("partner"), F.col("first.start").alias("there"))
+    first, first_path = staged_at(first, "first-holders")
+    # a document's lines that earlier ones have: as many as it has words at most
+    later = lines.join(first, "line").where("document <> partner")
+    place = F.shiftleft("start", 32).bitwiseOR(F.col("there"))
+    later = later.select("document", F.struct("partner", place.alias("place")).alias("line")).groupBy("document").agg(F.collect_list("line").alias("lines"))
+    blocks = later.mapInArrow(_aligned, f"document BIGINT, blocks {BLOCKS}")
+    found = staged(texts.join(blocks, "document", "left").where("copied OR blocks IS NOT NULL"), "common-blocks")
+    for path in (anchors_path, common_path, texts_path, lines_path, first_path):
         drop_table(documents.sparkSession, path)
     return found
 
@@ -244,41 +258,47 @@ def _words(text: Column) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def cut_windows(texts: pd.Series, starts: pd.Series) -> pd.Series:
-    """Texts without the windows that start at the given words."""
-    def cut(text: str | None, first: np.ndarray | None) -> str | None:
-        if text is None or first is None:
+def cut_blocks(texts: pd.Series, begins: pd.Series, counts: pd.Series) -> pd.Series:
+    """Texts without the blocks of so many words from the given words on; blocks may overlap."""
+    def cut(text: str | None, begin: np.ndarray | None, count: np.ndarray | None) -> str | None:
+        if text is None or begin is None or not len(begin):
             return text
         data = text.encode()
         words = np.append(words_of(data)[0], len(data))
-        # windows that overlap or touch are one block
-        apart = np.flatnonzero(np.diff(first) > BLOCK_WORDS)
-        begins, ends = first[np.append(0, apart + 1)], first[np.append(apart, len(first) - 1)] + BLOCK_WORDS
-        edges = [0, *np.stack([words[begins], words[ends]], axis=1).ravel().tolist(), len(data)]
+        order = np.argsort(begin, kind="stable")
+        begin, end = begin[order], np.maximum.accumulate((begin + count)[order])
+        apart = np.flatnonzero(begin[1:] > end[:-1])
+        begin, end = begin[np.append(0, apart + 1)], end[np.append(apart, len(end) - 1)]
+        edges = [0, *np.stack([words[begin], words[end]], axis=1).ravel().tolist(), len(data)]
         return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
 
-    return pd.Series([cut(text, first) for text, first in zip(texts, starts, strict=True)], dtype=object)
+    return pd.Series([cut(*row) for row in zip(texts, begins, counts, strict=True)], dtype=object)
 
 
-def without_repeated_passages(documents: DataFrame, least_words: int = 0) -> DataFrame:
+def without_repeated_passages(documents: DataFrame, least_words: int = 0, moved: bool = True) -> DataFrame:
     """``documents`` with the repeated passages cut out of ``text``; all other columns and names stay as they are.
 
     A document is its id and text: copies with equal ids are one document and keep what the first copy of the text keeps.
     Whatever is left of a text stays, a title of one word too, and a text of which nothing is left is empty; with ``least_words``
-    what has lost a passage and has fewer words left is dropped.  Short and empty texts that lose nothing stay.  See :func:`repeated_windows` for which passages go.  No rows give no rows.
+    what has lost a passage and has fewer words left is dropped.  Short and empty texts that lose nothing stay.  Without ``moved``
+    blocks that cross the alignment of their pair stay.  See :func:`common_blocks` for which passages go.  No rows give no rows.
     """
     names = documents.columns
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     keyed = plain.withColumn("document", F.xxhash64(text))
     # what is cut grows with the input, so it is never broadcast
-    joined = keyed.join(repeated_windows(documents).hint("merge"), "document", "left")
-    # a copy has all its windows from the first one; it has none if it is short
+    found = common_blocks(documents)
+    if not moved:
+        found = found.withColumn("blocks", F.filter("blocks", lambda block: ~block["moved"]))
+    found = found.select("document", "first_id", "copied", F.col("blocks.start").alias("starts"), F.col("blocks.words").alias("counts"))
+    joined = keyed.join(found.hint("merge"), "document", "left")
+    # a copy is aligned whole with the first one; it has no line if it is short
     copy = F.col("copied") & (F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)) != F.col("first_id"))
     whole = F.coalesce(copy, F.lit(False)) & (_words(F.col(text)) >= BLOCK_WORDS)
-    lost = ~whole & F.col("starts").isNotNull()
-    # only texts with repeated windows go through Python
-    changed = cut_windows(F.when(lost, F.col(text)), F.when(lost, F.col("starts")))
+    lost = ~whole & F.coalesce(F.size("starts") > 0, F.lit(False))
+    # only texts with blocks to cut are read in Python
+    changed = cut_blocks(F.when(lost, F.col(text)), F.when(lost, F.col("starts")), F.when(lost, F.col("counts")))
     joined = joined.withColumn("cut", F.when(whole, F.lit("")).when(lost, changed).otherwise(F.col(text)))
     left = joined.where(~(whole | lost) | (_words(F.col("cut")) >= least_words)) if least_words else joined
     columns = [F.col("cut") if f"c{i}" == text else F.col(f"c{i}") for i in range(len(names))]

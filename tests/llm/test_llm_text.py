@@ -127,44 +127,28 @@ def test_contaminated_documents_go(spark):
 # --- repeated passages ----------------------------------------------------------------------------
 
 
-def plain_lines(data):
-    """Lines word by word, from the hashes of the words alone."""
-    words = [(m.start(), m.end(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
-    found, first = [], 0
-    for i, (_, end, word) in enumerate(words):
-        value = sum((c + 1) * pow(linedup.BYTE_BASE, k, 2**64) for k, c in enumerate(word)) % 2**64
-        following = words[i + 1][0] if i + 1 < len(words) else len(data)
-        if int(linedup._mixed(np.array([value], np.uint64))[0]) % linedup.CUT == 0 or b"\n" in data[end:following] or i + 1 == len(words):
-            found.append((first, i + 1))
-            first = i + 1
-    return found
-
-
-@pytest.mark.parametrize("text", ["", " ", "a", " a\n", "\n\na b. c d!\n e", "x " * 100, "é b c\r\n d", "q" * 3000 + " r", "a b c d e f g h i j\n" * 20])
+@pytest.mark.parametrize("text", ["", " ", "a b", "x " * 100, "é b c\r\n d " * 9, "q" * 3000 + " r" * 30, "a b c d e f g h i j\n" * 20])
 def test_lines(monkeypatch, text):
     data = text.encode()
-    first, until, hashes, running = linedup.line_table(data)
-    assert list(zip(first.tolist(), until.tolist())) == plain_lines(data)
-    assert len(set(hashes.tolist())) == len(hashes)
+    words = data.split()
+    lines, anchors = linedup.line_table(data)
+    plain = [tuple(words[i : i + linedup.BLOCK_WORDS]) for i in range(len(words) - linedup.BLOCK_WORDS + 1)]
+    assert len(lines) == len(anchors) == len(plain)
+    # equal words and equal hashes are the same thing, and equal lines have equal anchors
+    assert len(set(lines.tolist())) == len(set(plain)) == len(set(zip(plain, lines.tolist(), anchors.tolist())))
     monkeypatch.setattr(linedup, "BYTES_AT_ONCE", 7)
-    assert all((a == b).all() for a, b in zip(linedup.line_table(data), (first, until, hashes, running)))
-
-
-def test_equal_stretches_have_equal_hashes():
-    rng = random.Random(3)
-    shared = prose(rng, 60)
-    tables = [linedup.line_table(f"{prose(rng, n)}\n{shared}\n{prose(rng, 9)}".encode()) for n in (5, 31)]
-    common = set(tables[0][2].tolist()) & set(tables[1][2].tolist())
-    covered = [sum(u - f for f, u, h in zip(t[0], t[1], t[2].tolist()) if h in common) for t in tables]
-    assert min(covered) >= 60
-    packed = []
-    for first, until, hashes, running in tables:
-        rows = [(int(f) << 32 | int(r), int(u) << 32, int(h)) for f, u, h, r in zip(first, until, hashes.tolist(), running)]
-        packed.append([row for row in rows if row[2] in common])
-    place, ends, other = [r[0] for r in packed[0]], [r[1] for r in packed[0]], [r[0] for r in packed[1]]
-    assert all(linedup._joined(place, ends, other, i, i + 1) for i in range(len(place) - 1))
-    wrong = [*other[:-1], other[-1] ^ 1]
-    assert not linedup._joined(place, ends, wrong, 0, len(place) - 1)
+    assert all((a == b).all() for a, b in zip(linedup.line_table(data), (lines, anchors)))
+
+
+def test_alignment():
+    def blocks(own, other):
+        return [list(map(int, row)) for row in zip(*linedup.align(np.array(own), np.array(other)))]
+
+    assert blocks([4, 5, 6], [9, 10, 11]) == [[0, 3, 0]]
+    assert blocks([4, 5, 20, 21, 22], [9, 10, 40, 41, 42]) == [[0, 2, 0], [2, 3, 0]]
+    assert blocks([4, 5, 20, 21, 22], [40, 41, 1, 2, 3]) == [[0, 2, 1], [2, 3, 0]]  # the longer of two crossing blocks is in order
+    assert blocks([1, 2, 30, 31], [7, 8, 7, 8]) == [[0, 2, 1], [2, 2, 1]]  # no line comes once
+    assert blocks([1, 2, 30, 31, 32], [7, 8, 7, 8, 9]) == [[0, 2, 1], [2, 3, 0]]  # one does, and its block grows
 
 
 def test_longest_increasing_run():
@@ -218,6 +202,19 @@ def test_what_is_left_stays(spark):
     assert {r[0] for r in linedup.without_repeated_passages(frame, least_words=4).collect()} == {1, 2, 5}
 
 
+def test_crossing_blocks_are_told_apart(spark):
+    rng = random.Random(31)
+    one, two, three = prose(rng, 60), prose(rng, 40), prose(rng, 30)
+    rows = [(1, f"{one}\n{prose(rng, 20)}\n{two}\n{three}"), (2, f"head of it {two} between them {one} the end"), (3, f"{three} then {three}")]
+    frame = spark.createDataFrame(rows, DOCS)
+    found = {r.first_id: sorted((b.start, b.words, b.partner_start, b.moved) for b in r.blocks) for r in linedup.common_blocks(frame).collect()}
+    assert found == {2: [(3, 40, 80, True), (45, 60, 0, False)], 3: [(0, 30, 120, True), (31, 30, 120, True)]}
+    kept = {i: text.split() for i, text in linedup.without_repeated_passages(frame, moved=False).collect()}
+    assert kept[2] == ["head", "of", "it", *two.split(), "between", "them", "the", "end"] and kept[3] == rows[2][1].split()
+    gone = {i: text.split() for i, text in linedup.without_repeated_passages(frame).collect()}
+    assert gone[2] == "head of it between them the end".split() and gone[3] == ["then"]
+
+
 def plain_without_passages(rows):
     """Texts word by word without all windows of 25 words that stand in a text of a smaller id."""
     held, out = set(), {}
