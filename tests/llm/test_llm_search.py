@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corpusflow.llm import embeddings, simhash
+from corpusflow.llm import embeddings, shingles, simhash
 from corpusflow.llm.components import components
 
 
@@ -141,6 +141,19 @@ def test_near_copies_go(spark):
     assert all(i in left or any(len(texts[i] & texts[j]) / len(texts[i] | texts[j]) >= 0.8 for j in texts if j < i) for i in far)
 
 
+def test_family_of_different_texts_takes_few_rounds(spark, monkeypatch):
+    rng = random.Random(44)
+    shared = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join(shared + [f"x{rng.randrange(10**6)}" for _ in range(120)]) for _ in range(60)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(1000 + i, f"{text} more") for i, text in enumerate(texts)]
+    rounds = []
+    staged_at = shingles.staged_at
+    monkeypatch.setattr(shingles, "staged_at", lambda df, label: (rounds.append(label), staged_at(df, label))[1])
+    left = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"))
+    assert sorted(r.doc_id for r in left.collect()) == list(range(60))
+    assert rounds.count("leaders") <= 4
+
+
 def test_no_documents(spark):
     assert simhash.near_duplicate_groups(spark.createDataFrame([], "doc_id BIGINT, text STRING")).count() == 0
 
