@@ -16,7 +16,8 @@ from corpusflow.sources.config import READERS, CorpusConfig
 from corpusflow.storage import materialize
 
 ROWS_PER_FILE_BITS = 36
-MAX_NUMBERED_FILES = 1_000_000
+#: Up to so many short rows a list of files is broadcast.
+MAX_BROADCAST_FILES = 1_000_000
 
 
 def _files(path: str) -> list[tuple[str, str]]:
@@ -85,12 +86,10 @@ def _with_row_ids(df: DataFrame, first_file: int = 0) -> DataFrame:
         return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
     files = [(path, first_file + n) for n, path in enumerate(sorted(df.inputFiles()))]
-    if len(files) > MAX_NUMBERED_FILES:
-        raise ValueError(f"{len(files)} files are too many to number; name an id_field")
     numbered = df.sparkSession.createDataFrame(files, "path STRING, file_no BIGINT")
     place = df.withColumn("file", plain(F.col("_metadata.file_path"))).withColumn("row", F.col("_metadata.row_index"))
     numbered = numbered.select(plain(F.col("path")).alias("file"), "file_no")
-    matched = place.join(F.broadcast(numbered), "file")  # at most MAX_NUMBERED_FILES short rows
+    matched = place.join(F.broadcast(numbered) if len(files) <= MAX_BROADCAST_FILES else numbered.hint("merge"), "file")
     return matched.withColumn("doc_id", F.shiftleft("file_no", ROWS_PER_FILE_BITS) + F.col("row"))
 
 
@@ -101,16 +100,19 @@ def _read_split(spark: SparkSession, config: CorpusConfig, split: str, files: li
     if kind == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     if kind == "json":
-        # the fields that are used and no others, found in one file instead of all
-        fields = reader.load(files[0]).schema
-        used = [f for f in fields if f.name in (config.text_field, config.id_field)]
-        reader = reader.schema(T.StructType(used)) if config.text_field in fields.names else reader
+        # the fields that are used and no others, as strings: types may differ from file to file, and no value is lost
+        used = [name for name in (config.text_field, config.id_field) if name]
+        if set(used) <= set(reader.load(files[0]).columns) or set(used) <= set(reader.load(files).columns):
+            reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in dict.fromkeys(used)]))
     df = reader.load(files)
     field = "value" if kind == "text" and config.text_field not in df.columns else config.text_field
     if field not in df.columns:
         raise ValueError(f"{config.name}: no column {field!r} in {df.columns}")
     if config.id_field:
-        df = df.withColumn("doc_id", F.col(config.id_field).cast("bigint"))
+        number = F.col(config.id_field)
+        if kind == "json":  # an id such as 12.0 is a number too; what is none is an error
+            number = F.coalesce(number.try_cast("bigint"), number.cast("decimal(38,10)"))
+        df = df.withColumn("doc_id", number.cast("bigint"))
     elif kind == "parquet":
         df, first_file = _with_row_ids(df, first_file), first_file + len(df.inputFiles())
     else:

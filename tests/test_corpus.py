@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from corpusflow.sources import corpus
 from corpusflow.operators.filters import filter_report, length_filter
 from corpusflow.sources.config import CorpusConfig
 from corpusflow.sources.corpus import read_corpus, resolve_splits
@@ -105,3 +106,14 @@ def test_json_reads_the_used_fields_alone(spark, tmp_path):
     corpus = read_corpus(spark, config(tmp_path, id_field="n"))
     assert [tuple(r) for r in corpus.collect()] == [("train", 3, "a")]
     assert "deep" not in corpus._jdf.queryExecution().toString()
+
+
+def test_json_types_that_differ_from_file_to_file(spark, tmp_path, monkeypatch):
+    (tmp_path / "train-0.json").write_text('{"n": 1, "text": 7}\n{"n": 2.0, "text": null}\n')
+    (tmp_path / "train-1.json").write_text('{"n": "9007199254740993", "text": "words"}\n{"n": 4, "text": true}\n')
+    config = CorpusConfig("mixed", "local", "text", {"train": "train"}, path=str(tmp_path), id_field="n")
+    rows = sorted((r.doc_id, r.text) for r in read_corpus(spark, config).collect())
+    assert rows == [(1, "7"), (2, None), (4, "true"), (9007199254740993, "words")]
+    monkeypatch.setattr(corpus, "MAX_BROADCAST_FILES", 0)
+    numbered = read_corpus(spark, CorpusConfig("mixed", "local", "text", {"train": "train"}, path=str(tmp_path)))
+    assert numbered.select("doc_id").distinct().count() == 4
