@@ -2,7 +2,11 @@
 
 from decimal import Decimal
 
+import pyarrow as pa
+
 import __spark_entry__ as entry
+from corpusflow.operators import codec
+from corpusflow.operators.vocabulary import Vocabulary
 
 
 def test_sums_by_position_beyond_64_bits(spark):
@@ -16,3 +20,15 @@ def test_sums_by_position_beyond_64_bits(spark):
     assert (got["train"]["n_tokens"], got["train"]["token_sum"]) == (40_000, 250 * 40_000)
     small = entry._as_long(sums.where("split = 'validation'"), "weighted_sum")
     assert small.schema["weighted_sum"].dataType.simpleString() == "bigint" and small.first()["weighted_sum"] == 7
+
+
+def test_ids_come_in_slices(monkeypatch):
+    vocab = Vocabulary()
+    rows = [["ab", "c"], None, [], ["é"] * 9, ["ab", "x" * 70, "ab"], ["q"], ["c"]]
+    monkeypatch.setattr(codec, "CHUNKS_AT_ONCE", 3)
+    monkeypatch.setattr(codec, "BYTES_AT_ONCE", 2)
+    chunks = pa.array([["not"], *rows], pa.list_(pa.string()))[1:]
+    slices = list(codec.encode_slices(chunks, codec.pair_table(vocab), vocab.ranks))
+    assert len(slices) > 2 and max(len(s.flatten()) for s in slices) < 80
+    want = [None if row is None else [b for chunk in row for b in chunk.encode()] for row in rows]
+    assert [ids for s in slices for ids in s.to_pylist()] == want
