@@ -2,7 +2,9 @@
 
 from decimal import Decimal
 
+import duckdb
 import pyarrow as pa
+import pytest
 
 import __spark_entry__ as entry
 from corpusflow.operators import codec
@@ -22,6 +24,37 @@ def test_sums_by_position_beyond_64_bits(spark):
     assert small.schema["weighted_sum"].dataType.simpleString() == "bigint" and small.first()["weighted_sum"] == 7
 
 
+@pytest.fixture(scope="module")
+def scattered(spark, tmp_path_factory):
+    """Documents whose ids are spread over many files, one without an id."""
+    folder = tmp_path_factory.mktemp("scattered")
+    rows = [(i, f"document {i} " + "word " * (i * 37 % 90), "en", f"s{i % 3}", 1) for i in range(0, 400, 2)]
+    rows += [(None, "no id " * 70, "en", "s1", 1), (7, "", "en", "s1", 0), (9, None, "en", "s1", None)]
+    documents = spark.createDataFrame(rows, entry.DOCUMENT_SCHEMA)
+    documents.repartition(9).write.parquet(f"{folder}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    return str(folder), connection
+
+
+@pytest.mark.parametrize(
+    "name", ["stream_windows", "stream_windows_by_source", "stream_encode", "stream_stats", "token_bin_append", "token_bin_arriving_windows"]
+)
+def test_documents_arrive_in_id_order_from_many_files(spark, scattered, name):
+    folder, connection = scattered
+    got = entry.own_queries()[name](spark, folder)
+    want = connection.execute(entry.own_sql()[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(map(repr, map(tuple, got.select(columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_a_part_is_one_micro_batch_however_many_files_it_has(spark, scattered):
+    parts = []
+    for live in entry._arrivals(spark, scattered[0]):
+        parts.append(live.isStreaming)
+    assert len(parts) == entry.PARTS + 1  # and one of documents without an id
+
+
 def test_ids_come_in_slices(monkeypatch):
     vocab = Vocabulary()
     rows = [["ab", "c"], None, [], ["é"] * 9, ["ab", "x" * 70, "ab"], ["q"], ["c"]]
