@@ -46,8 +46,8 @@ HINT = {"email": r"@|\(at\)|\[at\]", "ip": r"[0-9]", "card": r"[0-9]{2}|[0-9][\x
 
 #: Characters of context on either side of a span.
 CONTEXT = 24
-#: Bound of the sample that the trees are fitted on, in spans, and their number and depth.
-SAMPLE_SPANS, TREES, DEPTH = 20_000, 20, 3
+#: Number and depth of the trees.
+TREES, DEPTH = 20, 3
 #: Share of positives among the spans of the calibration fold that reach the threshold.
 PRECISION = 0.95
 FOLDS = 3
@@ -177,19 +177,26 @@ def _with_features(spans: DataFrame) -> tuple[DataFrame, list[str]]:
     return spans.withColumns({f"f_{name}": column.cast("double") for name, column in features.items()}), [f"f_{name}" for name in features]
 
 
+def _counted(examples: DataFrame, names: list[str]) -> DataFrame:
+    """``seen, label, weight`` and the features: all examples, those alike in one row; the fold that is not seen is for calibration."""
+    seen = (F.pmod(F.xxhash64("text_key"), F.lit(FOLDS)) > 0).alias("seen")
+    return examples.groupBy(seen, "label", *names).agg(F.count("*").cast("double").alias("weight"))
+
+
 def _fit(examples: DataFrame, names: list[str]) -> tuple[GBTClassificationModel, float] | None:
-    """Trees and the calibrated threshold; nothing where one sort of example is missing."""
-    sample = examples.orderBy(F.xxhash64("text_key", "kind", "start"), "text_key", "kind", "start").limit(SAMPLE_SPANS)
-    sample = staged(sample.withColumn("fold", F.pmod(F.xxhash64("text_key"), F.lit(FOLDS))), "span-sample")
-    sorts = {(row["seen"], row["label"]) for row in sample.select((F.col("fold") > 0).alias("seen"), "label").distinct().collect()}
+    """Trees and the calibrated threshold, both from all examples; nothing where one sort of example is missing."""
+    counted = staged(_counted(examples, names), "span-examples")
+    sorts = {(row["seen"], row["label"]) for row in counted.select("seen", "label").distinct().collect()}
     if len(sorts) < 4:
         return None
     vectors = VectorAssembler(inputCols=names, outputCol="features")
-    trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1)
-    model = trees.fit(vectors.transform(sample.where("fold > 0")))
+    trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1)
+    model = trees.fit(vectors.transform(counted.where("seen")))
     # a thousand bins of the score at most, from the highest
-    scored = model.transform(vectors.transform(sample.where("fold = 0")))
-    bins = scored.groupBy(F.floor(vector_to_array("probability")[1] * 1000).alias("bin")).agg(F.sum("label").alias("hits"), F.count("*").alias("n"))
+    scored = model.transform(vectors.transform(counted.where("NOT seen")))
+    bins = scored.groupBy(F.floor(vector_to_array("probability")[1] * 1000).alias("bin")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("hits"), F.sum("weight").alias("n")
+    )
     threshold, hits, n = float("inf"), 0.0, 0
     for row in sorted(bins.collect(), key=lambda row: -row["bin"]):
         hits, n = hits + row["hits"], n + row["n"]
