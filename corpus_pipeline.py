@@ -37,8 +37,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near-duplicates, by fingerprints and by shingles."""
+    return drop_near_duplicates(docs, fingerprints=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

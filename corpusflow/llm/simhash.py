@@ -161,28 +161,39 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def _near_copies(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Written tables: rows as ``doc_id, text_key``, and ``text_key, root`` of each text, grouped by similarity of shingles."""
+def _fingerprint_links(texts: DataFrame) -> DataFrame:
+    """Links ``a, b`` of ``texts`` (``node, text``): with the first text of the same fingerprint, and between those of near fingerprints."""
+    prints = staged(texts.select("node", simhash("text").alias("fingerprint")), "text-fingerprints")
+    firsts = staged(prints.groupBy("fingerprint").agg(F.min("node").alias("first")), "distinct-fingerprints")
+    same = prints.join(firsts, "fingerprint").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    near = near_links(firsts).join(firsts.toDF("a", "first_a"), "a").join(firsts.toDF("b", "first_b"), "b")
+    return same.unionByName(near.select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
+
+
+def _near_copies(documents: DataFrame, fingerprints: bool) -> tuple[DataFrame, DataFrame]:
+    """Written tables: rows as ``doc_id, text_key``, and ``text_key, root`` of each text, grouped by shingles and, if asked, fingerprints."""
     rows = pick(documents, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     texts = rows.groupBy("text_key").agg(F.min("doc_id").alias("rank"))
     texts = staged(texts, "distinct-texts")
     # one row of each text: that of its smallest id, and of equal rows the first
     firsts = null_safe_join(rows, texts.withColumn("doc_id", F.col("rank")), ["text_key", "doc_id"], "inner")
     firsts = staged(firsts.select(F.col("text_key").alias("node"), "rank", "text").dropDuplicates(["node"]), "first-copies")
-    roots = components(near_copy_links(firsts)[0].toDF("a", "b"))
+    links = near_copy_links(firsts)[0].toDF("a", "b")
+    roots = components(links.unionByName(_fingerprint_links(firsts)) if fingerprints else links)
     named = texts.join(roots, texts["text_key"] == roots["node"], "left").select("text_key", F.coalesce("root", "text_key").alias("root"))
     return staged(rows.select("doc_id", "text_key"), "rows"), staged(named, "groups")
 
 
-def drop_near_duplicates(documents: DataFrame) -> DataFrame:
+def drop_near_duplicates(documents: DataFrame, fingerprints: bool = False) -> DataFrame:
     """One document of each group of near-duplicates, all columns and names as they are.
 
-    Near-duplicates are texts whose sets of five-word shingles have a similarity of 0.8 or more, see ``shingles``.
+    Near-duplicates are texts whose sets of five-word shingles have a similarity of 0.8 or more, see ``shingles``.  With
+    ``fingerprints`` those that :func:`near_duplicate_groups` puts into one group are too, and links of both kinds make one group.
 
     It is the one with the smallest id; null ids come last, and of equal ids the smallest ``xxhash64`` of the
     text decides.  Of rows with that id and that text one stays.  No rows give no rows.
     """
-    rows, named = _near_copies(documents)
+    rows, named = _near_copies(documents, fingerprints)
     rank = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_key")
     members = rows.join(named, "text_key").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
     members = staged(members, "group-members")

@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusflow.llm import embeddings, shingles, simhash
 from corpusflow.llm.components import components
 
@@ -141,6 +142,21 @@ def test_near_copies_go(spark):
     assert all(i in left or any(len(texts[i] & texts[j]) / len(texts[i] | texts[j]) >= 0.8 for j in texts if j < i) for i in far)
 
 
+def test_of_each_group_of_fingerprints_one_stays_in_the_pipeline(spark):
+    rng = random.Random(52)
+
+    def words_of(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    # what repeats decides the fingerprint, but not the set of shingles; 3 shares a fingerprint with nothing
+    often = "one two three " * 400
+    rows = [(i, often + " ".join(words_of(12))) for i in (6, 2, 9)] + [(3, " ".join(words_of(300))), (None, None), (4, " \t"), (5, often)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicate_groups(df).collect()}
+    assert groups == {2: 2, 5: 2, 6: 2, 9: 2, 3: 3, 4: 4, None: 4}
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [2, 3, 4]
+
+
 def test_family_of_different_texts_takes_few_rounds(spark, monkeypatch):
     rng = random.Random(44)
     shared = [f"w{rng.randrange(10**6)}" for _ in range(300)]
