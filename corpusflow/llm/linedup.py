@@ -35,6 +35,8 @@ GRAM_WORDS = 8
 
 #: Odd multipliers of the hashes of words, by bytes, and of lines, by words; all modulo 2 ** 64.
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+#: 0 for ASCII white space, else 1.
+_IN_WORDS = bytes(byte != 32 and not 9 <= byte <= 13 for byte in range(256))
 #: Bytes that are hashed together.
 BYTES_AT_ONCE = 1 << 20
 #: Rows that a task gathers before it passes them on.
@@ -51,8 +53,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers(base, 1 << max(16, n.bit_length()))
 
 
-def _inverse(base: int) -> int:
-    return pow(base, -1, 1 << 64)
+_INVERSE_BYTE_BASE, _INVERSE_WORD_BASE = (pow(base, -1, 1 << 64) for base in (BYTE_BASE, WORD_BASE))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -62,8 +63,8 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of a text start and end, in bytes; words are what ASCII white space parts."""
-    letters = np.frombuffer(data, np.uint8)
-    inside = np.concatenate([[False], ~((letters == 32) | ((letters >= 9) & (letters <= 13))), [False]])
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = np.frombuffer(data.translate(_IN_WORDS), bool)
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
@@ -75,36 +76,57 @@ def _word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
         part = np.frombuffer(data, np.uint8)[starts[first] : ends[last - 1]].astype(np.uint64) + np.uint64(1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * powers(BYTE_BASE, len(part))[: len(part)])])
         a, b = starts[first:last] - starts[first], ends[first:last] - starts[first]
-        hashes[first:last] = (sums[b] - sums[a]) * powers(_inverse(BYTE_BASE), len(part))[a]
+        hashes[first:last] = (sums[b] - sums[a]) * powers(_INVERSE_BYTE_BASE, len(part))[a]
         first = last
     return _mixed(hashes)
 
 
-def line_table(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and anchor of the line of ``BLOCK_WORDS`` words at each word of a text that has one."""
+def _sums(data: bytes) -> np.ndarray | None:
+    """Running sums of the hashes of words, from which those of all grams come; none for less than a line."""
     starts, ends = words_of(data)
     n = len(starts)
     if n < BLOCK_WORDS:
-        return (np.zeros(0, np.int64),) * 2
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_word_hashes(data, starts, ends) * powers(WORD_BASE, n)[:n])])
-    back = powers(_inverse(WORD_BASE), n)
+        return None
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_word_hashes(data, starts, ends) * powers(WORD_BASE, n)[:n])])
 
-    def grams(words: int) -> np.ndarray:
-        return _mixed((sums[words:] - sums[:-words]) * back[: n - words + 1]).view(np.int64)
 
+def _grams(sums: np.ndarray, words: int) -> np.ndarray:
+    n = len(sums) - words
+    return _mixed((sums[words:] - sums[:-words]) * powers(_INVERSE_WORD_BASE, len(sums) - 1)[:n]).view(np.int64)
+
+
+def _anchors(sums: np.ndarray) -> np.ndarray:
     # minima over 1, 2, 4, ... grams; the last two overlap
-    least, over = grams(GRAM_WORDS), 1
+    least, over = _grams(sums, GRAM_WORDS), 1
     while over < BLOCK_WORDS - GRAM_WORDS + 1:
         step = min(over, BLOCK_WORDS - GRAM_WORDS + 1 - over)
         least, over = np.minimum(least[:-step], least[step:]), over + step
-    return grams(BLOCK_WORDS), least
+    return least
+
+
+def distinct_anchors(data: bytes) -> np.ndarray:
+    """The anchors of the lines of a text, each once."""
+    sums = _sums(data)
+    if sums is None:
+        return np.zeros(0, np.int64)
+    least = _anchors(sums)
+    # neighbours mostly share theirs
+    return np.unique(least[np.append(True, least[1:] != least[:-1])])
+
+
+def line_table(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and anchor of the line of ``BLOCK_WORDS`` words at each word of a text that has one."""
+    sums = _sums(data)
+    if sums is None:
+        return (np.zeros(0, np.int64),) * 2
+    return _grams(sums, BLOCK_WORDS), _anchors(sums)
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``anchor, document`` for each distinct anchor of each text."""
     def rows(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
         for document, text in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
-            anchors = np.unique(line_table(text.as_buffer().to_pybytes())[1]) if text.is_valid else ()
+            anchors = distinct_anchors(text.as_buffer().to_pybytes()) if text.is_valid else ()
             if len(anchors):
                 yield [anchors, np.full(len(anchors), document)]
 
@@ -117,7 +139,8 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, documents = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for doc_id, document, text, shared in zip(ids, documents, batch.column(2), batch.column(3), strict=True):
             lines, anchors = line_table(text.as_buffer().to_pybytes())
-            at = np.flatnonzero(np.isin(anchors, shared.values.to_numpy()))
+            wanted = np.sort(shared.values.to_numpy())
+            at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, anchors), len(wanted) - 1)] == anchors)
             yield [lines[at], np.full(len(at), doc_id), np.full(len(at), document), at]
 
     return _gathered(batches, rows, ["line", "doc_id", "document", "start"])
@@ -235,7 +258,7 @@ def common_blocks(documents: DataFrame) -> DataFrame:
     texts, texts_path = staged_at(texts.select("document", "first_id", (F.col("first_id") != F.col("last_id")).alias("copied")), "texts")
     shared = anchors.join(common, "anchor").groupBy("document").agg(F.collect_set("anchor").alias("shared"))
     # of copies the first alone is looked at
-    shared = shared.join(texts.select("document", F.col("first_id").alias("doc_id")), "document").hint("merge")
+    shared = shared.join(texts.select("document", F.col("first_id").alias("doc_id")), "document").hint("shuffle_hash")
     lines = rows.join(shared, ["document", "doc_id"]).select("doc_id", "document", "text", "shared")
     lines, lines_path = staged_at(lines.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, document BIGINT, start BIGINT"), "lines")
     first = lines.groupBy("line").agg(F.min(F.struct("doc_id", "document", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -252,9 +275,10 @@ def common_blocks(documents: DataFrame) -> DataFrame:
     return found
 
 
-def _words(text: Column) -> Column:
-    """Number of words of a text, 0 of null."""
-    return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")), F.lit(0))
+def _has_words(text: Column, least: int) -> Column:
+    """Whether a text has so many words; null has none.  What comes after them, or an empty piece before them, is no more than two pieces."""
+    pieces = F.split(text, r"[\x20\x09-\x0D]+", least + 2)
+    return F.coalesce(F.size(F.filter(pieces, lambda word: word != "")), F.lit(0)) >= least
 
 
 @F.pandas_udf(T.StringType())
@@ -287,19 +311,20 @@ def without_repeated_passages(documents: DataFrame, least_words: int = 0, moved:
     plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     keyed = plain.withColumn("document", F.xxhash64(text))
-    # what is cut grows with the input, so it is never broadcast
+    # what is cut grows with the input, so it is never broadcast; texts are not sorted for it
     found = common_blocks(documents)
     if not moved:
         found = found.withColumn("blocks", F.filter("blocks", lambda block: ~block["moved"]))
     found = found.select("document", "first_id", "copied", F.col("blocks.start").alias("starts"), F.col("blocks.words").alias("counts"))
-    joined = keyed.join(found.hint("merge"), "document", "left")
+    joined = keyed.join(found.hint("shuffle_hash"), "document", "left")
     # a copy is aligned whole with the first one; it has no line if it is short
     copy = F.col("copied") & (F.coalesce(F.col(doc_id).cast("bigint"), F.lit(2**63 - 1)) != F.col("first_id"))
-    whole = F.coalesce(copy, F.lit(False)) & (_words(F.col(text)) >= BLOCK_WORDS)
+    joined = joined.withColumn("whole", F.coalesce(copy, F.lit(False)) & _has_words(F.col(text), BLOCK_WORDS))
+    whole = F.col("whole")
     lost = ~whole & F.coalesce(F.size("starts") > 0, F.lit(False))
     # only texts with blocks to cut are read in Python
     changed = cut_blocks(F.when(lost, F.col(text)), F.when(lost, F.col("starts")), F.when(lost, F.col("counts")))
     joined = joined.withColumn("cut", F.when(whole, F.lit("")).when(lost, changed).otherwise(F.col(text)))
-    left = joined.where(~(whole | lost) | (_words(F.col("cut")) >= least_words)) if least_words else joined
+    left = joined.where(~(whole | lost) | _has_words(F.col("cut"), least_words)) if least_words else joined
     columns = [F.col("cut") if f"c{i}" == text else F.col(f"c{i}") for i in range(len(names))]
     return left.select(*columns).toDF(*names)

@@ -140,6 +140,22 @@ def test_lines(monkeypatch, text):
     assert all((a == b).all() for a, b in zip(linedup.line_table(data), (lines, anchors)))
 
 
+def test_texts_are_neither_sorted_nor_counted_to_their_end(spark):
+    rng = random.Random(53)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    for some in (words, words[:24], words[:25], words[:60] * 3, []):
+        data = " ".join(some).encode()
+        assert linedup.distinct_anchors(data).tolist() == sorted(set(linedup.line_table(data)[1].tolist()))
+    blanks = [" ", "\t\n", "  \x0b\x0c\r "]
+    texts = [None, "", " ", *(f"{a}{b.join(words[:n])}{c}" for n in (1, 24, 25, 26, 300) for a in ["", *blanks] for b in blanks for c in ["", *blanks])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    for least in (1, 7, 25):
+        got = {r[0]: r[1] for r in frame.select("doc_id", linedup._has_words(F.col("text"), least)).collect()}
+        assert got == {i: len((text or "").split()) >= least for i, text in enumerate(texts)}
+    plan = linedup.without_repeated_passages(frame)._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_alignment():
     def blocks(own, other):
         return [list(map(int, row)) for row in zip(*linedup.align(np.array(own), np.array(other)))]
