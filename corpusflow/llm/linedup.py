@@ -19,13 +19,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import pick, staged, staged_at
+from corpusflow.llm.common import pick, small_batches, staged, staged_at
 from corpusflow.storage import drop_table
 
 #: Words of a line, and of the shortest block that is deleted.
@@ -261,6 +260,8 @@ def common_blocks(documents: DataFrame) -> DataFrame:
     shared = shared.join(texts.select("document", F.col("first_id").alias("doc_id")), "document").hint("shuffle_hash")
     lines = rows.join(shared, ["document", "doc_id"]).select("doc_id", "document", "text", "shared")
     lines, lines_path = staged_at(lines.mapInArrow(_line_rows, "line BIGINT, doc_id BIGINT, document BIGINT, start BIGINT"), "lines")
+    for path in (anchors_path, common_path):
+        drop_table(documents.sparkSession, path)
     first = lines.groupBy("line").agg(F.min(F.struct("doc_id", "document", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = first.select("line", F.col("first.document").alias("partner"), F.col("first.start").alias("there"))
     first, first_path = staged_at(first, "first-holders")
@@ -270,7 +271,7 @@ def common_blocks(documents: DataFrame) -> DataFrame:
     later = later.select("document", F.struct("partner", place.alias("place")).alias("line")).groupBy("document").agg(F.collect_list("line").alias("lines"))
     blocks = later.mapInArrow(_aligned, f"document BIGINT, blocks {BLOCKS}")
     found = staged(texts.join(blocks, "document", "left").where("copied OR blocks IS NOT NULL"), "common-blocks")
-    for path in (anchors_path, common_path, texts_path, lines_path, first_path):
+    for path in (texts_path, lines_path, first_path):
         drop_table(documents.sparkSession, path)
     return found
 
@@ -281,13 +282,13 @@ def _has_words(text: Column, least: int) -> Column:
     return F.coalesce(F.size(F.filter(pieces, lambda word: word != "")), F.lit(0)) >= least
 
 
-@F.pandas_udf(T.StringType())
-def cut_blocks(texts: pd.Series, begins: pd.Series, counts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def cut_blocks(texts: pa.Array, begins: pa.Array, counts: pa.Array) -> pa.Array:
     """Texts without the blocks of so many words from the given words on; blocks may overlap."""
-    def cut(text: str | None, begin: np.ndarray | None, count: np.ndarray | None) -> str | None:
-        if text is None or begin is None or not len(begin):
-            return text
-        data = text.encode()
+    def cut(text: pa.Scalar, begin: pa.Scalar, count: pa.Scalar) -> str | None:
+        if not text.is_valid or not begin.is_valid or not len(begin):
+            return text.as_py()
+        data, begin, count = text.as_buffer().to_pybytes(), begin.values.to_numpy(), count.values.to_numpy()
         words = np.append(words_of(data)[0], len(data))
         order = np.argsort(begin, kind="stable")
         begin, end = begin[order], np.maximum.accumulate((begin + count)[order])
@@ -296,7 +297,7 @@ def cut_blocks(texts: pd.Series, begins: pd.Series, counts: pd.Series) -> pd.Ser
         edges = [0, *np.stack([words[begin], words[end]], axis=1).ravel().tolist(), len(data)]
         return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
 
-    return pd.Series([cut(*row) for row in zip(texts, begins, counts, strict=True)], dtype=object)
+    return pa.array([cut(*row) for row in zip(texts, begins, counts, strict=True)], pa.string())
 
 
 def without_repeated_passages(documents: DataFrame, least_words: int = 0, moved: bool = True) -> DataFrame:
@@ -312,7 +313,8 @@ def without_repeated_passages(documents: DataFrame, least_words: int = 0, moved:
     doc_id, text = f"c{names.index('doc_id')}", f"c{names.index('text')}"
     keyed = plain.withColumn("document", F.xxhash64(text))
     # what is cut grows with the input, so it is never broadcast; texts are not sorted for it
-    found = common_blocks(documents)
+    with small_batches(documents.sparkSession):
+        found = common_blocks(documents)
     if not moved:
         found = found.withColumn("blocks", F.filter("blocks", lambda block: ~block["moved"]))
     found = found.select("document", "first_id", "copied", F.col("blocks.start").alias("starts"), F.col("blocks.words").alias("counts"))

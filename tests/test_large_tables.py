@@ -1,15 +1,23 @@
 """What only larger tables bring about: sums beyond 64 bits, many files an arrival, batches of many rows."""
 
+import os
+import subprocess
+import sys
+import time
 from decimal import Decimal
 
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from corpusflow.llm.common import SHUFFLE_CLEANUP, small_batches, staged
 from corpusflow.operators import codec
 from corpusflow.operators.vocabulary import Vocabulary
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def test_sums_by_position_beyond_64_bits(spark):
     far = 1 << 40
@@ -65,3 +73,35 @@ def test_ids_come_in_slices(monkeypatch):
     assert len(slices) > 2 and max(len(s.flatten()) for s in slices) < 80
     want = [None if row is None else [b for chunk in row for b in chunk.encode()] for row in rows]
     assert [ids for s in slices for ids in s.to_pylist()] == want
+
+
+def test_shuffle_files_go_with_the_end_of_a_write(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return sum(1 for name in map(str, disk.getAllFiles().mkString("\n").split("\n")) if "/shuffle_" in name)
+
+    before = files()
+    rows = spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    table = staged(rows, "counted")
+    until = time.time() + 30
+    while files() > before and time.time() < until:  # they are deleted beside what runs next
+        time.sleep(0.2)
+    assert files() <= before
+    assert sorted(map(tuple, table.collect())) == [(k, len(range(k, 1000, 7))) for k in range(7)]
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_texts_go_to_python_in_small_batches_and_without_pandas(spark):
+    def batch_sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    rows = spark.range(0, 5000, 1, 1)
+    with small_batches(spark):
+        sizes = [n for n, in rows.mapInArrow(batch_sizes, "n BIGINT").collect()]
+    assert max(sizes) == 2000 and sum(sizes) == 5000
+    assert rows.mapInArrow(batch_sizes, "n BIGINT").first()[0] == 5000  # as before afterwards
+    # a worker that imports the operators of the pipeline's first stages has no use for it
+    code = "import sys, corpusflow.llm.linedup, corpusflow.llm.simhash, corpusflow.llm.toxicity; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=ROOT).returncode == 0
