@@ -23,14 +23,13 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import null_safe_join, one_of_each, pick, staged, without_documents
+from corpusflow.llm.common import null_safe_join, one_of_each, pick, small_batches, staged, without_documents
 from corpusflow.llm.components import components
 from corpusflow.llm.shingles import near_links as near_copy_links
 
@@ -65,9 +64,9 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf(T.LongType())
-def simhash(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.array([fingerprint(text) for text in texts], np.uint64).view(np.int64))
+@F.arrow_udf(T.LongType())
+def simhash(texts: pa.Array) -> pa.Array:
+    return pa.array(np.array([fingerprint(text.as_py()) for text in texts], np.uint64).view(np.int64))
 
 
 def vantage_points(tree: int, levels: int = LEVELS) -> np.ndarray:
@@ -157,7 +156,8 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
     own; a null id counts for no smallest id, and a group of null ids alone has none.  No rows give
     no rows.  Further columns are not looked at.
     """
-    rows, named = _grouped(documents)
+    with small_batches(documents.sparkSession):
+        rows, named = _grouped(documents)
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
@@ -193,7 +193,8 @@ def drop_near_duplicates(documents: DataFrame, fingerprints: bool = False) -> Da
     It is the one with the smallest id; null ids come last, and of equal ids the smallest ``xxhash64`` of the
     text decides.  Of rows with that id and that text one stays.  No rows give no rows.
     """
-    rows, named = _near_copies(documents, fingerprints)
+    with small_batches(documents.sparkSession):
+        rows, named = _near_copies(documents, fingerprints)
     rank = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_key")
     members = rows.join(named, "text_key").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
     members = staged(members, "group-members")

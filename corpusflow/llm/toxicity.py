@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -275,10 +274,10 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic")
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([model.score(text) for text in texts], dtype=float)
+            yield pa.array([model.score(text.as_py()) for text in texts], pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 
